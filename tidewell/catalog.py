@@ -138,7 +138,11 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def changes(spark: SparkSession, folder: str) -> DataFrame:
     """Events as changes of users: sign-ups insert, errors delete, all others update."""
-    return table(spark, folder, "events").select(
+    return as_changes(table(spark, folder, "events"))
+
+
+def as_changes(raw: DataFrame) -> DataFrame:
+    return raw.select(
         "user_id",
         F.col("value").cast(MONEY).alias("balance"),
         F.col("event_type").alias("status"),

@@ -12,7 +12,6 @@ from tidewell.functions import labels
 from tidewell.functions.numbers import MONEY, mean_money, percent, ratio
 from tidewell.operators.ordered import global_ranks
 
-ROWS = F.lit(1)
 
 
 def _completed(df: DataFrame) -> DataFrame:
@@ -203,10 +202,10 @@ def executive_summary(enriched: DataFrame, lines: DataFrame | None = None) -> Da
 
 def group_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Total, row count and average (six places) of ``value`` per group."""
-    stats = df.groupBy(group).agg(F.sum(value).alias("total"), F.count(ROWS).alias("count"), F.count(value).alias("known"))
+    stats = df.groupBy(group).agg(F.sum(value).alias("total"), F.count("*").alias("count"), F.count(value).alias("known"))
     return stats.withColumn("average", ratio(F.col("total"), F.col("known"), 6)).drop("known")
 
 
 def counts_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per combination of values, all in one pass."""
-    return df.groupBy(*columns).agg(F.count(ROWS).alias("count"))
+    return df.groupBy(*columns).agg(F.count("*").alias("count"))

@@ -39,13 +39,15 @@ def risk_distribution(df: DataFrame, risk: str = "churn_risk") -> DataFrame:
     return df.groupBy(risk).agg(F.count(F.lit(1)).alias("count"))
 
 
-def metrics(df: DataFrame, score: str = SCORE, risk: str = "churn_risk", exact: bool = False) -> DataFrame:
+def metrics(
+    df: DataFrame, score: str = SCORE, risk: str = "churn_risk", exact: bool = False, places: int = 4
+) -> DataFrame:
     """One row of monitoring figures from one pass over the scores."""
     counted = df.agg(
         F.count(F.lit(1)).alias("total_scored"),
         *[F.count_if(F.col(risk) == level).alias(f"count_{level.lower()}") for level in ("HIGH", "MEDIUM", "LOW")],
-        F.round(F.avg(score), 4).alias("avg_churn_probability"),
-        *[F.round(_quantile(score, p / 100, exact), 4).alias(f"p{p}_probability") for p in (25, 50, 75)],
+        F.round(F.avg(score), places).alias("avg_churn_probability"),
+        *[F.round(_quantile(score, p / 100, exact), places).alias(f"p{p}_probability") for p in (25, 50, 75)],
     )
     return counted.withColumn("high_risk_rate", percent(F.col("count_high"), F.col("total_scored")))
 

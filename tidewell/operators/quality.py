@@ -1,7 +1,8 @@
 """Data-quality rules, expectations, quarantine and table profiles.
 
-Row-level rules compile into one aggregate over the table, however many there are. A uniqueness
-rule needs one grouped count, a reference rule one anti-join.
+Row and uniqueness rules compile into one aggregate over the table, however many there are; Spark
+groups the distinct values of each unique column before it counts them. A reference rule adds one
+join of grouped values.
 """
 
 from __future__ import annotations
@@ -163,22 +164,20 @@ def _result(rule: Rule, total: Column, failed: Column) -> list[Column]:
     return [v.alias(n) for v, n in zip(values, RESULT_COLUMNS)]
 
 
-def _row_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    counts = [F.count_if(_violation(df, r)).alias(f"bad_{i}") for i, r in enumerate(rules)]
-    measured = df.agg(F.count(F.lit(1)).alias("total"), *counts)
+def _table_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    failures = []
+    for rule in rules:
+        if rule.kind == "unique":
+            value = F.col(rule.column)
+            values = F.count_distinct(value) + F.coalesce(F.max(value.isNull().cast("int")), F.lit(0))
+            failures.append(F.count(F.lit(1)) - values)
+        else:
+            failures.append(F.count_if(_violation(df, rule)))
+    measured = df.agg(F.count(F.lit(1)).alias("total"), *[f.alias(f"bad_{i}") for i, f in enumerate(failures)])
     rows = [F.struct(*_result(r, F.col("total"), F.col(f"bad_{i}"))) for i, r in enumerate(rules)]
     return measured.select(F.inline(F.array(*rows)))
 
 
-def _unique_result(df: DataFrame, rule: Rule) -> DataFrame:
-    groups = df.groupBy(rule.column).agg(F.count(F.lit(1)).alias("n"))
-    counted = groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failed"),
-    )
-    return counted.select(*_result(rule, F.col("total"), F.col("failed")))
-
-
 def orphans(df: DataFrame, column: str, table: DataFrame, key: str) -> DataFrame:
     """Rows whose value is missing from ``table[key]``, NULL included."""
     known = table.select(F.col(key).alias("_known")).distinct()
@@ -205,9 +204,8 @@ def _reference_result(df: DataFrame, rule: Rule) -> DataFrame:
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule with counts, failure rate in percent and a message."""
-    by_row = [r for r in rules if r.kind not in ("unique", "referential_integrity")]
-    parts = [_row_results(df, by_row)] if by_row else []
-    parts += [_unique_result(df, r) for r in rules if r.kind == "unique"]
+    own = [r for r in rules if r.kind != "referential_integrity"]
+    parts = [_table_results(df, own)] if own else []
     parts += [_reference_result(df, r) for r in rules if r.kind == "referential_integrity"]
     return reduce(DataFrame.unionByName, parts)
 
