@@ -30,16 +30,45 @@ OPERATIONS = {"signup": "INSERT", "error": "DELETE"}
 FIRST_REGISTRATION = datetime.date(1994, 1, 1)
 
 
+# Schemas of the given tables; with them a read needs no look into the files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def _case(value: str, mapping: dict[str, str], default: str | None = None) -> str:
+    """The mapping as SQL text."""
+    branches = " ".join(f"WHEN '{key}' THEN '{name}'" for key, name in mapping.items())
+    return f"CASE {value} {branches} {f"ELSE '{default}'" if default else ''} END"
+
+
+_STATUS = _case("o_orderstatus", STATUS)
 
 
 def _headers(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        labels.lookup(F.col("o_orderstatus"), STATUS).alias("status"),
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "CAST(o_orderdate AS DATE) AS order_date",
+        f"{_STATUS} AS status",
     )
 
 
@@ -49,8 +78,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem")
         .groupBy(F.col("l_orderkey").alias("order_id"))
         .agg(
-            F.sum(F.col("l_quantity").cast("int")).alias("quantity"),
-            F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY).alias("total_amount"),
+            F.expr("SUM(CAST(l_quantity AS INT)) AS quantity"),
+            F.expr("CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount"),
         )
     )
     return _headers(spark, folder).join(sums, ["order_id"])
@@ -58,50 +87,48 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line, with product and unit price."""
-    amount, quantity = F.col("l_extendedprice").cast(MONEY), F.col("l_quantity").cast("int")
     lines = table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("line_number"),
-        F.col("l_partkey").alias("product_id"),
-        quantity.alias("quantity"),
-        amount.alias("total_amount"),
-        mean_money(amount, quantity).alias("unit_price"),
+        F.expr("l_orderkey AS order_id"),
+        F.expr("l_linenumber AS line_number"),
+        F.expr("l_partkey AS product_id"),
+        F.expr("CAST(l_quantity AS INT) AS quantity"),
+        F.expr("CAST(l_extendedprice AS DECIMAL(18,2)) AS total_amount"),
+        mean_money(F.col("l_extendedprice").cast(MONEY), F.col("l_quantity")).alias("unit_price"),
     )
     return lines.join(_headers(spark, folder).withColumnRenamed("status", "order_status"), ["order_id"])
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with their country; customers in debt have an address of a wrong shape."""
-    nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("country"))
-    name = F.lower("c_name")
-    local = F.when(F.col("c_acctbal") < 0, name).otherwise(F.replace(name, F.lit("#"), F.lit(".")))
+    nation = table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS country")
+    local = "IF(c_acctbal < 0, LOWER(c_name), REPLACE(LOWER(c_name), '#', '.'))"
     return (
         table(spark, folder, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("name"),
-            F.concat(local, F.lit("@"), F.lower("c_mktsegment"), F.lit(".com")).alias("email"),
+        .join(nation, ["c_nationkey"], "left")
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "c_name AS name",
+            f"CONCAT({local}, '@', LOWER(c_mktsegment), '.com') AS email",
             "country",
-            F.date_add(F.lit(FIRST_REGISTRATION), (F.col("c_custkey") % 365).cast("int")).alias("registration_date"),
+            f"DATE_ADD(DATE '{FIRST_REGISTRATION}', CAST(c_custkey % 365 AS INT)) AS registration_date",
         )
     )
 
 
 def payments(spark: SparkSession, folder: str) -> DataFrame:
     """One payment per order that was not cancelled."""
-    method = labels.lookup(F.col("o_orderpriority"), METHODS)
+    method = _case("o_orderpriority", METHODS)
     return (
         table(spark, folder, "orders")
-        .where(F.col("o_orderstatus") != "P")
-        .select(
-            F.col("o_orderkey").alias("payment_id"),
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_totalprice").cast(MONEY).alias("amount"),
-            method.alias("payment_method"),
-            labels.payment_category(method).alias("payment_category"),
-            F.col("o_orderdate").cast("date").alias("payment_date"),
-            labels.lookup(F.col("o_orderstatus"), STATUS).alias("status"),
+        .where("o_orderstatus <> 'P'")
+        .selectExpr(
+            "o_orderkey AS payment_id",
+            "o_orderkey AS order_id",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS amount",
+            f"{method} AS payment_method",
+            f"{_case(method, labels.PAYMENT_CATEGORIES, 'other')} AS payment_category",
+            "CAST(o_orderdate AS DATE) AS payment_date",
+            f"{_STATUS} AS status",
         )
     )
 
@@ -115,24 +142,25 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return as_events(table(spark, folder, "events"))
 
 
+_NUMBER = "CAST(GET_JSON_OBJECT(props, '$.k') AS INT)"
+
+
 def as_events(raw: DataFrame) -> DataFrame:
-    number = F.get_json_object("props", "$.k").cast("int")
-    return raw.select(
-        F.col("event_id").cast("string").alias("event_id"),
+    return raw.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
         "event_type",
-        F.col("user_id").cast("string").alias("user_id"),
-        F.concat(F.lit("P"), number).alias("product_id"),
-        F.col("value").alias("amount"),
-        number.alias("quantity"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.col("props").alias("metadata"),
+        "CAST(user_id AS STRING) AS user_id",
+        f"CONCAT('P', {_NUMBER}) AS product_id",
+        "value AS amount",
+        f"{_NUMBER} AS quantity",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        "props AS metadata",
     )
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The event table as a file stream."""
-    schema = table(spark, folder, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    raw = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
     return as_events(raw)
 
 
@@ -142,11 +170,11 @@ def changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def as_changes(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "user_id",
-        F.col("value").cast(MONEY).alias("balance"),
-        F.col("event_type").alias("status"),
-        labels.lookup(F.col("event_type"), OPERATIONS, "UPDATE").alias("operation"),
+        "CAST(value AS DECIMAL(18,2)) AS balance",
+        "event_type AS status",
+        f"{_case('event_type', OPERATIONS, 'UPDATE')} AS operation",
         "event_id",
-        F.col("ts").alias("updated_at"),
+        "ts AS updated_at",
     )

@@ -16,30 +16,25 @@ def money(value: Column) -> Column:
     return value.try_cast(MONEY)
 
 
-def _hundredths(value: Column) -> Column:
-    return (value.cast(DecimalType(28, 2)) * F.lit(100)).cast(DecimalType(28, 0))
-
-
 def _half_up(numerator: Column, denominator: Column, scale: int) -> Column:
     """``round(numerator / denominator * scale)`` as a long; NULL for a missing or zero divisor."""
-    top, bottom = _hundredths(numerator), _hundredths(denominator)
-    doubled = F.abs(top) * F.lit(2 * scale) + F.abs(bottom)
-    quotient = F.call_function("div", doubled, F.abs(bottom) * F.lit(2))
-    negative = (top < 0) != (bottom < 0)
-    return F.when(bottom != 0, F.when(negative, -quotient).otherwise(quotient))
+    top, bottom = numerator.cast("decimal(28,2)"), denominator.cast("decimal(28,2)")
+    size = F.abs(bottom)
+    quotient = F.call_function("div", F.abs(top) * (2 * scale) + size, F.nullif(size * 2, F.lit(0)))
+    return F.when((top < 0) != (bottom < 0), -quotient).otherwise(quotient)
 
 
 def ratio(numerator: Column, denominator: Column, places: int = 2) -> Column:
     """``numerator / denominator`` rounded half-up to ``places``, as double."""
-    return _half_up(numerator, denominator, 10**places) / F.lit(float(10**places))
+    return _half_up(numerator, denominator, 10**places) / float(10**places)
 
 
 def percent(part: Column, whole: Column) -> Column:
     """``part / whole * 100`` rounded half-up to two places, as double; NULL when ``whole`` is 0."""
-    return _half_up(part, whole, 10_000) / F.lit(100.0)
+    return _half_up(part, whole, 10_000) / 100.0
 
 
 def mean_money(total: Column, count: Column) -> Column:
     """Average of money amounts rounded half-up to cents, as ``decimal(18,2)``."""
-    cents = _half_up(total, count, 100).cast(DecimalType(18, 0))
-    return (cents * F.lit(Decimal("0.01"))).cast(MONEY)
+    cents = _half_up(total, count, 100).cast("decimal(18,0)")
+    return (cents * Decimal("0.01")).cast(MONEY)

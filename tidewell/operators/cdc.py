@@ -192,7 +192,7 @@ def scd2(
     gone = F.expr(is_delete) if isinstance(is_delete, str) else is_delete
     plain = events.withColumn("_gone", F.coalesce(gone, F.lit(False))).select(*keys, sequence, *tracked, "_gone")
     single = _sequenced(plain, keys, sequence)
-    slotted = ordered.slot_rows(single, keys, sequence, split_rows)
+    slotted = ordered.slot_rows(single, keys, sequence, split_rows, measured=plain)
     looked = ordered.neighbour(slotted, keys, sequence, [*tracked, "_gone"], "_was", ahead=False)
     was = F.col("_was")
     values_moved = _differs([F.col(c) for c in tracked], [was[c] for c in tracked])

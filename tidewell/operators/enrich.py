@@ -67,20 +67,20 @@ def enriched_orders(orders: DataFrame, customers: DataFrame, payments: DataFrame
     large share of the orders is split by adaptive skew handling, which applies to the order side
     of a left join.
     """
-    paid = payments.select(
+    paid = payments.selectExpr(
         "order_id",
         "payment_id",
-        F.col("amount").alias("payment_amount"),
+        "amount AS payment_amount",
         "payment_method",
         "payment_category",
         "payment_date",
-        F.col("status").alias("payment_status"),
+        "status AS payment_status",
     )
-    who = customers.select(
+    who = customers.selectExpr(
         "customer_id",
-        F.col("name").alias("customer_name"),
-        F.col("email").alias("customer_email"),
-        F.col("country").alias("customer_country"),
+        "name AS customer_name",
+        "email AS customer_email",
+        "country AS customer_country",
         "registration_date",
     )
     placed = orders.withColumnRenamed("status", "order_status")

@@ -49,16 +49,26 @@ def _line(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def slot_rows(df: DataFrame, keys: Sequence[str], sequence: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def slot_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    split_rows: int = SPLIT_ROWS,
+    measured: DataFrame | None = None,
+) -> DataFrame:
     """Add ``_slot`` and ``_split``: slot 0 for ordinary keys, consecutive slots for large ones.
 
+    Group sizes are taken from ``measured`` (default: ``df`` itself), which may be an earlier and
+    cheaper stage of ``df`` that still has all of its keys and sequence values.
+
     The number of slots of a key follows its row count. Minimum, maximum and count are exact, so
     every evaluation of the plan cuts the same way. At most ``rows / split_rows`` keys are large,
     which bounds the broadcast side.
     """
     place = _line(df, sequence)
     large = (
-        df.groupBy(*keys)
+        (df if measured is None else measured)
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_low"), F.max(place).alias("_high"))
         .where(F.col("_n") > split_rows)
         .select(*keys, "_low", ((F.col("_high") - F.col("_low")) / F.ceil(4 * F.col("_n") / split_rows)).alias("_width"))

@@ -157,11 +157,22 @@ _COMPLAINTS = {
 }
 
 
-def _result(rule: Rule, total: Column, failed: Column) -> list[Column]:
-    message = F.format_string(f"Column '{rule.column}' has %d {_COMPLAINTS[rule.kind]}", failed)
-    rate = F.coalesce(percent(failed, total), F.lit(0.0))
-    values = [F.lit(rule.kind), F.lit(rule.column), F.lit(rule.level), failed == 0, total, failed, rate, message]
-    return [v.alias(n) for v, n in zip(values, RESULT_COLUMNS)]
+def _raw_result(rule: Rule, failed: Column) -> Column:
+    """The parts of a result that differ by rule."""
+    texts = {"rule_name": rule.kind, "column": rule.column, "level": rule.level, "what": _COMPLAINTS[rule.kind]}
+    return F.struct(failed.alias("failed_records"), *[F.lit(v).alias(n) for n, v in texts.items()])
+
+
+def _finished(raw: DataFrame) -> DataFrame:
+    """Pass flag, failure rate and message for rows of ``total_records`` and :func:`_raw_result`."""
+    failed = F.col("failed_records")
+    return raw.withColumns(
+        {
+            "passed": failed == 0,
+            "failure_rate": F.coalesce(percent(failed, F.col("total_records")), F.lit(0.0)),
+            "message": F.format_string("Column '%s' has %d %s", "column", failed, "what"),
+        }
+    ).select(*RESULT_COLUMNS)
 
 
 def _table_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -173,9 +184,9 @@ def _table_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             failures.append(F.count(F.lit(1)) - values)
         else:
             failures.append(F.count_if(_violation(df, rule)))
-    measured = df.agg(F.count(F.lit(1)).alias("total"), *[f.alias(f"bad_{i}") for i, f in enumerate(failures)])
-    rows = [F.struct(*_result(r, F.col("total"), F.col(f"bad_{i}"))) for i, r in enumerate(rules)]
-    return measured.select(F.inline(F.array(*rows)))
+    measured = df.agg(F.count(F.lit(1)).alias("total_records"), *[f.alias(f"bad_{i}") for i, f in enumerate(failures)])
+    rows = [_raw_result(r, F.col(f"bad_{i}")) for i, r in enumerate(rules)]
+    return measured.select("total_records", F.inline(F.array(*rows)))
 
 
 def orphans(df: DataFrame, column: str, table: DataFrame, key: str) -> DataFrame:
@@ -196,10 +207,10 @@ def _reference_result(df: DataFrame, rule: Rule) -> DataFrame:
     known = rule.option("table").select(F.col(rule.option("key")).alias("_known")).distinct()
     joined = values.join(known, F.col(rule.column) == F.col("_known"), "left")
     counted = joined.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
         F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias("failed"),
     )
-    return counted.select(*_result(rule, F.col("total"), F.col("failed")))
+    return counted.select("total_records", F.inline(F.array(_raw_result(rule, F.col("failed")))))
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -207,7 +218,7 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     own = [r for r in rules if r.kind != "referential_integrity"]
     parts = [_table_results(df, own)] if own else []
     parts += [_reference_result(df, r) for r in rules if r.kind == "referential_integrity"]
-    return reduce(DataFrame.unionByName, parts)
+    return _finished(reduce(DataFrame.unionByName, parts))
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job of this library wants; all are runtime SQL settings except the serializer.
+# Settings every job of this library wants; all can be set at run time.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture costs more than building the expressions it describes.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # Fixed values: (upper bound in GB, shuffle partitions, broadcast threshold, scan split size).
