@@ -164,12 +164,14 @@ def payment_success(enriched: DataFrame) -> DataFrame:
     )
 
 
-def executive_summary(enriched: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+def executive_summary(
+    enriched: DataFrame, lines: DataFrame | None = None, as_of: datetime.date | None = None
+) -> DataFrame:
     """One row of overall figures over completed orders.
 
     Country and customer figures come from per-group partial sums, so only group totals meet in
     the final task. ``lines`` adds the best-selling product; without it ``enriched`` is used when
-    it carries products.
+    it carries products. ``as_of`` adds a ``report_date``.
     """
     done = _completed(enriched)
     per_country = done.groupBy("customer_country").agg(
@@ -197,7 +199,7 @@ def executive_summary(enriched: DataFrame, lines: DataFrame | None = None) -> Da
         per_product = _completed(items).groupBy("product_id").agg(_total("total_amount").alias("revenue"))
         product = per_product.agg(best("product_id").alias("top_product"))
         result = result.select("*", product.scalar().alias("top_product"))
-    return result
+    return result if as_of is None else result.withColumn("report_date", F.lit(as_of))
 
 
 def group_stats(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -16,9 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Call-site capture costs more than building the expressions it describes.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# Settings fixed at launch. Call-site capture costs more than building the expressions it describes.
+AT_LAUNCH = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 # Fixed values: (upper bound in GB, shuffle partitions, broadcast threshold, scan split size).
 SIZE_CLASSES = [
@@ -34,7 +34,7 @@ def build(app: str = "tidewell", master: str | None = None, **extra: str) -> Spa
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = DEFAULTS | {name.replace("__", "."): value for name, value in extra.items()}
+    settings = DEFAULTS | AT_LAUNCH | {name.replace("__", "."): value for name, value in extra.items()}
     return builder.config(map=settings).getOrCreate()
 
 

@@ -13,11 +13,17 @@ from pyspark.sql.types import StringType, StructType
 CORRUPT = "_corrupt_record"
 
 
-def _with_corrupt(schema: StructType) -> StructType:
-    return StructType(schema.fields).add(CORRUPT, StringType())
+# A schema is a StructType or its DDL text.
+Schema = StructType | str
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, **options: Any) -> DataFrame:
+def _with_corrupt(schema: Schema) -> Schema:
+    if isinstance(schema, str):
+        return f"{schema}, {CORRUPT} string"
+    return StructType(list(schema.fields)).add(CORRUPT, StringType())
+
+
+def read_csv(spark: SparkSession, path: str, schema: Schema | None = None, **options: Any) -> DataFrame:
     """CSV with a header.
 
     With a schema, rows that do not fit keep their text in ``_corrupt_record`` instead of being
@@ -38,7 +44,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, *
 def read_json(
     spark: SparkSession,
     path: str,
-    schema: StructType | None = None,
+    schema: Schema | None = None,
     multi_line: bool = False,
     **options: Any,
 ) -> DataFrame:
@@ -55,7 +61,7 @@ def read_json(
 
 
 def read_parquet(
-    spark: SparkSession, path: str, schema: StructType | None = None, merge_schema: bool = False
+    spark: SparkSession, path: str, schema: Schema | None = None, merge_schema: bool = False
 ) -> DataFrame:
     """Parquet; ``merge_schema`` unites the columns of files written at different times."""
     reader = spark.read.option("mergeSchema", merge_schema)
@@ -65,16 +71,16 @@ def read_parquet(
 
 
 def bad_rows(df: DataFrame) -> DataFrame:
-    """One row: how many records were read and how many did not fit the schema.
+    """One row: records read, records that did not fit the schema, values present per column.
 
-    A CSV or JSON scan that needs only the corrupt-record column parses nothing, so a real column
-    is read along with it.
+    The per-column counts are more than information: a scan parses only the columns a query
+    needs, and a record is corrupt only if a needed column is.
     """
-    witness = next(c for c in df.columns if c != CORRUPT)
-    return df.select(witness, CORRUPT).agg(
+    columns = [c for c in df.columns if c != CORRUPT]
+    return df.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count(CORRUPT).alias("corrupt_records"),
-        F.count(witness).alias(f"{witness}_present"),
+        *[F.count(c).alias(f"{c}_present") for c in columns],
     )
 
 
