@@ -104,6 +104,12 @@ def test_rules_from_configuration(df):
         q.from_config([{"column": "x", "rule": "vibes"}])
 
 
+def test_breaches_by_kind_and_size(df):
+    results = q.validate(df, q.not_null("customer_id") + q.unique("order_id") + q.positive("quantity"))
+    assert {r.rule_name for r in q.breaches(results, {"not_null": 0.2, "unique": 0.0}, 5).collect()} == {"unique"}
+    assert q.breaches(results, {}, 6).count() == 3
+
+
 def test_history_is_stamped(df):
     at = datetime.datetime(2024, 1, 1)
     assert q.stamped(q.validate(df, q.not_null("order_id")), at).first().validation_timestamp == at

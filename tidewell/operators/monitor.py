@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import labels
 from tidewell.functions.numbers import percent
+from tidewell.sinks.tables import overwrite_partitions
 
 SCORE = "churn_probability"
 # Histogram bins of the drift measure, the alert threshold and the smallest share.
@@ -24,8 +25,16 @@ def _quantile(column: str, share: float, exact: bool) -> Column:
     return F.percentile_approx(column, F.lit(share))
 
 
+def save_predictions(df: DataFrame, path: str, risk: str = "churn_risk", only_touched: bool = False) -> None:
+    """Scores as a table partitioned by risk class."""
+    overwrite_partitions(df, path, [risk], only_touched)
+
+
 def score_distribution(df: DataFrame, score: str = SCORE, exact: bool = False) -> DataFrame:
-    """One row: count, mean, extremes and median of a score."""
+    """One row: count, mean, extremes and median of a score.
+
+    ``exact`` medians keep every distinct score in one task: use them for rounded scores only.
+    """
     return df.agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.avg(score).alias("avg_probability"),

@@ -31,8 +31,11 @@ RESULT_COLUMNS = [
     "failure_rate",
     "message",
 ]
-# Fixed value: share of bad rows above which a rule raises an alert.
+# Share of bad rows above which a rule raises an alert, in general and by kind, and
+# the least number of rows a table should have.
 ALERT_SHARE = 0.05
+SHARES = {"not_null": 0.01, "unique": 0.0}
+MIN_RECORDS = 100
 
 
 @dataclass(frozen=True)
@@ -241,6 +244,15 @@ def alerts(results: DataFrame, share: float = ALERT_SHARE) -> DataFrame:
     return results.where(F.col("failed_records") > F.col("total_records") * F.lit(share))
 
 
+def breaches(results: DataFrame, shares: Mapping[str, float] = SHARES, min_records: int = MIN_RECORDS) -> DataFrame:
+    """Rules over the allowed share of their kind, or measured on a table with too few rows."""
+    limit = F.lit(None).cast("double")
+    for kind, share in shares.items():
+        limit = F.when(F.col("rule_name") == kind, F.lit(float(share))).otherwise(limit)
+    over = F.col("failed_records") > F.col("total_records") * limit
+    return results.where(F.coalesce(over, F.lit(False)) | (F.col("total_records") < min_records))
+
+
 def stamped(results: DataFrame, at: datetime.datetime | None = None) -> DataFrame:
     """Results with a ``validation_timestamp``, ready to append to a history table."""
     moment = F.current_timestamp() if at is None else F.lit(at)

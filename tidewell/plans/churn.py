@@ -246,6 +246,13 @@ def score_distribution(spark, folder):
     return found.withColumns({c: F.round(c, 6) for c in ("avg_probability", "median_probability")})
 
 
+@R.add(sql.query("", "SELECT * FROM risks", risks=_RISKS))
+def stored_predictions(spark, folder):
+    path = scratch_dir(spark, "predictions")
+    monitor.save_predictions(_risks(spark, folder), path)
+    return sources.read_parquet(spark, path)
+
+
 @R.add(sql.query("", "SELECT churn_risk, COUNT(*) AS count FROM risks GROUP BY 1", risks=_RISKS))
 def risk_distribution(spark, folder):
     return monitor.risk_distribution(_risks(spark, folder))

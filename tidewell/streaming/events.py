@@ -98,9 +98,18 @@ def clean_events(events: DataFrame, time_column: str = "timestamp") -> DataFrame
     )
 
 
-def dedup(events: DataFrame, key: str = "event_id", delay: str = "10 minutes") -> DataFrame:
-    """First copy of every event id; state older than the watermark is dropped."""
-    return events.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark([key])
+def dedup(events: DataFrame, key: str = "event_id", delay: str = "10 minutes", salts: int = 0) -> DataFrame:
+    """First copy of every event id; state older than the watermark is dropped.
+
+    All copies of an id meet in one task. If copies of one id can make up a large share of a
+    batch, ``salts`` adds a first round that keeps at most ``salts`` copies per id, at the price of
+    a second state.
+    """
+    timed = events.withWatermark("event_timestamp", delay)
+    if salts:
+        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+        timed = timed.withColumn("_salt", salt).dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark([key])
 
 
 def _bounds(df: DataFrame) -> DataFrame:
