@@ -47,18 +47,19 @@ _VIEWS = {
                p.status AS payment_status, c.name AS customer_name, c.email AS customer_email,
                c.country AS customer_country, c.registration_date
         FROM placed o LEFT JOIN paid p ON p.order_id = o.order_id LEFT JOIN people c ON c.customer_id = o.customer_id""",
-    "happened": """
+    "sent": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(user_id AS VARCHAR) AS user_id,
                'P' || CAST(json_extract(props, '$.k') AS INT) AS product_id,
                CAST(value AS DECIMAL(18,2)) AS amount, CAST(json_extract(props, '$.k') AS INT) AS quantity, ts
-        FROM events WHERE event_type IS NOT NULL AND value > 0""",
+        FROM events""",
+    "happened": "SELECT * FROM sent WHERE event_type IS NOT NULL AND amount > 0",
     "moves": """
         SELECT user_id, CAST(value AS DECIMAL(18,2)) AS balance, event_type AS status,
                CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS operation,
                event_id, ts AS updated_at
         FROM events""",
 }
-_NEEDS = {"placed": ["heads"], "lines": ["heads"], "rich": ["placed", "paid", "people"]}
+_NEEDS = {"placed": ["heads"], "lines": ["heads"], "rich": ["placed", "paid", "people"], "happened": ["sent"]}
 
 
 def _closure(names: list[str]) -> list[str]:

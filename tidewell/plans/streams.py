@@ -95,8 +95,8 @@ def deduplicated_stream(spark, folder):
     return _ran(spark, ev.dedup(twice).select("event_id", "event_type", "amount"), "dedup")
 
 
-@R.add(sql.query("happened", f"""SELECT event_id AS kafka_key, event_id, event_type, user_id, product_id,
-    {sql.dbl('amount')} AS amount, quantity FROM happened"""))
+@R.add(sql.query("sent", f"""SELECT event_id AS kafka_key, event_id, event_type, user_id, product_id,
+    {sql.dbl('amount')} AS amount, quantity FROM sent"""))
 def kafka_records(spark, folder):
     """Events encoded as Kafka records and decoded again."""
     events = catalog.events(spark, folder)

@@ -17,8 +17,12 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
-# Settings fixed at launch. Call-site capture costs more than building the expressions it describes.
-AT_LAUNCH = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+# Settings fixed at launch. Call-site capture costs more than building the expressions it describes;
+# checkpoints nobody refers to any more are removed.
+AT_LAUNCH = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
 
 # Fixed values: (upper bound in GB, shuffle partitions, broadcast threshold, scan split size).
 SIZE_CLASSES = [
