@@ -4,7 +4,7 @@ import datetime
 from decimal import Decimal
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -90,6 +90,8 @@ def test_group_stats_and_counts(orders):
 
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.integers(-5, 5), st.integers(-(10**6), 10**6)), min_size=1, max_size=60), st.integers(1, 9))
+@example([0], 1)
+@example([None, None], 4)
 def test_ranks_do_not_depend_on_the_route(spark, values, slots):
     df = spark.createDataFrame(list(enumerate(values)), "id int, v long")
     options = {"ranks": {"r": "v"}, "percents": {"p": "v"}}

@@ -102,6 +102,12 @@ def test_zvalue_interleaves_bits(spark):
     assert found == [0, 1, 2, 0b1101, 0b1010]
 
 
+def test_zorder_cuts_of_empty_columns(spark):
+    df = spark.createDataFrame([(None, 1, None), (None, 2, None)], "a int, b int, c string")
+    cuts = sinks.zorder_cuts(df, ["a", "b", "c"], bits=2)
+    assert cuts["a"] == [] and cuts["c"] == [] and cuts["b"]
+
+
 def test_zorder_narrows_every_file(spark, tmp_path):
     path = str(tmp_path / "z")
     df = spark.range(20_000).select(

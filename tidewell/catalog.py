@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import labels
-from tidewell.functions.numbers import MONEY, mean_money
 from tidewell.operators import enrich
 
 # The day after the last order, and two moments inside the event stream.
@@ -61,6 +60,9 @@ def _case(value: str, mapping: dict[str, str], default: str | None = None) -> st
 
 
 _STATUS = _case("o_orderstatus", STATUS)
+# Line prices are doubles with two decimals and never negative: whole cents keep them exact.
+_CENTS = "CAST(FLOOR(l_extendedprice * 100 + 0.5D) AS BIGINT)"
+_UNITS = "CAST(l_quantity AS INT)"
 
 
 def _headers(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,8 +80,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem")
         .groupBy(F.col("l_orderkey").alias("order_id"))
         .agg(
-            F.expr("SUM(CAST(l_quantity AS INT)) AS quantity"),
-            F.expr("CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount"),
+            F.expr(f"SUM({_UNITS}) AS quantity"),
+            F.expr(f"CAST(CAST(SUM({_CENTS}) AS DECIMAL(18,0)) * 0.01BD AS DECIMAL(18,2)) AS total_amount"),
         )
     )
     return _headers(spark, folder).join(sums, ["order_id"])
@@ -87,13 +89,13 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line, with product and unit price."""
-    lines = table(spark, folder, "lineitem").select(
-        F.expr("l_orderkey AS order_id"),
-        F.expr("l_linenumber AS line_number"),
-        F.expr("l_partkey AS product_id"),
-        F.expr("CAST(l_quantity AS INT) AS quantity"),
-        F.expr("CAST(l_extendedprice AS DECIMAL(18,2)) AS total_amount"),
-        mean_money(F.col("l_extendedprice").cast(MONEY), F.col("l_quantity")).alias("unit_price"),
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS line_number",
+        "l_partkey AS product_id",
+        f"{_UNITS} AS quantity",
+        f"CAST(CAST({_CENTS} AS DECIMAL(18,0)) * 0.01BD AS DECIMAL(18,2)) AS total_amount",
+        f"CAST(CAST(({_CENTS} * 2 + {_UNITS}) DIV ({_UNITS} * 2) AS DECIMAL(18,0)) * 0.01BD AS DECIMAL(18,2)) AS unit_price",
     )
     return lines.join(_headers(spark, folder).withColumnRenamed("status", "order_status"), ["order_id"])
 

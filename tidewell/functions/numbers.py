@@ -17,11 +17,22 @@ def money(value: Column) -> Column:
 
 
 def _half_up(numerator: Column, denominator: Column, scale: int) -> Column:
-    """``round(numerator / denominator * scale)`` as a long; NULL for a missing or zero divisor."""
-    top, bottom = numerator.cast("decimal(28,2)"), denominator.cast("decimal(28,2)")
-    size = F.abs(bottom)
-    quotient = F.call_function("div", F.abs(top) * (2 * scale) + size, F.nullif(size * 2, F.lit(0)))
-    return F.when((top < 0) != (bottom < 0), -quotient).otherwise(quotient)
+    """``round(numerator / denominator * scale)`` as a long; NULL for a missing or zero divisor.
+
+    Values with up to two decimals are exact. Wherever the products fit, the work is done on
+    longs, which is an order of magnitude faster than on wide decimals.
+    """
+
+    def quotient(top: Column, bottom: Column) -> Column:
+        size = F.abs(bottom)
+        return F.call_function("div", F.abs(top) * (2 * scale) + size, F.nullif(size * 2, F.lit(0)))
+
+    limit = 4 * 10**18 // (200 * scale)
+    fits = (F.abs(numerator) < limit) & (F.abs(denominator) < limit)
+    narrow = quotient((numerator * 100).cast("bigint"), (denominator * 100).cast("bigint"))
+    wide = quotient(numerator.cast("decimal(28,2)"), denominator.cast("decimal(28,2)"))
+    size = F.when(fits, narrow).otherwise(wide)
+    return F.when((numerator < 0) != (denominator < 0), -size).otherwise(size)
 
 
 def ratio(numerator: Column, denominator: Column, places: int = 2) -> Column:

@@ -155,8 +155,10 @@ def _value_ranks(base: DataFrame, value: str, slots: int) -> DataFrame:
     """Per distinct value: dense rank and the number of rows above it, highest value first."""
     distinct = durable(base.groupBy(value).agg(F.count(F.lit(1)).alias("_rows")))
     line = F.col(value).cast("double")
+    known = distinct.select(line.alias("v")).where("v IS NOT NULL")
     shares = [i / slots for i in range(1, slots)]
-    cuts = sorted(set(distinct.select(line.alias("v")).approxQuantile("v", shares, 1 / (4 * slots))))
+    found = [] if not shares or known.isEmpty() else known.approxQuantile("v", shares, 1 / (4 * slots))
+    cuts = sorted(set(found))
     # Slot 0 holds the highest values; NULL ranks last.
     position = F.when(F.col(value).isNull(), F.lit(len(cuts) + 1)).otherwise(len(cuts) - range_bucket(line, cuts))
     placed = distinct.withColumn(SLOT, position)

@@ -68,8 +68,11 @@ def zorder_cuts(df: DataFrame, columns: Sequence[str], bits: int = 6, sample_row
     wanted = [i / 2**bits for i in range(1, 2**bits)]
     numeric = [c for c in columns if not isinstance(df.schema[c].dataType, StringType)]
     placed = df.select(*[_position(df, c).alias(c) for c in numeric])
-    found = placed.approxQuantile(numeric, wanted, 2.0 ** -(bits + 1)) if numeric else []
-    cuts = {name: sorted(set(points)) for name, points in zip(numeric, found)}
+    # A column without values has no cuts; the quantiles of the others skip their NULLs.
+    present = placed.agg(*[F.count(c) for c in numeric]).first() if numeric else []
+    filled = [c for c, n in zip(numeric, present) if n]
+    found = placed.approxQuantile(filled, wanted, 2.0 ** -(bits + 1)) if filled else []
+    cuts = {name: [] for name in numeric} | {name: sorted(set(points)) for name, points in zip(filled, found)}
     for name in set(columns) - set(numeric):
         rows = df.select(name).where(F.col(name).isNotNull()).orderBy(F.xxhash64(*df.columns)).limit(sample_rows)
         values = sorted(r[0] for r in rows.collect())
