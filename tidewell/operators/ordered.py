@@ -20,6 +20,7 @@ from tidewell.session import durable
 
 SPLIT_ROWS = 2_000_000
 SLOT, SPLIT = "_slot", "_split"
+SLOTS_PER_LEVEL = 2**20
 
 
 def range_bucket(value: Column, cuts: Sequence) -> Column:
@@ -55,30 +56,44 @@ def slot_rows(
     sequence: str,
     split_rows: int = SPLIT_ROWS,
     measured: DataFrame | None = None,
+    levels: int = 2,
 ) -> DataFrame:
-    """Add ``_slot`` and ``_split``: slot 0 for ordinary keys, consecutive slots for large ones.
+    """Add ``_slot`` and ``_split``: slot 0 for ordinary keys, ascending slots for large ones.
+
+    A key with more than ``split_rows`` rows is cut into slots of equal width along its sequence,
+    as many as its row count asks for; a slot that is still too large (a burst) is cut again, up to
+    ``levels`` times. The large groups are measured once and materialised: at most
+    ``rows / split_rows`` of them exist, which bounds the broadcasts. Without any, the rows get
+    constants and the later steps reduce to plain windows.
 
     Group sizes are taken from ``measured`` (default: ``df`` itself), which may be an earlier and
     cheaper stage of ``df`` that still has all of its keys and sequence values.
-
-    The number of slots of a key follows its row count. Minimum, maximum and count are exact, so
-    every evaluation of the plan cuts the same way. At most ``rows / split_rows`` keys are large,
-    which bounds the broadcast side.
     """
-    place = _line(df, sequence)
-    large = (
-        (df if measured is None else measured)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_low"), F.max(place).alias("_high"))
-        .where(F.col("_n") > split_rows)
-        .select(*keys, "_low", ((F.col("_high") - F.col("_low")) / F.ceil(4 * F.col("_n") / split_rows)).alias("_width"))
-    )
-    slot = F.floor((place - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)))
-    return (
-        df.join(F.broadcast(large), list(keys), "left")
-        .withColumns({SLOT: F.coalesce(slot, F.lit(0)), SPLIT: F.col("_width").isNotNull()})
-        .drop("_low", "_width")
-    )
+    group = [*keys, SLOT]
+
+    def start(frame: DataFrame) -> DataFrame:
+        return frame.withColumns({SLOT: F.lit(0).cast("bigint"), "_place": _line(frame, sequence)})
+
+    def cut(frame: DataFrame, large: DataFrame) -> DataFrame:
+        part = F.floor((F.col("_place") - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)))
+        slot = F.col(SLOT) * SLOTS_PER_LEVEL + F.coalesce(F.least(part, F.lit(SLOTS_PER_LEVEL - 1)), F.lit(0))
+        joined = frame.join(F.broadcast(large), group, "left")
+        return joined.withColumns({SLOT: slot, "_cut": F.col("_width").isNotNull()}).drop("_low", "_width")
+
+    result = start(df).withColumn(SPLIT, F.lit(False))
+    sizes = start(df if measured is None else measured).select(*group, "_place")
+    for _ in range(levels):
+        large = durable(
+            sizes.groupBy(*group)
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_low"), F.max("_place").alias("_high"))
+            .where(F.col("_n") > split_rows)
+            .select(*group, "_low", ((F.col("_high") - F.col("_low")) / F.ceil(4 * F.col("_n") / split_rows)).alias("_width"))
+        )
+        if large.isEmpty():
+            break
+        result = cut(result, large).withColumn(SPLIT, F.col(SPLIT) | F.col("_cut")).drop("_cut")
+        sizes = cut(sizes, large).where("_cut").drop("_cut")
+    return result.drop("_place")
 
 
 def neighbour(
