@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.conftest import rows, same
+from tests.conftest import plan, rows, same
 from tidewell.operators import cdc, ordered
 
 NOW = datetime.datetime(2024, 2, 1)
@@ -178,6 +178,26 @@ def test_repeated_event_counts_once(spark):
     ]
 
 
+def test_history_update_rebuilds_only_the_keys_of_the_batch(spark):
+    old = [(1, T(1), "a", "INSERT"), (1, T(9), "b", "UPDATE"), (2, T(1), "x", "INSERT"), (3, T(1), "y", "INSERT")]
+    new = [(1, T(5), "late", "UPDATE"), (3, T(7), None, "DELETE"), (4, T(2), "z", "INSERT")]
+    before, batch = spark.createDataFrame(old, EVENTS), spark.createDataFrame(new, EVENTS)
+    rest = (["id"], "seq", ["v"], "operation = 'DELETE'")
+    marked = cdc.scd2(before, *rest).withColumn("v", F.when(F.col("id") == 2, "taken over").otherwise(F.col("v")))
+    updated = cdc.scd2_update(marked, before, batch, *rest)
+    assert same(updated.where("id != 2"), cdc.scd2(before.unionAll(batch), *rest).where("id != 2"))
+    assert [r.v for r in updated.where("id = 2").collect()] == ["taken over"]
+
+
+def test_small_batches_do_not_move_the_target(spark):
+    big = spark.range(1000).select(F.col("id").cast("int").alias("id"), F.lit("a").alias("v"), F.lit("s").alias("status"))
+    batch = spark.createDataFrame([(5, "x", "s", "U", 1), (5000, "n", "s", "I", 1)], CHANGES)
+    text = plan(cdc.merge(big, batch, ["id"], ["v", "status"], NOW, sequence="seq"))
+    assert text.count("BroadcastHashJoin") >= 2 and "Exchange hashpartitioning" not in text.split("Union")[0]
+    first = text[: text.index("LeftSemi")] if "LeftSemi" in text else text
+    assert "SortMergeJoin" not in first
+
+
 def test_scd1_ignores_arrival_order(spark):
     made = [(1, T(5), "late", "UPDATE"), (1, T(2), "early", "INSERT"), (2, T(1), "x", "INSERT"), (2, T(3), None, "DELETE")]
     found = cdc.scd1(spark.createDataFrame(made, EVENTS), ["id"], "seq", "operation = 'DELETE'", exclude=["operation"])

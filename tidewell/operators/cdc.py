@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tidewell.functions import labels
 from tidewell.operators import ordered
 from tidewell.operators.ordered import SPLIT_ROWS, latest_per_key
+from tidewell.operators.skew import fits_broadcast
+from tidewell.session import durable
 
 
 def _moment(at: datetime.datetime | Column) -> Column:
@@ -63,7 +65,8 @@ def merge(
     then insert replaces the row.
 
     The result has the target's columns plus ``_created_at``, ``_last_updated`` and, for soft
-    deletes, ``_is_deleted`` and ``_deleted_at``.
+    deletes, ``_is_deleted`` and ``_deleted_at``. The combined batch is materialised and measured:
+    a small one is broadcast, so that the target is read but not shuffled.
     """
     soft = delete == "soft"
     moment = _moment(now).cast("timestamp")
@@ -71,33 +74,45 @@ def merge(
     if soft:
         extra |= {"_is_deleted": "boolean", "_deleted_at": "timestamp"}
     present = target.withColumns({c: F.lit(None).cast(k) for c, k in extra.items() if c not in target.columns})
-    batch = collapse(changes, keys, sequence)
-    renamed = batch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in [*update, "operation"]], "_inserts", "_deletes")
-    both = present.withColumn("_old", F.lit(True)).join(renamed.withColumn("_new", F.lit(True)), list(keys), "full_outer")
-
-    old, new, operation = F.col("_old").isNotNull(), F.col("_new").isNotNull(), F.col("_new_operation")
-    removed = old & new & (operation == "D")
-    replaced = old & new & ((operation == "U") | ((operation == "I") & F.col("_deletes")))
-    inserted = ~old & new & F.col("_inserts") & (operation != "D")
-    written = replaced | inserted
-
-    columns: dict[str, Column] = {k: F.col(k) for k in keys}
-    for c in present.columns:
-        if c in update:
-            columns[c] = F.when(written, F.col(f"_new_{c}")).otherwise(F.col(c))
-        elif c not in keys:
-            columns[c] = F.col(c)
-    columns["_created_at"] = F.when(inserted, moment).otherwise(F.col("_created_at"))
-    touched = written | removed if soft else written
+    values = [F.col(c).alias(f"_new_{c}") for c in update]
+    batch = durable(
+        collapse(changes, keys, sequence).select(
+            *keys, *values, F.col("operation").alias("_operation"), "_inserts", "_deletes"
+        )
+    )
+    small = fits_broadcast(batch)
+
+    def nearby(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    # Rows of the target. With a small batch they are not moved.
+    operation = F.coalesce("_operation", F.lit(""))
+    removed = operation == "D"
+    replaced = (operation == "U") | ((operation == "I") & F.col("_deletes"))
+    columns: dict[str, Column] = {c: F.col(c) for c in present.columns}
+    columns |= {c: F.when(replaced, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in update}
+    touched = replaced | removed if soft else replaced
     columns["_last_updated"] = F.when(touched, moment).otherwise(F.col("_last_updated"))
     if soft:
         if "status" in columns:
             columns["status"] = F.when(removed, F.lit("deleted")).otherwise(columns["status"])
-        columns["_is_deleted"] = F.when(removed, True).when(written, False).otherwise(F.coalesce("_is_deleted", F.lit(False)))
-        columns["_deleted_at"] = F.when(removed, moment).when(~written, F.col("_deleted_at"))
-    stays = old | inserted
-    kept = stays if soft else stays & ~F.coalesce(removed, F.lit(False))
-    return both.where(kept).select(*[v.alias(n) for n, v in columns.items()])
+        kept_flag = F.coalesce("_is_deleted", F.lit(False))
+        columns["_is_deleted"] = F.when(removed, True).when(replaced, False).otherwise(kept_flag)
+        columns["_deleted_at"] = F.when(removed, moment).when(~replaced, F.col("_deleted_at"))
+    matched = present.join(nearby(batch), list(keys), "left")
+    kept = (matched if soft else matched.where(~removed)).select(*[v.alias(n) for n, v in columns.items()])
+
+    # Rows of the batch whose key the target does not have.
+    known = target.select(*keys).join(nearby(batch.select(*keys)), list(keys), "left_semi")
+    arriving = batch.where(F.col("_inserts") & (F.col("_operation") != "D"))
+    fresh: dict[str, Column] = {k: F.col(k) for k in keys}
+    fresh |= {c: F.col(f"_new_{c}") for c in update}
+    fresh |= {"_created_at": moment, "_last_updated": moment}
+    if soft:
+        fresh["_is_deleted"] = F.lit(False)
+    rest = {f.name: F.lit(None).cast(f.dataType) for f in present.schema.fields}
+    inserted = arriving.join(known, list(keys), "left_anti").select(*[v.alias(n) for n, v in (rest | fresh).items()])
+    return kept.unionByName(inserted)
 
 
 def first_load(changes: DataFrame, keys: Sequence[str], now: datetime.datetime | Column, sequence: str | None = None) -> DataFrame:
@@ -113,7 +128,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 
     ``source`` must hold one row per key (see :func:`collapse`, ``latest_per_key``).
     """
-    untouched = target.join(source.select(*keys), list(keys), "left_anti")
+    arriving = source.select(*keys)
+    side = F.broadcast(arriving) if fits_broadcast(arriving) else arriving
+    untouched = target.join(side, list(keys), "left_anti")
     return untouched.unionByName(source, allowMissingColumns=True)
 
 
@@ -145,8 +162,9 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
 def apply_feed(before: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The snapshot after a change feed: the inverse of :func:`snapshot_diff`."""
     gone = feed.select(*keys).distinct()
+    side = F.broadcast(gone) if fits_broadcast(gone) else gone
     fresh = feed.where(F.col("_change_type").isin("insert", "update_postimage")).drop("_change_type")
-    return before.join(gone, list(keys), "left_anti").unionByName(fresh)
+    return before.join(side, list(keys), "left_anti").unionByName(fresh)
 
 
 # --- SCD --------------------------------------------------------------------------------------
@@ -214,6 +232,26 @@ def scd2(
     )
 
 
+def scd2_update(
+    history: DataFrame,
+    events: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    tracked: Sequence[str],
+    is_delete: str | Column,
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
+    """Next history after a batch of events that may be late: only the batch's keys are rebuilt,
+    from all their ``events`` so far and the batch; the rows of other keys are taken over."""
+    affected = durable(batch.select(*keys).distinct())
+    side = F.broadcast(affected) if fits_broadcast(affected) else affected
+    untouched = history.join(side, list(keys), "left_anti")
+    earlier = events.join(side, list(keys), "left_semi")
+    rebuilt = scd2(earlier.unionByName(batch), keys, sequence, tracked, is_delete, split_rows)
+    return untouched.unionByName(rebuilt)
+
+
 def scd2_merge(
     history: DataFrame,
     snapshot: DataFrame,

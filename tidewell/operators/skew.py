@@ -48,22 +48,17 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     return counts.where(F.col("n") >= F.lit(share) * total.scalar())
 
 
-def broadcast_join(
-    large: DataFrame,
-    small: DataFrame,
-    key: str | Sequence[str],
-    max_rows: int = 1_000_000,
-    max_bytes: int = 10 * 1024 * 1024,
-) -> DataFrame:
-    """Left join that broadcasts ``small`` after measuring it, and shuffles it otherwise.
+def fits_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 10 * 1024 * 1024) -> bool:
+    """Measure a table: at most ``max_rows`` rows are read and their text sizes added up."""
+    size = F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))))
+    measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
+    return measured["n"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
 
-    The measurement stops after ``max_rows`` rows and adds up their text size.
-    """
+
+def broadcast_join(large: DataFrame, small: DataFrame, key: str | Sequence[str], **limits: int) -> DataFrame:
+    """Left join that broadcasts ``small`` after measuring it, and shuffles it otherwise."""
     columns = [key] if isinstance(key, str) else list(key)
-    size = F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in small.columns]))))
-    measured = small.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
-    fits = measured["n"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
-    return large.join(F.broadcast(small) if fits else small, columns, "left")
+    return large.join(F.broadcast(small) if fits_broadcast(small, **limits) else small, columns, "left")
 
 
 def salted_join(

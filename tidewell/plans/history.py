@@ -120,6 +120,14 @@ def scd2_history_split(spark, folder):
     return _history(spark, folder, split_rows=20)
 
 
+@R.add(_HISTORY_SQL)
+def scd2_history_updated(spark, folder):
+    """History of the events before the cut, then the batch after it."""
+    early = catalog.changes(spark, folder).where(F.col(SEQ) < F.lit(catalog.EVENTS_CUT))
+    history = cdc.scd2(early, KEYS, SEQ, TRACKED, DELETE)
+    return cdc.scd2_update(history, early, _batch(spark, folder), KEYS, SEQ, TRACKED, DELETE)
+
+
 @R.add(sql.query("moves", f"""SELECT {_COLUMNS}, status, valid_from, valid_to, version FROM hist
     WHERE valid_from <= TIMESTAMP '2024-01-20' AND (valid_to IS NULL OR TIMESTAMP '2024-01-20' < valid_to)""", **_HISTORY))
 def state_as_of(spark, folder):
