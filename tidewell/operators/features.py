@@ -90,37 +90,56 @@ def behavioural(enriched: DataFrame, lines: DataFrame | None = None) -> DataFram
     most frequent method (ties: the smaller name). Both branches end partitioned by customer, so
     joining them moves no rows.
     """
+    joined = _with_variety(_per_customer(enriched), enriched if lines is None else lines)
+    return joined.select(KEY, *[v.alias(n) for n, v in _behaviour_columns().items()], "preferred_payment_method")
+
+
+def _per_customer(enriched: DataFrame) -> DataFrame:
+    """All additive figures per customer in one pass: first per (customer, method), then per customer.
+
+    Figures a caller does not use are pruned.
+    """
+    status = F.col("order_status")
     per_method = enriched.groupBy(KEY, "payment_method").agg(
         F.count("order_id").alias("orders"),
-        F.count_if(F.col("order_status") == labels.CANCELLED).alias("cancelled"),
-        F.count_if(F.col("order_status") == labels.PENDING).alias("pending"),
+        F.count_if(status == labels.CANCELLED).alias("cancelled"),
+        F.count_if(status == labels.PENDING).alias("pending"),
         F.sum("quantity").alias("items"),
         F.count("quantity").alias("baskets"),
+        *_rfm_aggregates(),
+        *_lifecycle_aggregates(),
     )
+    combine = {
+        F.sum: ["orders", "cancelled", "pending", "items", "baskets", "done_orders", "done_total", "done_priced", "all_orders"],
+        F.max: ["done_last", "done_max", "last_order"],
+        F.min: ["done_min", "registered", "first_order"],
+    }
+    merged = {name: how(name) for how, names in combine.items() for name in names}
+    merged["done_total"] = merged["done_total"].cast(MONEY)
     most_used = F.when(
         F.col("payment_method").isNotNull(), F.struct((-F.col("orders")).alias("n"), F.col("payment_method"))
     )
-    per_customer = per_method.groupBy(KEY).agg(
-        F.sum("orders").alias("orders"),
-        F.sum("cancelled").alias("cancelled"),
-        F.sum("pending").alias("pending"),
-        F.sum("items").alias("items"),
-        F.sum("baskets").alias("baskets"),
+    return per_method.groupBy(KEY).agg(
+        *[v.alias(n) for n, v in merged.items()],
         F.count("payment_method").alias("payment_methods_used"),
         F.min(most_used)["payment_method"].alias("preferred_payment_method"),
     )
-    bought = enriched if lines is None else lines
+
+
+def _with_variety(per_customer: DataFrame, bought: DataFrame) -> DataFrame:
     variety = bought.groupBy(KEY).agg(F.count_distinct("product_id").alias("unique_products"))
-    return per_customer.join(variety, [KEY], "left").select(
-        KEY,
-        percent(F.col("cancelled"), F.col("orders")).alias("cancellation_rate"),
-        percent(F.col("pending"), F.col("orders")).alias("pending_rate"),
-        F.coalesce("unique_products", F.lit(0)).alias("unique_products"),
-        ratio(F.col("items"), F.col("baskets")).alias("avg_basket_size"),
-        F.col("items").alias("total_items"),
-        "payment_methods_used",
-        "preferred_payment_method",
-    )
+    return per_customer.join(variety, [KEY], "left")
+
+
+def _behaviour_columns() -> dict[str, Column]:
+    return {
+        "cancellation_rate": percent(F.col("cancelled"), F.col("orders")),
+        "pending_rate": percent(F.col("pending"), F.col("orders")),
+        "unique_products": F.coalesce("unique_products", F.lit(0)),
+        "avg_basket_size": ratio(F.col("items"), F.col("baskets")),
+        "total_items": F.col("items"),
+        "payment_methods_used": F.col("payment_methods_used"),
+    }
 
 
 def _lifecycle_columns(today: Column) -> dict[str, Column]:
@@ -199,17 +218,14 @@ def feature_table(
     days: int = CHURN_DAYS,
     drop_leaky: bool = False,
 ) -> DataFrame:
-    """Key, 18 features and label, the same values as :func:`combine` in fewer passes.
-
-    RFM, lifecycle and label share one aggregate; behaviour adds its (customer, method) pass.
-    """
+    """Key, 18 features and label, the same values as :func:`combine` from one pass over the
+    orders and one over the products."""
     today = F.lit(as_of)
-    shared = enriched.groupBy(KEY).agg(*_rfm_aggregates(), *_lifecycle_aggregates())
-    columns = _rfm_columns(today) | _lifecycle_columns(today) | {LABEL: _churned(today, days)}
-    measured = shared.select(KEY, *[v.alias(n) for n, v in columns.items()])
-    joined = measured.join(behavioural(enriched, lines).drop("preferred_payment_method"), [KEY], "left")
+    joined = _with_variety(_per_customer(enriched), enriched if lines is None else lines)
+    columns = _rfm_columns(today) | _behaviour_columns() | _lifecycle_columns(today)
+    columns[LABEL] = _churned(today, days)
     kept = [c for c in FEATURES if not (drop_leaky and c in LEAKY)]
-    return _filled(joined).select(KEY, *kept, LABEL)
+    return _filled(joined.select(KEY, *[columns[c].alias(c) for c in [*kept, LABEL]]))
 
 
 # The rules a feature table should meet.
