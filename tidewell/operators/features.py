@@ -94,10 +94,10 @@ def behavioural(enriched: DataFrame, lines: DataFrame | None = None) -> DataFram
     return joined.select(KEY, *[v.alias(n) for n, v in _behaviour_columns().items()], "preferred_payment_method")
 
 
-def _per_customer(enriched: DataFrame) -> DataFrame:
-    """All additive figures per customer in one pass: first per (customer, method), then per customer.
+def _per_customer(enriched: DataFrame, whole: bool = False) -> DataFrame:
+    """Additive figures per customer in one pass: first per (customer, method), then per customer.
 
-    Figures a caller does not use are pruned.
+    ``whole`` adds the figures behind the RFM, lifecycle and label columns.
     """
     status = F.col("order_status")
     per_method = enriched.groupBy(KEY, "payment_method").agg(
@@ -106,16 +106,14 @@ def _per_customer(enriched: DataFrame) -> DataFrame:
         F.count_if(status == labels.PENDING).alias("pending"),
         F.sum("quantity").alias("items"),
         F.count("quantity").alias("baskets"),
-        *_rfm_aggregates(),
-        *_lifecycle_aggregates(),
+        *(_rfm_aggregates() + _lifecycle_aggregates() if whole else []),
     )
-    combine = {
-        F.sum: ["orders", "cancelled", "pending", "items", "baskets", "done_orders", "done_total", "done_priced", "all_orders"],
-        F.max: ["done_last", "done_max", "last_order"],
-        F.min: ["done_min", "registered", "first_order"],
-    }
-    merged = {name: how(name) for how, names in combine.items() for name in names}
-    merged["done_total"] = merged["done_total"].cast(MONEY)
+    merged = {name: F.sum(name) for name in ("orders", "cancelled", "pending", "items", "baskets")}
+    if whole:
+        merged |= {name: F.sum(name) for name in ("done_orders", "done_priced", "all_orders")}
+        merged |= {name: F.max(name) for name in ("done_last", "done_max", "last_order")}
+        merged |= {name: F.min(name) for name in ("done_min", "registered", "first_order")}
+        merged["done_total"] = F.sum("done_total").cast(MONEY)
     most_used = F.when(
         F.col("payment_method").isNotNull(), F.struct((-F.col("orders")).alias("n"), F.col("payment_method"))
     )
@@ -221,7 +219,7 @@ def feature_table(
     """Key, 18 features and label, the same values as :func:`combine` from one pass over the
     orders and one over the products."""
     today = F.lit(as_of)
-    joined = _with_variety(_per_customer(enriched), enriched if lines is None else lines)
+    joined = _with_variety(_per_customer(enriched, whole=True), enriched if lines is None else lines)
     columns = _rfm_columns(today) | _behaviour_columns() | _lifecycle_columns(today)
     columns[LABEL] = _churned(today, days)
     kept = [c for c in FEATURES if not (drop_leaky and c in LEAKY)]
