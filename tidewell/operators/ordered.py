@@ -38,15 +38,27 @@ def range_bucket(value: Column, cuts: Sequence) -> Column:
     return search(0, len(cuts))
 
 
-def _line(df: DataFrame, name: str) -> Column:
-    """A sequence column as a number, for cutting it into slots of equal width."""
+def quantile_cuts(df: DataFrame, columns: Mapping[str, Column], parts: int) -> dict[str, list]:
+    """Points that cut numeric columns into ``parts`` of about equal row counts, in one aggregate.
+
+    NULLs are skipped; a column without values has no cuts.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    if not shares or not columns:
+        return {name: [] for name in columns}
+    found = df.agg(*[F.percentile_approx(c, shares, 4 * parts).alias(n) for n, c in columns.items()]).first()
+    return {name: sorted(set(found[name] or [])) for name in columns}
+
+
+def number_line(df: DataFrame, name: str) -> Column:
+    """A number, date or timestamp column as a double."""
     kind = df.schema[name].dataType
     if isinstance(kind, DateType):
         return F.unix_date(name).cast("double")
     if isinstance(kind, (TimestampType, TimestampNTZType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
     if isinstance(kind, StringType):
-        raise TypeError(f"{name}: sequence columns must be numbers, dates or timestamps")
+        raise TypeError(f"{name} is text; a number, date or timestamp is needed")
     return F.col(name).cast("double")
 
 
@@ -72,7 +84,7 @@ def slot_rows(
     group = [*keys, SLOT]
 
     def start(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({SLOT: F.lit(0).cast("bigint"), "_place": _line(frame, sequence)})
+        return frame.withColumns({SLOT: F.lit(0).cast("bigint"), "_place": number_line(frame, sequence)})
 
     def cut(frame: DataFrame, large: DataFrame) -> DataFrame:
         part = F.floor((F.col("_place") - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)))
@@ -170,10 +182,7 @@ def _value_ranks(base: DataFrame, value: str, slots: int) -> DataFrame:
     """Per distinct value: dense rank and the number of rows above it, highest value first."""
     distinct = durable(base.groupBy(value).agg(F.count(F.lit(1)).alias("_rows")))
     line = F.col(value).cast("double")
-    known = distinct.select(line.alias("v")).where("v IS NOT NULL")
-    shares = [i / slots for i in range(1, slots)]
-    found = [] if not shares or known.isEmpty() else known.approxQuantile("v", shares, 1 / (4 * slots))
-    cuts = sorted(set(found))
+    cuts = quantile_cuts(distinct, {"v": line}, slots)["v"]
     # Slot 0 holds the highest values; NULL ranks last.
     position = F.when(F.col(value).isNull(), F.lit(len(cuts) + 1)).otherwise(len(cuts) - range_bucket(line, cuts))
     placed = distinct.withColumn(SLOT, position)

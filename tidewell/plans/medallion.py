@@ -31,7 +31,6 @@ READERS = {
     "customers": (sources.read_csv, RAW_CUSTOMERS, {}),
     "payments": (sources.read_json, RAW_PAYMENTS, {"multi_line": True}),
 }
-IDS = {"orders": "order_id", "customers": "customer_id", "payments": "payment_id"}
 # What an order needs to leave quarantine.
 ORDER_RULES: dict[str, str | Column] = {
     "valid_total": "total_amount > 0",

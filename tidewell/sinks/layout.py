@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import StringType
 
-from tidewell.operators.ordered import range_bucket
+from tidewell.operators.ordered import number_line, quantile_cuts, range_bucket
 
 # Days each layer keeps its rows.
 RETENTION_DAYS = {"bronze": 90, "silver": 365, "gold": 730, "staging": 7}
@@ -49,34 +49,18 @@ def compact(spark: SparkSession, source: str, destination: str, target_files: in
     sized.write.mode("overwrite").parquet(destination)
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    """The column on a number line, for columns that have one."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, DateType):
-        return F.unix_date(name).cast("double")
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    return F.col(name).cast("double")
-
-
 def zorder_cuts(df: DataFrame, columns: Sequence[str], bits: int = 6, sample_rows: int = 20_000) -> dict[str, list]:
     """Split points that cut each column into ``2**bits`` buckets of about equal row counts.
 
     Numbers, dates and timestamps use approximate quantiles; text uses the quantiles of a sample
     of at most ``sample_rows`` values. The cuts only steer the file layout.
     """
-    wanted = [i / 2**bits for i in range(1, 2**bits)]
     numeric = [c for c in columns if not isinstance(df.schema[c].dataType, StringType)]
-    placed = df.select(*[_position(df, c).alias(c) for c in numeric])
-    # A column without values has no cuts; the quantiles of the others skip their NULLs.
-    present = placed.agg(*[F.count(c) for c in numeric]).first() if numeric else []
-    filled = [c for c, n in zip(numeric, present) if n]
-    found = placed.approxQuantile(filled, wanted, 2.0 ** -(bits + 1)) if filled else []
-    cuts = {name: [] for name in numeric} | {name: sorted(set(points)) for name, points in zip(filled, found)}
+    cuts = quantile_cuts(df, {c: number_line(df, c) for c in numeric}, 2**bits)
     for name in set(columns) - set(numeric):
-        rows = df.select(name).where(F.col(name).isNotNull()).orderBy(F.xxhash64(*df.columns)).limit(sample_rows)
+        rows = df.select(name).where(F.col(name).isNotNull()).orderBy(F.rand(7)).limit(sample_rows)
         values = sorted(r[0] for r in rows.collect())
-        picks = {values[int(q * len(values))] for q in wanted} if values else set()
+        picks = {values[i * len(values) // 2**bits] for i in range(1, 2**bits)} if values else set()
         cuts[name] = sorted(picks)
     return {name: cuts[name] for name in columns}
 
@@ -87,7 +71,7 @@ def zvalue(df: DataFrame, cuts: Mapping[str, Sequence], bits: int = 6) -> Column
     z = F.lit(0).cast("bigint")
     for offset, (name, points) in enumerate(cuts.items()):
         text = isinstance(df.schema[name].dataType, StringType)
-        bucket = range_bucket(F.col(name) if text else _position(df, name), points).cast("bigint")
+        bucket = range_bucket(F.col(name) if text else number_line(df, name), points).cast("bigint")
         for bit in range(bits):
             one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("bigint"))
             z = z.bitwiseOR(F.shiftleft(one, bit * width + offset))
