@@ -1,9 +1,10 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import mixing
+from tidewell.llm import bpe, mixing
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
+    "op5_bpe": bpe.op5_bpe,
 }
 ORACLES = {
     "op2_mix": mixing.OP2_SQL,
