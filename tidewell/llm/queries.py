@@ -1,10 +1,11 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import bpe, mixing
+from tidewell.llm import bpe, fingerprints, mixing
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
     "op5_bpe": bpe.op5_bpe,
+    "op8_fingerprints": fingerprints.op8_fingerprints,
 }
 ORACLES = {
     "op2_mix": mixing.OP2_SQL,
