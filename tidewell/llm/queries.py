@@ -1,11 +1,12 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import bpe, fingerprints, mixing
+from tidewell.llm import bpe, fingerprints, mixing, toxicity
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
     "op5_bpe": bpe.op5_bpe,
     "op8_fingerprints": fingerprints.op8_fingerprints,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
     "op2_mix": mixing.OP2_SQL,
