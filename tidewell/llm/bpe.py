@@ -36,9 +36,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stru
 from tidewell.llm.common import shuffle_partitions, slices, written
 
 # Bytes of text in a chunk: what a task holds at a time; one longer text is a chunk of its own.
-CHUNK = 8_000_000
+CHUNK = 16_000_000
 # Words put together at a time.
-BLOCK = 500_000
+BLOCK = 250_000
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -47,11 +47,24 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def _pack(*arrays: np.ndarray, tail: bytes = b"") -> bytes:
+def _pack(*arrays: np.ndarray, tail: bytes = b"", level: int = 9) -> bytes:
     """Arrays of small numbers, byte planes apart so that the empty ones vanish, and raw bytes behind them."""
     parts = [np.array([len(arrays), *map(len, arrays)], "<u4").tobytes()]
     parts += [a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays]
-    return zstandard.compress(b"".join(parts) + tail, 3)
+    return zstandard.compress(b"".join([*parts, tail]), level)
+
+
+def _pack_ranked(numbers: np.ndarray) -> bytes:
+    """Small numbers that are mostly below 255 in one byte each, the others in full behind them."""
+    rare = numbers >= 255
+    return _pack(numbers[rare] - 255, tail=np.where(rare, 255, numbers).astype(np.uint8).tobytes())
+
+
+def _unpack_ranked(packed: bytes) -> np.ndarray:
+    (rare,), common = _unpack(packed)
+    numbers = np.frombuffer(common, np.uint8).astype(np.uint32)
+    numbers[numbers == 255] += rare
+    return numbers
 
 
 def _unpack(packed: bytes) -> tuple[list[np.ndarray], bytes]:
@@ -89,7 +102,9 @@ class _Chunk:
         renumbered[order] = np.arange(len(words), dtype=np.uint32)
         coded = [word.encode() for word in words[order]]
         shard = np.fromiter((zlib.crc32(word) % shards for word in coded), np.int64, len(coded))
-        packed = _pack(np.array([len(s) for s in self.sequences]), shard, renumbered[sequence])
+        self.numbers.clear()
+        packed = _pack(np.array([len(s) for s in self.sequences]), shard, tail=_pack_ranked(renumbered[sequence]))
+        del words, sequence
         lists = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array([chunk]), lists, pa.array([packed], pa.binary()), pa.array([None], pa.int32()), pa.array([None], pa.binary())],
@@ -112,7 +127,7 @@ def _chunks(docs: DataFrame, pattern: str, shards: int) -> DataFrame:
         numbers = itertools.count(TaskContext.get().partitionId() << 32)
         compiled = regex.compile(pattern)
         chunk, schema = _Chunk(compiled), None
-        for piece in slices(batches, "_text", CHUNK):
+        for piece in slices(batches, "_text", CHUNK // 8):
             schema = schema or pa.schema(
                 {"chunk": pa.int64(), "rows": pa.list_(piece.column("_row").type), "sequence": pa.binary(), "shard": pa.int32(), "words": pa.binary()}
             )
@@ -171,23 +186,23 @@ def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 
 
 def _assemble(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-    (counts, shard, sequence), _ = _unpack(chunk.column("sequence")[0].as_py())
+    (counts, shard), tail = _unpack(chunk.column("sequence")[0].as_py())
+    sequence = _unpack_ranked(tail)
     by_shard = dict(zip(answers.column("shard").to_pylist(), answers.column("coded").to_pylist(), strict=True))
     parts = [_unpack(by_shard[s])[0] for s in sorted(by_shard)]
+    in_order, flat = [np.concatenate([np.zeros(0, np.uint32), *arrays]).astype(np.int32) for arrays in (zip(*parts, strict=True) if parts else ([], []))]
+    lengths, starts = np.zeros(len(shard), np.int32), np.zeros(len(shard), np.int32)
     order = np.argsort(shard, kind="stable")
-    lengths, starts = np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64)
-    in_order = np.concatenate([p[0] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
-    lengths[order] = in_order
-    starts[order] = np.cumsum(in_order) - in_order
-    flat = np.concatenate([p[1] for p in parts]).astype(np.int32) if parts else np.zeros(0, np.int32)
-    pieces = [flat[:0]]
+    lengths[order], starts[order] = in_order, np.cumsum(in_order) - in_order
+    ends = np.cumsum(np.concatenate([[0], lengths[sequence]]), dtype=np.int32)
+    ids = np.empty(ends[-1], np.int32)
     for at in range(0, len(sequence), BLOCK):
         block = sequence[at : at + BLOCK]
-        pieces.append(_gather(flat, starts[block], lengths[block]))
-    sizes = np.concatenate([[0], np.cumsum(lengths[sequence])])[np.concatenate([[0], np.cumsum(counts.astype(np.int64))])]
+        ids[ends[at] : ends[at + len(block)]] = _gather(flat, starts[block], lengths[block])
+    offsets = ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
     rows = chunk.column("rows").combine_chunks()
-    ids = pa.ListArray.from_arrays(pa.array(sizes.astype(np.int32)), pa.array(np.concatenate(pieces)))
-    return pa.table({"_row": rows.values.slice(rows.offsets[0].as_py(), len(counts)), "ids": ids})
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+    return pa.table({"_row": rows.values.slice(rows.offsets[0].as_py(), len(counts)), "ids": lists})
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: list[str] | None = None, out: str = "ids") -> DataFrame:
