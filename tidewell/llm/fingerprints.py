@@ -152,10 +152,8 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     sorted_ = texts.repartitionByRange(*order).sortWithinPartitions(*order)
     made = written(sorted_.mapInArrow(_along, f"{_RESULT}, part int, edge string, text string"), "fingerprints")
     first = made.where("edge = 'first'")
-    behind = Window.orderBy("part")
-    nexts = first.select("part").select("part", F.lead("part").over(behind).alias("_next"))
-    start = first.agg(F.min("part").alias("_start"))
-    nexts = nexts.withColumn("_one", F.lit(1)).join(start.withColumn("_one", F.lit(1)), "_one").select("part", F.coalesce("_next", "_start").alias("_next"))
+    # One row per partition; the last one's next is the first.
+    nexts = first.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy())).alias("_next"))
     following = first.select(F.col("part").alias("_next"), F.col("text").alias("following"))
     ends = made.where("edge = 'last'").select("doc_id", "text", "part").join(nexts, "part").join(following, "_next")
     whole = made.where("edge IS NULL").select(*list(_TYPES)[:7])
