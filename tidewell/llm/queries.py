@@ -1,9 +1,10 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import bpe, fingerprints, mixing, toxicity
+from tidewell.llm import bpe, fingerprints, mixing, neardup, toxicity
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
+    "op3_near_duplicates": neardup.op3_near_duplicates,
     "op5_bpe": bpe.op5_bpe,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op10_toxicity": toxicity.op10_toxicity,
