@@ -25,9 +25,11 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell import session
+
 # Documents of each label in the sample that lexicon and function are learned from.
 SAMPLE = 4_000
 # Most entries of the lexicon, and most exception phrases.
@@ -127,8 +129,10 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.withColumn("_place", place).where(F.col("_place") <= SAMPLE).drop("_place")
+    # Each task keeps SAMPLE ids of a label at most, and only these meet.
+    in_order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    clean, toxic = (known.where(F.col("toxic") == value).orderBy(*in_order).limit(SAMPLE) for value in (0, 1))
+    chosen = clean.union(toxic)
     half = F.pmod(F.crc32(F.concat(F.lit("half "), F.col("doc_id").cast("string"))), F.lit(2))
     # The sample has at most 2 * SAMPLE ids, so it may be broadcast at any size of the tables.
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", half.alias("half"))
@@ -159,12 +163,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     schema = "phrase string, toxic long, clean long, toxic_docs long, clean_docs long"
     counts = rows.where("half = 0").select("text", "toxic").mapInArrow(_counted, schema).groupBy("phrase")
     counts = counts.agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "toxic_docs", "clean_docs")])
-    words = Window.partitionBy()
-    every = [F.max(F.when(F.col("phrase") == "", F.col(c))).over(words) for c in ("toxic", "clean")]
-    kept = counts.where("phrase = '' OR toxic_docs + clean_docs >= 3")
-    odds = F.log((F.col("toxic") + 0.5) / (every[0] + 1)) - F.log((F.col("clean") + 0.5) / (every[1] + 1))
+    kept = session.durable(counts.where("phrase = '' OR toxic_docs + clean_docs >= 3"))
+    every = kept.where("phrase = ''").agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("toxic", "clean")]).head()
+    odds = F.log((F.col("toxic") + 0.5) / (every.toxic + 1)) - F.log((F.col("clean") + 0.5) / (every.clean + 1))
     z = odds / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    weighed = kept.select("phrase", "toxic_docs", "clean_docs", odds.alias("odds"), z.alias("z")).where("phrase <> ''")
+    weighed = kept.where("phrase <> ''").select("phrase", "toxic_docs", "clean_docs", odds.alias("odds"), z.alias("z"))
     two_words = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) == 3
     chosen = weighed.where(~two_words & (F.col("z") >= 4) & (F.col("odds") >= 1) & (F.col("toxic_docs") >= 3))
     entries = {r.phrase: float(r.odds) for r in chosen.orderBy(F.desc("z"), "phrase").limit(ENTRIES).collect()}
