@@ -1,10 +1,11 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import bpe, fingerprints, mixing, neardup, toxicity
+from tidewell.llm import bpe, fingerprints, mixing, neardup, suffix, toxicity
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
     "op3_near_duplicates": neardup.op3_near_duplicates,
+    "op4_repeated_passages": suffix.op4_repeated_passages,
     "op5_bpe": bpe.op5_bpe,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op10_toxicity": toxicity.op10_toxicity,

@@ -60,6 +60,14 @@ def shingle_hashes(texts: Sequence[bytes | None], words: int) -> tuple[np.ndarra
     return mixed((sums[e] - sums[s]) * inverse[s]), offsets
 
 
+def rolling_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """The hash of every ``width`` bytes; ``data`` holds at least so many."""
+    power, inverse = _powers(max(10, int(len(data)).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * power[: len(data)], out=sums[1:])
+    return mixed((sums[width:] - sums[:-width]) * inverse[: len(data) - width + 1])
+
+
 def bin_minima(hashes: np.ndarray, offsets: np.ndarray, bits: int) -> np.ndarray:
     """texts x 2**bits: the least remainder of the hashes that fall into a bin by their first bits; EMPTY if none."""
     texts = len(offsets) - 1
