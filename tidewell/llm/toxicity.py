@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +36,8 @@ SAMPLE = 4_000
 ENTRIES = 5_000
 THRESHOLD = 0.3
 PREFIXES = range(4, 11)
+# Standard errors by which the odds of an entry must differ from even.
+LEAST_Z = 3.5
 
 # Letters of other scripts that look like Latin ones, and what digits and signs stand for.
 LOOKALIKES = dict(zip("абвгдезікмнопрстухуьАВЕКМНОРСТХУІЈѕјԁһԛԝɡαβεικνορτυχωΑΒΕΖΗΙΚΜΝΟΡΤΥΧıłøđ", "abbrde3ikmhonpctyxybABEKMHOPCTXYIJsjdhqwgabeikvoptuxwABEZHIKMNOPTYXilod", strict=True))
@@ -105,20 +107,21 @@ def _phrases(folded: str) -> Iterator[str]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of every candidate in toxic and clean texts, and documents that hold it, summed over the task."""
-    sums: dict[bool, Counter] = {True: Counter(), False: Counter()}
-    docs: dict[bool, Counter] = {True: Counter(), False: Counter()}
+    """Occurrences of every candidate in toxic and clean texts of each half, and documents that hold it, for the task."""
+    sums, docs = defaultdict(Counter), defaultdict(Counter)
     for batch in batches:
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+        for text, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "half")), strict=True):
             own = Counter(_phrases(fold(text)))
             own[""] = sum(n for phrase, n in own.items() if phrase.endswith(" ") and phrase.count(" ") == 2)
-            sums[bool(toxic)].update(own)
-            docs[bool(toxic)].update(own.keys())
-    names = list(sums[True].keys() | sums[False].keys())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.string())] + [pa.array([c[x] for x in names], pa.int64()) for c in (sums[True], sums[False], docs[True], docs[False])],
-        names=["phrase", "toxic", "clean", "toxic_docs", "clean_docs"],
-    )
+            sums[half, toxic].update(own)
+            docs[half, toxic].update(own.keys())
+    for half in (0, 1):
+        names = list(sums[half, 1].keys() | sums[half, 0].keys())
+        counts = [pa.array([c[half, toxic][x] for x in names], pa.int64()) for c in (sums, docs) for toxic in (1, 0)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array([half] * len(names), pa.int64()), *counts],
+            names=["phrase", "half", "toxic", "clean", "toxic_docs", "clean_docs"],
+        )
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -127,7 +130,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
         .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
     # Each task keeps SAMPLE ids of a label at most, and only these meet.
     in_order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -158,26 +161,38 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = sample(docs, labels)
-    schema = "phrase string, toxic long, clean long, toxic_docs long, clean_docs long"
-    counts = rows.where("half = 0").select("text", "toxic").mapInArrow(_counted, schema).groupBy("phrase")
-    counts = counts.agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "toxic_docs", "clean_docs")])
-    kept = session.durable(counts.where("phrase = '' OR toxic_docs + clean_docs >= 3"))
-    every = kept.where("phrase = ''").agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("toxic", "clean")]).head()
+_COUNTS = ("toxic", "clean", "toxic_docs", "clean_docs")
+
+
+def _lexicon(counts: DataFrame) -> Model:
+    """Entries and exception phrases from the counts of the phrases."""
+    counts = counts.groupBy("phrase").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    every = counts.where("phrase = ''").agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("toxic", "clean")]).head()
     odds = F.log((F.col("toxic") + 0.5) / (every.toxic + 1)) - F.log((F.col("clean") + 0.5) / (every.clean + 1))
     z = odds / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    weighed = kept.where("phrase <> ''").select("phrase", "toxic_docs", "clean_docs", odds.alias("odds"), z.alias("z"))
+    weighed = counts.where("phrase <> ''").select("phrase", "toxic_docs", "clean_docs", odds.alias("odds"), z.alias("z"))
     two_words = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) == 3
-    chosen = weighed.where(~two_words & (F.col("z") >= 4) & (F.col("odds") >= 1) & (F.col("toxic_docs") >= 3))
+    chosen = weighed.where(~two_words & (F.col("z") >= LEAST_Z) & (F.col("odds") >= 1) & (F.col("toxic_docs") >= 3))
     entries = {r.phrase: float(r.odds) for r in chosen.orderBy(F.desc("z"), "phrase").limit(ENTRIES).collect()}
     # Whole words and pairs of words whose first word holds an entry, no more frequent in toxic texts.
     starts = F.array(*[F.substring("phrase", 1, n + 1) for n in PREFIXES])
     innocent = weighed.where("phrase LIKE '% ' AND odds <= 0 AND clean_docs >= 3")
     innocent = innocent.where(F.arrays_overlap(starts, F.lit(list(entries)))) if entries else innocent.limit(0)
-    exceptions = [r.phrase for r in innocent.orderBy("z", "phrase").limit(ENTRIES).collect()]
-    model = Model(entries, exceptions, None)
-    seen = rows.where("half = 1").select(_features(F.col("text"), model, rows.sparkSession).alias("x"), "toxic").collect()
+    return Model(entries, [r.phrase for r in innocent.orderBy("z", "phrase").limit(ENTRIES).collect()], None)
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """The lexicon of the whole sample, with a function fitted on each half by the lexicon of the other."""
+    rows = sample(docs, labels)
+    schema = "phrase string, half long, toxic long, clean long, toxic_docs long, clean_docs long"
+    counts = rows.mapInArrow(_counted, schema).groupBy("phrase", "half").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    counts = session.durable(counts.where("phrase = '' OR toxic_docs + clean_docs >= 2"))
+    model = _lexicon(counts)
+    seen = []
+    for half in (0, 1):
+        other = _lexicon(counts.where(F.col("half") != half))
+        own = rows.where(F.col("half") == half)
+        seen += own.select(_features(F.col("text"), other, rows.sparkSession).alias("x"), "toxic").collect()
     y = np.array([r.toxic for r in seen], float)
     if 0 < y.sum() < len(y):
         model.weights = _logistic(np.array([r.x for r in seen]), y).tolist()
