@@ -8,8 +8,8 @@
    members. Agreeing registers, corrected for chance collisions, must allow the similarity within five standard
    errors; what is left is confirmed on full sets, and components are formed.
 5. Buckets whose classes are still in different components are compared completely, but only across components, in
-   blocks, by registers; what the registers allow is confirmed on full sets too. So no pair that shares a bucket and
-   is not connected anyway goes unchecked, however many members a bucket has.
+   blocks, by registers and then by full sets. So no pair that shares a bucket and is not connected anyway goes
+   unchecked, however many members a bucket has, and a bucket gives no more links than it has members.
 
 Defined results: null, empty and blank texts have the empty set and are linked with nothing; a text with fewer words
 than a shingle has its whole sequence as the one shingle; rows with equal texts are one group; a null id is never the
@@ -41,6 +41,7 @@ SIMILAR = 80
 SLACK = 5.0
 # Members of a bucket compared with each other at a time.
 BLOCK = 512
+_BAND_OF = np.uint64(63)
 # Bytes of text hashed at a time.
 TEXT_BLOCK = 1_000_000
 
@@ -104,6 +105,8 @@ def _bands(classes: DataFrame) -> DataFrame:
                 for i in range(BAND):
                     keys = mixed(keys ^ bands[:, :, i])
                 ids = np.repeat(piece.column("id").to_numpy(), BANDS)
+                # The last bits of a key are its band's number.
+                keys = (keys & ~_BAND_OF) | np.arange(BANDS, dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["key", "id"])
 
     return classes.select("id", "registers").mapInArrow(cut, "key long, id long")
@@ -186,11 +189,12 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of one bucket and different labels that the registers allow.
+def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Links ``a, b`` that join different labels of a bucket; as many at most as the bucket has members.
 
     ``members`` has ``key, id, label``. A bucket of more than BLOCK members is dealt to blocks, and every two blocks meet
-    in a group of their own, so no group holds more than two blocks.
+    in a group of their own, so no group holds more than two blocks. Two classes are compared in the first of their common
+    buckets, if their registers allow the similarity and nothing has joined their labels before.
     """
     size = members.groupBy("key").agg(F.count("*").alias("_size"))
     dealt = members.join(size, "key").withColumn("_blocks", F.ceil(F.col("_size") / BLOCK).cast("int"))
@@ -198,23 +202,48 @@ def _across(members: DataFrame, classes: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     met = dealt.select("key", "id", "label", "_own", other.alias("_other"))
     group = [F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high")]
-    met = met.select("key", "id", "label", *group).join(classes.select("id", "n_shingles", "registers"), "id")
+    met = met.select("key", "id", "label", "_own", *group)
+    met = met.join(classes.select("id", "n_shingles", "registers"), "id").join(texts, "id")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["key", "_low", "_high"]):
-            ids, labels, n = (group.column(x).to_numpy() for x in ("id", "label", "n_shingles"))
-            matrix = _matrix(group.column("registers"))
-            pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            for i in range(len(ids) - 1):
-                j = i + 1 + np.flatnonzero(labels[i + 1 :] != labels[i])
-                j = j[_allowed(matrix[i], matrix[j], n[i], n[j])] if len(j) else j
-                pairs.append((np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])))
-            a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            found = list(_joining(group, words))
+            if found:
+                a, b = (pa.array(x, pa.int64()) for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     order = ["key", "_low", "_high"]
-    return met.repartition(*order).sortWithinPartitions(*order).mapInArrow(compared, "a long, b long").distinct()
+    return met.repartition(*order).sortWithinPartitions(*order).mapInArrow(compared, "a long, b long")
+
+
+def _joining(group: pa.Table, words: int) -> Iterator[tuple[int, int]]:
+    ids, labels, n, own = (group.column(x).to_numpy() for x in ("id", "label", "n_shingles", "_own"))
+    matrix, text = _matrix(group.column("registers")), group.column("text").cast(pa.binary())
+    band = group.column("key")[0].as_py() & int(_BAND_OF)
+    mixed_blocks = group.column("_low")[0].as_py() != group.column("_high")[0].as_py()
+    sets: dict[int, np.ndarray] = {}
+
+    def set_of(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = next(_distinct([text[i].as_py()], words))
+        return sets[i]
+
+    joined = labels.copy()
+    for i in range(len(ids) - 1):
+        j = np.arange(i + 1, len(ids))
+        j = j[(joined[j] != joined[i]) & ((own[j] != own[i]) | (not mixed_blocks))]
+        if not len(j):
+            continue
+        j = j[_allowed(matrix[i], matrix[j], n[i], n[j])]
+        shared = (matrix[i] == matrix[j])[:, : BANDS * BAND].reshape(-1, BANDS, BAND).all(axis=2)
+        for k in j[shared.argmax(axis=1) == band].tolist():
+            if joined[k] == joined[i]:
+                continue
+            one, two = set_of(i), set_of(k)
+            both = len(np.intersect1d(one, two, assume_unique=True))
+            if 100 * both >= SIMILAR * (len(one) + len(two) - both):
+                joined[joined == joined[k]] = joined[i]
+                yield int(ids[i]), int(ids[k])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -270,7 +299,7 @@ def groups(docs: DataFrame, words: int = 5) -> DataFrame:
     placed = members.where("size > 2").select("key", "id").join(labels, "id", "left")
     placed = session.durable(placed.select("key", "id", F.coalesce("label", "id").alias("label")))
     apart = placed.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high").select("key")
-    more = session.durable(_confirmed(_across(placed.join(apart, "key"), classes), texts, words))
+    more = session.durable(_across(placed.join(apart, "key"), classes, texts, words))
     if not more.isEmpty():
         labels = components(links.union(more))
 
