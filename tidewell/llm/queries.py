@@ -1,8 +1,9 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import bpe, fingerprints, mixing, neardup, suffix, toxicity
+from tidewell.llm import bpe, fingerprints, language, mixing, neardup, suffix, toxicity
 
 QUERIES = {
+    "op1_language": language.op1_language,
     "op2_mix": mixing.op2_mix,
     "op3_near_duplicates": neardup.op3_near_duplicates,
     "op4_repeated_passages": suffix.op4_repeated_passages,
