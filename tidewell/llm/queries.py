@@ -1,6 +1,6 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import bpe, curves, fingerprints, language, mixing, neardup, suffix, toxicity
+from tidewell.llm import bpe, curves, fingerprints, language, mixing, neardup, quality, suffix, toxicity
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_bpe": bpe.op5_bpe,
     "op7_nearest": curves.op7_nearest,
     "op8_fingerprints": fingerprints.op8_fingerprints,
+    "op9_quality": quality.op9_quality,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
