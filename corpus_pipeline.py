@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell import session
@@ -30,17 +30,21 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     return neardup.one_of_each(docs, words=5)
 
 
-@F.arrow_udf("string")
-def _readable(kept: pa.Array) -> pa.Array:
+def _readable(kept: Column) -> Column:
     """Bytes as text; what a cut has left of a character goes too."""
-    return pa.array([x.as_py().decode("utf-8", "ignore") for x in kept], pa.string())
+
+    @F.arrow_udf("string")
+    def text(parts: pa.Array) -> pa.Array:
+        return pa.array([x.as_py().decode("utf-8", "ignore") for x in parts], pa.string())
+
+    return text(kept)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts without their repeated passages; ``n_chars`` follows the text."""
     marked = docs.withColumn("_missing", F.col("text").isNull())
     cut = suffix.without_repeats(marked, [c for c in marked.columns if c != "text"])
-    cut = cut.select("_row.*", F.when(~F.col("_row._missing"), _readable("kept")).alias("text"))
+    cut = cut.select("_row.*", F.when(~F.col("_row._missing"), _readable(F.col("kept"))).alias("text"))
     columns = {c: F.col(c) for c in docs.columns}
     if "n_chars" in columns:
         columns["n_chars"] = F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType).alias("n_chars")
