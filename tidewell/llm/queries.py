@@ -1,6 +1,6 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import bpe, curves, fingerprints, language, mixing, neardup, quality, suffix, toxicity
+from tidewell.llm import bpe, curves, fingerprints, language, licences, mixing, neardup, quality, suffix, toxicity
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_near_duplicates": neardup.op3_near_duplicates,
     "op4_repeated_passages": suffix.op4_repeated_passages,
     "op5_bpe": bpe.op5_bpe,
+    "op6_licences": licences.op6_licences,
     "op7_nearest": curves.op7_nearest,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_quality": quality.op9_quality,
@@ -15,4 +16,5 @@ QUERIES = {
 }
 ORACLES = {
     "op2_mix": mixing.OP2_SQL,
+    "op6_licences": licences.OP6_SQL,
 }
