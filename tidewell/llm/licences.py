@@ -21,11 +21,16 @@ from tidewell.llm.licence_texts import SPELLINGS, TEXTS
 COPYRIGHT = r"^[ \t]*(copyright\b|\(c\)|©|all rights reserved)"
 
 
+def _spaced(words: str) -> str:
+    """Words as they stand in a line whose every word has a blank of its own on either side."""
+    return f" {words.replace(' ', '  ')} "
+
+
 def _canonical(line: Column) -> Column:
-    plain = F.trim(F.regexp_replace(line, r"[^a-z0-9]+", " "))
+    plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(line, r"[^a-z0-9]+", "  ")), F.lit(" "))
     for spelling, usual in SPELLINGS:
-        plain = F.when(plain.contains(spelling), F.regexp_replace(plain, rf"\b{spelling}\b", usual)).otherwise(plain)
-    return plain
+        plain = F.replace(plain, F.lit(_spaced(spelling)), F.lit(_spaced(usual)))
+    return F.trim(F.replace(plain, F.lit("  "), F.lit(" ")))
 
 
 def lines(text: Column) -> Column:
@@ -65,11 +70,12 @@ def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 def _lines_sql(text: str) -> str:
     lowered = f"translate(COALESCE({text}, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
-    kept = f"list_filter(string_split({lowered}, chr(10)), x -> NOT regexp_matches(x, '{COPYRIGHT}'))"
-    plain = "trim(regexp_replace(x, '[^a-z0-9]+', ' ', 'g'))"
+    kept = f"list_filter(string_split({lowered}, chr(10)), lambda x: NOT regexp_matches(x, '{COPYRIGHT}'))"
+    plain = "' ' || trim(regexp_replace(x, '[^a-z0-9]+', '  ', 'g')) || ' '"
     for spelling, usual in SPELLINGS:
-        plain = rf"regexp_replace({plain}, '\b{spelling}\b', '{usual}', 'g')"
-    return f"list_filter(list_transform({kept}, x -> {plain}), x -> x <> '')"
+        plain = f"replace({plain}, '{_spaced(spelling)}', '{_spaced(usual)}')"
+    plain = f"trim(replace({plain}, '  ', ' '))"
+    return f"list_filter(list_transform({kept}, lambda x: {plain}), lambda x: x <> '')"
 
 
 def _quoted(text: str) -> str:
