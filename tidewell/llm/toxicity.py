@@ -35,6 +35,8 @@ SAMPLE = 4_000
 # Most entries of the lexicon, and most exception phrases.
 ENTRIES = 5_000
 THRESHOLD = 0.3
+# Phrases that a task holds before it hands on their counts.
+HELD = 200_000
 PREFIXES = range(4, 11)
 # Standard errors by which the odds of an entry must differ from even.
 LEAST_Z = 3.5
@@ -109,19 +111,27 @@ def _phrases(folded: str) -> Iterator[str]:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of every candidate in toxic and clean texts of each half, and documents that hold it, for the task."""
     sums, docs = defaultdict(Counter), defaultdict(Counter)
+
+    def counts() -> Iterator[pa.RecordBatch]:
+        for half in (0, 1):
+            names = list(sums[half, 1].keys() | sums[half, 0].keys())
+            columns = [pa.array([c[half, toxic][x] for x in names], pa.int64()) for c in (sums, docs) for toxic in (1, 0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array([half] * len(names), pa.int64()), *columns],
+                names=["phrase", "half", "toxic", "clean", "toxic_docs", "clean_docs"],
+            )
+        sums.clear()
+        docs.clear()
+
     for batch in batches:
         for text, toxic, half in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "half")), strict=True):
             own = Counter(_phrases(fold(text)))
             own[""] = sum(n for phrase, n in own.items() if phrase.endswith(" ") and phrase.count(" ") == 2)
             sums[half, toxic].update(own)
             docs[half, toxic].update(own.keys())
-    for half in (0, 1):
-        names = list(sums[half, 1].keys() | sums[half, 0].keys())
-        counts = [pa.array([c[half, toxic][x] for x in names], pa.int64()) for c in (sums, docs) for toxic in (1, 0)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([half] * len(names), pa.int64()), *counts],
-            names=["phrase", "half", "toxic", "clean", "toxic_docs", "clean_docs"],
-        )
+            if sum(map(len, sums.values())) > HELD:
+                yield from counts()
+    yield from counts()
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
