@@ -16,7 +16,6 @@ equal rows are encoded each; an empty table gives an empty table; columns may ha
 from __future__ import annotations
 
 import base64
-import hashlib
 import itertools
 import zlib
 from collections import defaultdict
@@ -29,7 +28,7 @@ import regex
 import tiktoken
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
@@ -96,6 +95,8 @@ class _Chunk:
     def emit(self, chunk: int, shards: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """The sequence row, then one row of words for each shard that has any. Frequent words get small numbers."""
         rows, sequence = pa.concat_arrays(self.rows), np.concatenate(self.sequences)
+        sizes = np.array([len(s) for s in self.sequences])
+        self.sequences.clear()
         words = np.array(list(self.numbers), dtype=object)
         order = np.argsort(-np.bincount(sequence, minlength=len(words)), kind="stable")
         renumbered = np.empty(len(words), np.uint32)
@@ -103,7 +104,7 @@ class _Chunk:
         coded = [word.encode() for word in words[order]]
         shard = np.fromiter((zlib.crc32(word) % shards for word in coded), np.int64, len(coded))
         self.numbers.clear()
-        packed = _pack(np.array([len(s) for s in self.sequences]), shard, tail=_pack_ranked(renumbered[sequence]))
+        packed = _pack(sizes, shard, tail=_pack_ranked(renumbered[sequence]))
         del words, sequence
         lists = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
         yield pa.RecordBatch.from_arrays(
@@ -185,7 +186,7 @@ def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
     return values[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def _assemble(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+def _assembled(chunk: pa.Table, answers: pa.Table, packed: bool, table: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> pa.Table:
     (counts, shard), tail = _unpack(chunk.column("sequence")[0].as_py())
     sequence = _unpack_ranked(tail)
     by_shard = dict(zip(answers.column("shard").to_pylist(), answers.column("coded").to_pylist(), strict=True))
@@ -201,20 +202,55 @@ def _assemble(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         ids[ends[at] : ends[at + len(block)]] = _gather(flat, starts[block], lengths[block])
     offsets = ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
     rows = chunk.column("rows").combine_chunks()
-    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
-    return pa.table({"_row": rows.values.slice(rows.offsets[0].as_py(), len(counts)), "ids": lists})
-
-
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: list[str] | None = None, out: str = "ids") -> DataFrame:
-    """The columns ``keep`` (all, if not given) with the ids of ``text`` as an array of ints."""
+    made = {"_row": rows.values.slice(rows.offsets[0].as_py(), len(counts))}
+    spans = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
+    if packed:
+        made["ids"] = pa.array([ids[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())
+    else:
+        made["ids"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+    if table:
+        made["decoded"] = pa.array([_bytes_of(ids[a:b], table) for a, b in spans], pa.binary())
+    return pa.table(made)
+
+
+def encode(
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    text: str = "text",
+    keep: list[str] | None = None,
+    out: str = "ids",
+    packed: bool = False,
+    decoded: str | None = None,
+) -> DataFrame:
+    """The columns ``keep`` (all, if not given) with the ids of ``text`` as an array of ints.
+
+    ``packed`` gives the ids as little-endian unsigned 32-bit numbers instead; ``decoded`` names a further column with
+    the bytes that the ids stand for, joined in the task that has put the ids together.
+    """
     spark = docs.sparkSession
     slim = docs.select(F.struct(*[docs[c] for c in keep or docs.columns]).alias("_row"), docs[text].alias("_text"))
     chunks = written(_chunks(slim, pattern, shuffle_partitions(spark)), "bpe-chunks")
     answers = _answers(chunks.where("shard IS NOT NULL").select("chunk", "shard", "words"), spark.sparkContext.broadcast(ranks), pattern)
     sequences = chunks.where("shard IS NULL").select("chunk", "rows", "sequence")
-    schema = StructType([slim.schema["_row"], StructField("ids", ArrayType(IntegerType()))])
-    whole = sequences.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble, schema)
-    return whole.select("_row.*", F.col("ids").alias(out))
+    fields = [slim.schema["_row"], StructField("ids", BinaryType() if packed else ArrayType(IntegerType()))]
+    table = spark.sparkContext.broadcast(token_table(ranks)) if decoded else None
+    if decoded:
+        fields.append(StructField("decoded", BinaryType()))
+
+    def assemble(chunk: pa.Table, words: pa.Table) -> pa.Table:
+        return _assembled(chunk, words, packed, table.value if table else None)
+
+    whole = sequences.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(assemble, StructType(fields))
+    return whole.select("_row.*", F.col("ids").alias(out), *([F.col("decoded").alias(decoded)] if decoded else []))
+
+
+def _bytes_of(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> bytes:
+    """The bytes of the ids, from the token-byte table; the last place of the table stands for unknown ids."""
+    flat, starts, lengths = table
+    known = np.where((ids < 0) | (ids >= len(lengths)), len(lengths) - 1, ids)
+    blocks = (known[at : at + BLOCK] for at in range(0, len(known), BLOCK))
+    return b"".join(_gather(flat, starts[block], lengths[block]).tobytes() for block in blocks)
 
 
 def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,36 +268,20 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: s
 
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
-        flat, starts, lengths = table.value
-        texts = []
-        for row in lists:
-            known = np.asarray(row.values if row.is_valid else [], np.int64)
-            known = np.where((known < 0) | (known >= len(lengths)), len(lengths) - 1, known)
-            blocks = (known[at : at + BLOCK] for at in range(0, len(known), BLOCK))
-            texts.append(b"".join(_gather(flat, starts[block], lengths[block]).tobytes() for block in blocks))
-        return pa.array(texts, pa.binary())
+        rows = (np.asarray(row.values if row.is_valid else [], np.int64) for row in lists)
+        return pa.array([_bytes_of(row, table.value) for row in rows], pa.binary())
 
     return encoded.withColumn(out, joined(F.col(ids)))
 
 
-def ids_digest(ids: Column) -> Column:
-    """SHA-256 of the ids as little-endian unsigned 32-bit numbers, lowercase hex."""
-
-    @F.arrow_udf("string")
-    def digest(lists: pa.Array) -> pa.Array:
-        return pa.array([hashlib.sha256(np.asarray(row.values, "<u4").tobytes()).hexdigest() for row in lists])
-
-    return digest(ids)
-
-
 def coded_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
     ranks = read_ranks(docs.sparkSession, path)
-    decoded = decode(encode(docs, ranks, pattern, keep=["doc_id"]), ranks)
-    return decoded.select(
+    coded = encode(docs, ranks, pattern, keep=["doc_id"], packed=True, decoded="decoded")
+    return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        ids_digest(F.col("ids")).alias("ids_sha256"),
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
