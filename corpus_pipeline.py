@@ -59,8 +59,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of every document, with the digest of the bytes they decode to."""
     ranks = bpe.read_ranks(spark, public_tokenizers.path(VOCABULARY))
-    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source"])
-    return bpe.decode(coded, ranks).select(
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source"], decoded="decoded")
+    return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
