@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime
+import itertools
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -59,6 +61,48 @@ def test_merge_combines_changes_of_one_key(spark, target):
     assert found == {1: "again", 2: "late", 3: None, 4: "d", 5: "second"}
 
 
+def _fold(known: bool, changes: list[tuple], soft: bool):
+    """A row and its marks after single changes; None if there is none."""
+    row = {"v": "a", "status": "new", "created": None, "touched": None, "marked": False} if known else None
+    for value, operation, _ in sorted(changes, key=lambda c: c[2]):
+        if operation == "I" and row is None:
+            row = {"v": value, "status": "s", "created": NOW, "touched": NOW, "marked": False}
+        elif operation == "U" and row is not None:
+            row |= {"v": value, "status": "s", "touched": NOW}
+        elif operation == "D" and row is not None:
+            row = row | {"status": "deleted", "touched": NOW, "marked": True} if soft else None
+    return row
+
+
+def test_merge_equals_single_changes(spark):
+    """Every sequence of up to four changes, for known and unknown keys."""
+    runs = [s for n in range(5) for s in itertools.product("IUD", repeat=n)]
+    target = spark.createDataFrame([(i, "a", "new") for i in range(len(runs))], TABLE)
+    cases = {i + 1000 * (not known): (known, list(run)) for i, run in enumerate(runs) for known in (True, False)}
+    batch = [(key, f"v{n}", "s", op, n) for key, (_, run) in cases.items() for n, op in enumerate(run)]
+    random.Random(1).shuffle(batch)
+    for soft in (False, True):
+        found = {r.id: r for r in _merge(spark, target, batch, delete="soft" if soft else "hard").collect()}
+        for key, (known, run) in cases.items():
+            want = _fold(known, [(f"v{n}", op, n) for n, op in enumerate(run)], soft)
+            assert (key in found) == (want is not None), run
+            if want:
+                row = found[key]
+                assert (row.v, row.status, row._created_at, row._last_updated) == tuple(want[c] for c in ("v", "status", "created", "touched")), run
+                assert not soft or (row._is_deleted, row._deleted_at is not None) == (want["marked"], want["marked"]), run
+    loaded = {r.id: r.v for r in cdc.first_load(spark.createDataFrame(batch, CHANGES), ["id"], NOW, sequence="seq").collect()}
+    folded = {k: _fold(False, [(f"v{n}", op, n) for n, op in enumerate(run)], False) for k, (_, run) in cases.items()}
+    assert loaded == {k: row["v"] for k, row in folded.items() if row}
+
+
+def test_update_leaves_the_mark_of_a_deleted_row(spark, target):
+    once = _merge(spark, target, [(1, None, None, "D", 1)], delete="soft")
+    again = spark.createDataFrame([(1, "x", "up", "U", 2), (2, "i", "s", "I", 3)], CHANGES)
+    rows_ = {r.id: r for r in cdc.merge(once, again, ["id"], ["v", "status"], NOW, sequence="seq", delete="soft").collect()}
+    assert (rows_[1].v, rows_[1].status, rows_[1]._is_deleted, rows_[1]._deleted_at) == ("x", "up", True, NOW)
+    assert (rows_[2].v, rows_[2]._is_deleted) == ("b", False)
+
+
 def test_empty_batch_changes_nothing(spark, target):
     merged = _merge(spark, target, [])
     assert same(merged.select("id", "v", "status"), target)

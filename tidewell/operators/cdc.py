@@ -31,20 +31,38 @@ def _differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
 # --- merge ------------------------------------------------------------------------------------
 
 
-def collapse(changes: DataFrame, keys: Sequence[str], sequence: str | None = None) -> DataFrame:
-    """One change per key: the last row, with ``_inserts`` and ``_deletes`` telling whether the
-    batch also holds an insert or a delete of the key. Ties are broken by all columns."""
+def _in_order(changes: DataFrame, keys: Sequence[str], sequence: str | None) -> DataFrame:
+    """Changes with a known operation (I, U or D) as ``keys``, ``operation`` and ``_row``: all columns but the keys,
+    the sequence first, so that rows compare in the order in which they are applied. Ties go by all columns."""
     code = labels.operation_code(F.col("operation"))
     coded = changes.withColumn("operation", code).where(code.isNotNull())
-    newest = [c for c in [sequence] if c]
-    names = [c for c in coded.columns if c not in [*keys, *newest]]
-    last = F.max(F.struct(*newest, *names)).alias("_last")
-    seen = [
-        F.bool_or(F.col("operation") == "I").alias("_inserts"),
-        F.bool_or(F.col("operation") == "D").alias("_deletes"),
-    ]
-    grouped = coded.groupBy(*keys).agg(last, *seen)
-    return grouped.select(*keys, *[F.col("_last")[c].alias(c) for c in [*newest, *names]], "_inserts", "_deletes")
+    names = [c for c in [sequence] if c]
+    names += [c for c in coded.columns if c not in [*keys, *names]]
+    return coded.select(*keys, "operation", F.struct(*names).alias("_row"))
+
+
+def _extreme(operation: str, pick: str) -> Column:
+    """First or last row of an operation, as an aggregate that combines on the map side."""
+    own = F.when(F.col("operation") == operation, F.col("_row"))
+    return F.min(own) if pick == "first" else F.max(own)
+
+
+def _effects(changes: DataFrame, keys: Sequence[str], sequence: str | None, soft: bool) -> DataFrame:
+    """One row per key: what its changes come to if they are applied one by one.
+
+    ``_insert`` is the insert that brings the row into being, if the target has none at that point; ``_update`` the
+    last update of a present row, ``_delete`` the last delete. With hard deletes only what follows the last delete
+    counts; with soft deletes the row stays, and the first insert of an unknown key is the one that counts.
+    """
+    rows = _in_order(changes, keys, sequence)
+    if not soft:
+        rows = durable(rows)
+        deleted = rows.where("operation = 'D'").groupBy(*keys).agg(F.max("_row").alias("_gone"))
+        same_key = reduce(Column.__and__, [F.col(f"r.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys])
+        after = rows.alias("r").join(deleted.alias("d"), same_key, "left").select("r.*", "_gone")
+        rows = after.where("_gone IS NULL OR operation = 'D' OR _row > _gone")
+    found = {"_insert": _extreme("I", "first"), "_update": _extreme("U", "last"), "_delete": _extreme("D", "last")}
+    return rows.groupBy(*keys).agg(*[v.alias(c) for c, v in found.items()])
 
 
 def merge(
@@ -56,17 +74,16 @@ def merge(
     sequence: str | None = None,
     delete: str = "hard",
 ) -> DataFrame:
-    """Apply inserts, updates and deletes (``operation`` I/U/D) to ``target``.
+    """Apply inserts, updates and deletes (``operation`` I/U/D) to ``target``, as if one by one in order.
 
-    A matched D removes the row (``delete="hard"``) or marks it (``"soft"``: status ``deleted``,
-    ``_is_deleted``, ``_deleted_at``); a matched U replaces the ``update`` columns; an unmatched I
-    is inserted. A matched I and an unmatched U or D change nothing. A key with several changes
-    in the batch gets their combined effect: insert then update inserts the updated row, delete
-    then insert replaces the row.
+    A D on a present row removes it (``delete="hard"``) or marks it (``"soft"``: status ``deleted``, ``_is_deleted``,
+    ``_deleted_at``); a U on a present row replaces the ``update`` columns; an I of an absent key inserts. All others
+    change nothing. A marked row is still present: a U replaces its columns and leaves the mark, an I is ignored.
 
-    The result has the target's columns plus ``_created_at``, ``_last_updated`` and, for soft
-    deletes, ``_is_deleted`` and ``_deleted_at``. The combined batch is materialised and measured:
-    a small one is broadcast, so that the target is read but not shuffled.
+    The result has the target's columns plus ``_created_at``, ``_last_updated`` and, for soft deletes, ``_is_deleted``
+    and ``_deleted_at``. A row that is deleted and inserted again is a new row. The changes come down to one row per
+    key by aggregates; that batch is materialised and measured, and a small one is broadcast, so that the target is
+    read but not shuffled.
     """
     soft = delete == "soft"
     moment = _moment(now).cast("timestamp")
@@ -74,61 +91,69 @@ def merge(
     if soft:
         extra |= {"_is_deleted": "boolean", "_deleted_at": "timestamp"}
     present = target.withColumns({c: F.lit(None).cast(k) for c, k in extra.items() if c not in target.columns})
-    values = [F.col(c).alias(f"_new_{c}") for c in update]
-    batch = durable(
-        collapse(changes, keys, sequence).select(
-            *keys, *values, F.col("operation").alias("_operation"), "_inserts", "_deletes"
-        )
-    )
-    small = fits_broadcast(batch)
+    batch = durable(_effects(changes, keys, sequence, soft))
+    small = fits_broadcast(batch.select(*keys, "_insert", "_update"))
 
     def nearby(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
     # Rows of the target. With a small batch they are not moved.
-    operation = F.coalesce("_operation", F.lit(""))
-    removed = operation == "D"
-    replaced = (operation == "U") | ((operation == "I") & F.col("_deletes"))
-    columns: dict[str, Column] = {c: F.col(c) for c in present.columns}
-    columns |= {c: F.when(replaced, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in update}
-    touched = replaced | removed if soft else replaced
-    columns["_last_updated"] = F.when(touched, moment).otherwise(F.col("_last_updated"))
+    deleted = F.col("_delete").isNotNull()
+    reborn = deleted & F.col("_insert").isNotNull() & F.lit(not soft)
+    removed = deleted & ~reborn & F.lit(not soft)
+    marked = deleted & F.lit(soft)
+    updated = F.col("_update").isNotNull()
+    newest = F.when(reborn & (F.col("_update").isNull() | (F.col("_update") < F.col("_insert"))), F.col("_insert")).otherwise(F.col("_update"))
+    columns: dict[str, Column] = {c: F.col(c) if c in keys else F.when(~reborn, F.col(c)) for c in present.columns}
+    columns |= {c: F.when(reborn | updated, newest[c]).otherwise(F.col(c)) for c in update}
+    columns["_created_at"] = F.when(reborn, moment).otherwise(F.col("_created_at"))
+    columns["_last_updated"] = F.when(reborn | updated | marked, moment).otherwise(F.col("_last_updated"))
     if soft:
         if "status" in columns:
-            columns["status"] = F.when(removed, F.lit("deleted")).otherwise(columns["status"])
-        kept_flag = F.coalesce("_is_deleted", F.lit(False))
-        columns["_is_deleted"] = F.when(removed, True).when(replaced, False).otherwise(kept_flag)
-        columns["_deleted_at"] = F.when(removed, moment).when(~replaced, F.col("_deleted_at"))
+            last = marked & F.coalesce(F.col("_delete") > F.col("_update"), F.lit(True))
+            columns["status"] = F.when(last, F.lit("deleted")).otherwise(columns["status"])
+        columns["_is_deleted"] = marked | F.coalesce("_is_deleted", F.lit(False))
+        columns["_deleted_at"] = F.when(marked, moment).otherwise(F.col("_deleted_at"))
     matched = present.join(nearby(batch), list(keys), "left")
     kept = (matched if soft else matched.where(~removed)).select(*[v.alias(n) for n, v in columns.items()])
 
     # Rows of the batch whose key the target does not have.
     known = target.select(*keys).join(nearby(batch.select(*keys)), list(keys), "left_semi")
-    arriving = batch.where(F.col("_inserts") & (F.col("_operation") != "D"))
+    begun = F.col("_insert")
+    later = F.coalesce(F.col("_update") > begun, F.lit(False))
+    values = F.when(later, F.col("_update")).otherwise(begun)
     fresh: dict[str, Column] = {k: F.col(k) for k in keys}
-    fresh |= {c: F.col(f"_new_{c}") for c in update}
+    fresh |= {c: values[c] for c in update}
     fresh |= {"_created_at": moment, "_last_updated": moment}
     if soft:
-        fresh["_is_deleted"] = F.lit(False)
+        gone = F.coalesce(F.col("_delete") > begun, F.lit(False))
+        fresh |= {"_is_deleted": gone, "_deleted_at": F.when(gone, moment)}
+        if "status" in present.columns:
+            last = gone & (~later | F.coalesce(F.col("_delete") > F.col("_update"), F.lit(True)))
+            fresh["status"] = F.when(last, F.lit("deleted")).otherwise(fresh.get("status", F.lit(None).cast("string")))
     rest = {f.name: F.lit(None).cast(f.dataType) for f in present.schema.fields}
+    arriving = batch.where("_insert IS NOT NULL")
     inserted = arriving.join(known, list(keys), "left_anti").select(*[v.alias(n) for n, v in (rest | fresh).items()])
     return kept.unionByName(inserted)
 
 
 def first_load(changes: DataFrame, keys: Sequence[str], now: datetime.datetime | Column, sequence: str | None = None) -> DataFrame:
-    """Initial table from a change batch: keys whose combined effect is an insert."""
-    batch = collapse(changes, keys, sequence)
-    rows = batch.where(F.col("_inserts") & (F.col("operation") != "D")).drop("operation", "_inserts", "_deletes")
+    """Initial table from a change batch: what its changes leave if they are applied one by one to nothing."""
+    batch = _effects(changes, keys, sequence, soft=False).where("_insert IS NOT NULL")
+    later = F.coalesce(F.col("_update") > F.col("_insert"), F.lit(False))
+    row = F.when(later, F.col("_update")).otherwise(F.col("_insert"))
     moment = _moment(now).cast("timestamp")
-    return rows.withColumns({"_created_at": moment, "_last_updated": moment})
+    names = [c for c in changes.columns if c not in [*keys, "operation"]]
+    loaded = batch.select(*keys, *[row[c].alias(c) for c in names])
+    return loaded.withColumns({"_created_at": moment, "_last_updated": moment})
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All source rows plus the target rows whose key the source does not have.
 
-    ``source`` must hold one row per key (see :func:`collapse`, ``latest_per_key``).
+    ``source`` must hold one row per key (see ``latest_per_key``).
     """
-    arriving = source.select(*keys)
+    arriving = durable(source.select(*keys))
     side = F.broadcast(arriving) if fits_broadcast(arriving) else arriving
     untouched = target.join(side, list(keys), "left_anti")
     return untouched.unionByName(source, allowMissingColumns=True)
@@ -161,7 +186,7 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
 
 def apply_feed(before: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The snapshot after a change feed: the inverse of :func:`snapshot_diff`."""
-    gone = feed.select(*keys).distinct()
+    gone = durable(feed.select(*keys).distinct())
     side = F.broadcast(gone) if fits_broadcast(gone) else gone
     fresh = feed.where(F.col("_change_type").isin("insert", "update_postimage")).drop("_change_type")
     return before.join(side, list(keys), "left_anti").unionByName(fresh)

@@ -49,9 +49,12 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 10 * 1024 * 1024) -> bool:
-    """Measure a table: at most ``max_rows`` rows are read and their text sizes added up."""
+    """Measure a table: its rows and the sum of their text sizes, added up where the rows are.
+
+    Meant for frames that are materialised anyway (``durable``); others are computed once more.
+    """
     size = F.sum(F.length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))))
-    measured = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
+    measured = df.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
     return measured["n"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
 
 

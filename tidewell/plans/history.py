@@ -36,47 +36,58 @@ def _state_sql(condition: str = "TRUE") -> str:
 
 _BEFORE = "updated_at < TIMESTAMP '2024-01-15'"
 _AFTER = "updated_at >= TIMESTAMP '2024-01-15'"
-_BATCH = f"""SELECT user_id, arg_max(balance, updated_at) AS balance, arg_max(status, updated_at) AS status,
-        arg_max(operation, updated_at) AS operation, MAX(updated_at) AS updated_at,
-        bool_or(operation = 'INSERT') AS inserts, bool_or(operation = 'DELETE') AS deletes
-    FROM moves WHERE {_AFTER} GROUP BY 1"""
-_MERGED = f"""SELECT user_id,
-        CASE WHEN written THEN nb ELSE ob END AS balance, CASE WHEN written THEN ns ELSE os END AS status,
-        CASE WHEN written THEN nu ELSE ou END AS updated_at, inserted, written, removed, matched
-    FROM (SELECT *, matched AND (op = 'UPDATE' OR (op = 'INSERT' AND deletes)) OR inserted AS written FROM (
-        SELECT COALESCE(o.user_id, n.user_id) AS user_id, o.balance AS ob, o.status AS os, o.updated_at AS ou,
-               n.balance AS nb, n.status AS ns, n.updated_at AS nu, n.operation AS op, n.deletes,
-               o.user_id IS NOT NULL AND n.user_id IS NOT NULL AS matched,
-               o.user_id IS NOT NULL AND COALESCE(n.operation = 'DELETE', FALSE) AS removed,
-               o.user_id IS NULL AND n.inserts AND n.operation <> 'DELETE' AS inserted
-        FROM old o FULL JOIN batch n ON o.user_id = n.user_id))
-    WHERE ob IS NOT NULL OR inserted"""
 _STAMP = "TIMESTAMP '2024-02-01'"
 _COLUMNS = f"user_id, {sql.dbl('balance')} AS balance"
 
 
-@R.add(sql.query("moves", f"""SELECT {_COLUMNS}, status, updated_at, CASE WHEN inserted THEN {_STAMP} END AS _created_at,
-    CASE WHEN written THEN {_STAMP} END AS _last_updated FROM merged WHERE NOT removed""",
-    old=_state_sql(_BEFORE), batch=_BATCH, merged=_MERGED))
+
+
+def _fold_sql(old: str, changes: str, soft: bool, body: str) -> str:
+    """Changes applied to ``old`` one by one, in order, by recursion over single changes."""
+    gone = "op = 'DELETE' AND present"
+    born, written = "(op = 'INSERT' AND NOT present)", "((op = 'INSERT' AND NOT present) OR (op = 'UPDATE' AND present))"
+    lost = "FALSE" if soft else f"({gone})"
+    status = f"WHEN {gone} THEN 'deleted'" if soft else ""
+    views = sql.query("moves", "", seqd=f"""SELECT *, row_number() OVER (PARTITION BY user_id
+            ORDER BY updated_at, balance, status, operation, event_id) AS n FROM moves WHERE {changes}""",
+        old=old,
+        fold=f"""SELECT u.user_id, CAST(0 AS BIGINT) AS n, o.user_id IS NOT NULL AS present, o.balance, o.status, o.updated_at,
+                NULL::TIMESTAMP AS created, NULL::TIMESTAMP AS touched, FALSE AS marked
+            FROM (SELECT user_id FROM seqd UNION SELECT user_id FROM old) u LEFT JOIN old o USING (user_id)
+        UNION ALL
+            SELECT user_id, n, CASE WHEN {born} THEN TRUE WHEN {lost} THEN FALSE ELSE present END,
+                CASE WHEN {written} THEN nb ELSE balance END,
+                CASE WHEN {written} THEN ns {status} ELSE status END, CASE WHEN {written} THEN nu ELSE updated_at END,
+                CASE WHEN {born} THEN {_STAMP} WHEN {lost} THEN NULL ELSE created END,
+                CASE WHEN {written} OR ({gone} AND {soft}) THEN {_STAMP} WHEN {lost} THEN NULL ELSE touched END,
+                marked OR ({gone} AND {soft})
+            FROM (SELECT f.*  EXCLUDE (n), s.n, s.operation AS op, s.balance AS nb, s.status AS ns, s.updated_at AS nu
+                  FROM fold f JOIN seqd s ON s.user_id = f.user_id AND s.n = f.n + 1)""",
+        final="SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC) AS r FROM fold) WHERE r = 1 AND present",
+    )
+    return views.replace("WITH ", "WITH RECURSIVE ", 1) + body
+
+
+_NOTHING = "SELECT * FROM (" + _state_sql(_BEFORE) + ") WHERE FALSE"
+
+
+@R.add(_fold_sql(_state_sql(_BEFORE), _AFTER, False, f"""SELECT {_COLUMNS}, status, updated_at,
+    created AS _created_at, touched AS _last_updated FROM final"""))
 def merge_hard_delete(spark, folder):
     target = _state(spark, folder)
     return cdc.merge(target, _batch(spark, folder), KEYS, [*TRACKED, SEQ], NOW, sequence=SEQ)
 
 
-@R.add(sql.query("moves", f"""SELECT {_COLUMNS}, CASE WHEN removed THEN 'deleted' ELSE status END AS status, updated_at,
-    CASE WHEN inserted THEN {_STAMP} END AS _created_at,
-    CASE WHEN written OR removed THEN {_STAMP} END AS _last_updated, removed AS _is_deleted,
-    CASE WHEN removed THEN {_STAMP} END AS _deleted_at FROM merged""",
-    old=_state_sql(_BEFORE), batch=_BATCH, merged=_MERGED))
+@R.add(_fold_sql(_state_sql(_BEFORE), _AFTER, True, f"""SELECT {_COLUMNS}, status, updated_at, created AS _created_at,
+    touched AS _last_updated, marked AS _is_deleted, CASE WHEN marked THEN {_STAMP} END AS _deleted_at FROM final"""))
 def merge_soft_delete(spark, folder):
     target = _state(spark, folder)
     return cdc.merge(target, _batch(spark, folder), KEYS, [*TRACKED, SEQ], NOW, sequence=SEQ, delete="soft")
 
 
-@R.add(sql.query("moves", f"""SELECT {_COLUMNS}, status, updated_at FROM batch WHERE inserts AND operation <> 'DELETE'""",
-    batch=_BATCH))
+@R.add(_fold_sql(_NOTHING, "TRUE", False, f"SELECT {_COLUMNS}, status, updated_at FROM final"))
 def merge_first_load(spark, folder):
-    loaded = cdc.first_load(_batch(spark, folder), KEYS, NOW, sequence=SEQ)
+    loaded = cdc.first_load(catalog.changes(spark, folder), KEYS, NOW, sequence=SEQ)
     return loaded.select("user_id", "balance", "status", SEQ)
 
 
