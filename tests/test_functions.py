@@ -31,6 +31,19 @@ def test_ratios_round_half_up_exactly(spark, pairs):
         assert float(row.m) == _half_up(row.amount / row.n, 2)
 
 
+def test_ratios_of_doubles_and_large_values(spark):
+    cases = [(0.125, 1.0, 3, 0.125), (0.29, 1.0, 2, 0.29), (9e15, 1.0, 6, 9e15), (1e16, 7.0, 2, 1428571428571428.57), (-1.0, 3.0, 2, -0.33)]
+    cases += [(0.005, 1.0, 2, 0.01), (-0.005, 1.0, 2, -0.01), (1.0, 0.0, 2, None), (1e30, 7.0, 2, None), (None, 1.0, 2, None)]
+    for top, bottom, places, want in cases:
+        df = spark.createDataFrame([(top, bottom)], "a double, b double")
+        found = df.select(numbers.ratio(F.col("a"), F.col("b"), places), numbers.mean_money(F.col("a"), F.col("b"))).head()
+        assert found[0] == (pytest.approx(want, rel=1e-15) if want is not None else None)
+        if want is not None and places == 2:
+            assert found[1] == Decimal(str(want)).quantize(Decimal("0.01"))
+    too_large = spark.createDataFrame([(1e17, 1.0)], "a double, b double").select(numbers.mean_money(F.col("a"), F.col("b"))).head()[0]
+    assert too_large is None
+
+
 def test_percent_of_nothing_is_unknown(spark):
     df = spark.createDataFrame([(1, 8), (1, 0), (None, 5), (3, None)], "a long, b long")
     found = [r[0] for r in df.select(numbers.percent(F.col("a"), F.col("b"))).collect()]
