@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import labels
 from tidewell.functions.numbers import ratio
 from tidewell.operators.monitor import SCORE
+from tidewell.session import durable
 
 VECTOR = "_features"
 SEED = 42
@@ -172,25 +173,31 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
 
 
 def _score_groups(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per score, with running sums from the greatest score down.
+    """Positives and negatives per distinct score, with running sums from the greatest score down.
 
-    Scores are rounded to four places, so at most 10,001 rows reach the ordered window.
+    Scores are taken as they are, so there may be as many as rows. They are range-partitioned in order; sums run within
+    a partition, and what lies above it is added from one row per partition.
     """
     groups = (
         df.where(F.col(score).isNotNull())
-        .groupBy(F.round(F.col(score).cast("double"), 4).alias("threshold"))
+        .groupBy(F.col(score).cast("double").alias("threshold"))
         .agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
+        .repartitionByRange(F.desc("threshold"))
     )
-    down = W.orderBy(F.desc("threshold")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    whole = W.partitionBy()
-    return groups.withColumns(
-        {
-            "tp": F.sum("p").over(down),
-            "fp": F.sum("n").over(down),
-            "positives": F.sum("p").over(whole),
-            "negatives": F.sum("n").over(whole),
-        }
+    placed = durable(groups.withColumn("_part", F.spark_partition_id()))
+    parts = placed.groupBy("_part").agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
+    above, whole = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1), W.partitionBy()
+    sums = parts.select(
+        "_part",
+        *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("_p", "_n")],
+        F.sum("_p").over(whole).alias("positives"),
+        F.sum("_n").over(whole).alias("negatives"),
     )
+    down = W.partitionBy("_part").orderBy(F.desc("threshold")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = {"tp": F.sum("p").over(down), "fp": F.sum("n").over(down)}
+    joined = placed.withColumns(running).join(sums, "_part")
+    moved = {"tp": F.col("tp") + F.col("_p_above"), "fp": F.col("fp") + F.col("_n_above")}
+    return joined.withColumns(moved).drop("_part", "_p_above", "_n_above")
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:

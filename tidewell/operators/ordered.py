@@ -88,7 +88,9 @@ def slot_rows(
 
     def cut(frame: DataFrame, large: DataFrame) -> DataFrame:
         part = F.floor((F.col("_place") - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)))
-        slot = F.col(SLOT) * SLOTS_PER_LEVEL + F.coalesce(F.least(part, F.lit(SLOTS_PER_LEVEL - 1)), F.lit(0))
+        # A row without sequence sorts first, so it belongs to the first slot; ``least`` alone would skip its NULL.
+        place = F.when(part.isNull(), F.lit(0)).otherwise(F.least(part, F.lit(SLOTS_PER_LEVEL - 1)))
+        slot = F.col(SLOT) * SLOTS_PER_LEVEL + place
         joined = frame.join(F.broadcast(large), group, "left")
         return joined.withColumns({SLOT: slot, "_cut": F.col("_width").isNotNull()}).drop("_low", "_width")
 

@@ -126,10 +126,10 @@ def feature_rules(spark, folder):
     return results.select("rule_name", "column", "failed_records")
 
 
-# --- scored documents: label = quality, score = share of 20,000 characters ----------------------
+# --- scored documents: label = quality, score = n / (n + 10,000) for n characters ----------------------
 
-_SCORED = """SELECT doc_id, quality AS label, CAST(least(n_chars, 20000) // 2 AS DOUBLE) / 10000.0 AS score,
-        CAST(least(n_chars, 2000) // 2 AS DOUBLE) / 1000.0 AS steep_score,
+_SCORED = """SELECT doc_id, quality AS label, CAST(n_chars AS DOUBLE) / (n_chars + 10000) AS score,
+        CAST(n_chars AS DOUBLE) / (n_chars + 1000) AS steep_score,
         CAST(n_chars >= 1000 AS INT) AS prediction
     FROM labels JOIN documents USING (doc_id)"""
 _CONFUSION = """SELECT COUNT(*) FILTER (label = 1 AND prediction = 1) AS true_positive,
@@ -144,7 +144,7 @@ _METRICS = f"""SELECT COALESCE({sql.ratio(f'({_TP} + {_TN})', f'({_TP} + {_TN} +
 
 
 def _groups_sql(score: str) -> str:
-    return f"""SELECT round({score}, 4) AS threshold, COUNT(*) FILTER (label = 1) AS p, COUNT(*) FILTER (label = 0) AS n
+    return f"""SELECT {score} AS threshold, COUNT(*) FILTER (label = 1) AS p, COUNT(*) FILTER (label = 0) AS n
         FROM scored GROUP BY 1"""
 
 
@@ -169,8 +169,8 @@ def _scored(spark, folder):
         .select(
             "doc_id",
             F.col("quality").alias("label"),
-            (F.floor(F.least(length, F.lit(20_000)) / 2) / F.lit(10_000.0)).alias("score"),
-            (F.floor(F.least(length, F.lit(2_000)) / 2) / F.lit(1_000.0)).alias("steep_score"),
+            (length / (length + 10_000)).alias("score"),
+            (length / (length + 1_000)).alias("steep_score"),
             (length >= 1000).cast("int").alias("prediction"),
         )
     )
@@ -229,11 +229,11 @@ def standard_scores(spark, folder):
 # --- monitoring: risk classes of document scores ------------------------------------------------
 
 _RISKS = """SELECT *, CASE WHEN steep_score >= 0.7 THEN 'HIGH' WHEN steep_score >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS churn_risk
-    FROM (SELECT doc_id, lang, CAST(least(n_chars, 2000) // 2 AS DOUBLE) / 1000.0 AS steep_score FROM documents)"""
+    FROM (SELECT doc_id, lang, CAST(n_chars AS DOUBLE) / (n_chars + 1000) AS steep_score FROM documents)"""
 
 
 def _risks(spark, folder):
-    steep = (F.floor(F.least(F.col("n_chars"), F.lit(2_000)) / 2) / F.lit(1_000.0)).alias("steep_score")
+    steep = (F.col("n_chars") / (F.col("n_chars") + 1_000)).alias("steep_score")
     scored = catalog.table(spark, folder, "documents").select("doc_id", "lang", steep)
     return scored.withColumn("churn_risk", labels.score_risk(F.col("steep_score")))
 
