@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,7 +99,7 @@ def test_output_modes_and_progress(spark, places):
     assert spark.table("updated").count() == 2
 
 
-def test_new_files_keep_the_first_schema(spark, places, tmp_path):
+def test_new_files_bring_new_columns(spark, places, tmp_path):
     source, out, checkpoint = places
     _write(source, "a.json", [{"product_id": "p1", "price": 2.5}])
     schema_path = str(tmp_path / "schema")
@@ -106,9 +107,30 @@ def test_new_files_keep_the_first_schema(spark, places, tmp_path):
     sinks.write_parquet(stream, out, checkpoint, trigger=ALL_AT_ONCE).awaitTermination()
     _write(source, "b.json", [{"product_id": "p2", "price": 3.5, "extra": "x"}])
     again = ev.read_new_files(spark, str(source), schema_path)
-    assert again.columns == ["price", "product_id"]
+    assert again.columns == ["price", "product_id", "extra"]
     sinks.write_parquet(again, out, checkpoint, trigger=ALL_AT_ONCE).awaitTermination()
-    assert rows(spark.read.parquet(out).select("product_id", "price")) == [("p1", 2.5), ("p2", 3.5)]
+    found = spark.read.option("mergeSchema", True).parquet(out).select("product_id", "price", "extra")
+    assert rows(found) == [("p1", 2.5, None), ("p2", 3.5, "x")]
+    assert ev.read_new_files(spark, str(source), schema_path).columns == again.columns
+
+
+def test_event_stream_reads_files_and_folders(spark, data, tmp_path):
+    events = catalog.table(spark, data, "events")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    counts = []
+    for folder in (data, str(tmp_path)):
+        out = tempfile.mkdtemp(dir=tmp_path)
+        stream = catalog.event_stream(spark, folder)
+        sinks.write_parquet(stream, f"{out}/rows", f"{out}/checkpoint", trigger=ALL_AT_ONCE).awaitTermination()
+        counts.append(spark.read.parquet(f"{out}/rows").count())
+    assert counts == [events.count()] * 2
+
+
+def test_state_refuses_another_number_of_buckets(spark, tmp_path):
+    batch = spark.createDataFrame([(1, 1, "a", "U")], SCHEMA)
+    incremental.apply_batch(batch, 0, str(tmp_path / "s"), ["id"], "seq", buckets=4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        incremental.apply_batch(batch, 1, str(tmp_path / "s"), ["id"], "seq", buckets=8)
 
 
 def test_kafka_round_trip(spark):

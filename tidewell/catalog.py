@@ -161,8 +161,12 @@ def as_events(raw: DataFrame) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table as a file stream."""
-    raw = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
+    """The event table as a file stream, be it one file or a folder of parts.
+
+    The pattern in the name makes the stream look for the table among its siblings: a file is taken as it is, a folder
+    with all its parts. Without any, Spark refuses to start.
+    """
+    raw = spark.readStream.schema(SCHEMAS["events"]).parquet(f"{folder}/events.parque[t]")
     return as_events(raw)
 
 

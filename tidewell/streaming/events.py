@@ -64,21 +64,33 @@ def read_kafka_stream(
     return decode_kafka(spark.readStream.format("kafka").options(**options).load(), schema)
 
 
+def _merged(known: StructType, seen: StructType) -> StructType:
+    """The known fields as they are, and the new ones behind them."""
+    names = {f.name.lower() for f in known.fields}
+    return StructType([*known.fields, *[f for f in seen.fields if f.name.lower() not in names]])
+
+
 def remembered_schema(spark: SparkSession, path: str, schema_path: str) -> StructType:
-    """The schema stored under ``schema_path``; inferred from the files and stored the first time."""
+    """The schema stored under ``schema_path``, widened by the columns that the files have got since.
+
+    Known columns keep their types; a widened schema is stored as a further version, and the one with most columns is
+    the latest. A running stream keeps its schema: new columns are read from its next start on.
+    """
+    known = StructType([])
     try:
-        text = spark.read.option("wholetext", True).text(schema_path).first()
-        return StructType.fromJson(json.loads(text[0]))
+        stored = spark.read.option("wholetext", True).text(schema_path).collect()
+        known = max((StructType.fromJson(json.loads(r[0])) for r in stored), key=lambda s: len(s.fields), default=known)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-    schema = spark.read.json(path).schema
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(schema_path)
+    schema = _merged(known, spark.read.json(path).schema)
+    if len(schema.fields) > len(known.fields):
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("append").text(schema_path)
     return schema
 
 
 def read_new_files(spark: SparkSession, path: str, schema_path: str, **options: str) -> DataFrame:
-    """New JSON files of a folder, with a schema inferred once and remembered across restarts."""
+    """New JSON files of a folder, with an inferred schema that is remembered and widened across restarts."""
     return spark.readStream.schema(remembered_schema(spark, path, schema_path)).options(**options).json(path)
 
 

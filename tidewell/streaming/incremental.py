@@ -53,6 +53,20 @@ def current_state(spark: SparkSession, state_dir: str) -> DataFrame:
     return state.where(~F.col(GONE)).drop(GONE, BUCKET)
 
 
+def _same_buckets(spark: SparkSession, state_dir: str, buckets: int) -> None:
+    """The number of buckets belongs to the state: keys would have two homes under another one."""
+    path = f"{state_dir}/_buckets"
+    try:
+        stored = int(spark.read.text(path).first()[0])
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.text(path)
+        return
+    if stored != buckets:
+        raise ValueError(f"{state_dir} is kept in {stored} buckets, not {buckets}; build a new state to change that")
+
+
 def apply_batch(
     batch: DataFrame,
     batch_id: int,
@@ -63,6 +77,7 @@ def apply_batch(
     buckets: int = 64,
 ) -> None:
     """Merge one batch of changes into the state; the greatest sequence per key wins."""
+    _same_buckets(batch.sparkSession, state_dir, buckets)
     gone = F.coalesce(F.expr(is_delete), F.lit(False)) if is_delete else F.lit(False)
     bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
     order = [F.desc_nulls_last(sequence), *all_columns_order(batch, skip=[*keys, sequence])]
