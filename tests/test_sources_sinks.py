@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows, same
 from tidewell import sinks, sources
+from tidewell.sinks import layout
 from tidewell.sinks.layout import zvalue
 
 SCHEMA = "id string, quantity int, price double"
@@ -95,6 +96,23 @@ def test_compact(spark, tmp_path):
         sinks.compact(spark, many, many + "/")
 
 
+def test_compact_keeps_partitions(spark, tmp_path):
+    many, few = str(tmp_path / "many"), str(tmp_path / "few")
+    df = spark.range(300).withColumn("part", F.col("id") % 3).repartition(10)
+    df.write.partitionBy("part").parquet(many)
+    sinks.compact(spark, many, few, partition_columns=["part"])
+    files = spark.read.parquet(few).inputFiles()
+    assert len(files) == 3 and all("/part=" in f for f in files)
+    assert same(spark.read.parquet(few).selectExpr("id", "CAST(part AS BIGINT) part"), df)
+
+
+def test_text_cuts_follow_the_rows(spark):
+    df = spark.range(6_400).selectExpr("IF(id % 2 = 0, 'm', LPAD(CAST(id AS STRING), 5, '0')) AS t")
+    cuts = layout.zorder_cuts(df, ["t"], bits=3)["t"]
+    assert 3 <= len(cuts) <= 7 and cuts == sorted(cuts)
+    assert layout.zorder_cuts(df.limit(0), ["t"], bits=3)["t"] == []
+
+
 def test_zvalue_interleaves_bits(spark):
     df = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (3, 2), (None, 3)], "a int, b int")
     cuts = {"a": [1, 2, 3], "b": [1, 2, 3]}

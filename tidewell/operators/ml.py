@@ -259,6 +259,15 @@ def score(df: DataFrame, model: PipelineModel, model_name: str = "churn", stage:
     return _audited(model.transform(df).select(*kept, probability), model_name, stage)
 
 
+def save(model: PipelineModel, path: str) -> None:
+    """Store a fitted model as a directory; a later job scores with :func:`load`."""
+    model.write().overwrite().save(path)
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 Predict = Callable[[pd.DataFrame], Sequence[float]]
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
 
 from pyspark.sql import functions as F
 
@@ -294,9 +293,8 @@ def score_drift(spark, folder):
 _INPUTS = [c for c in ft.FEATURES if c not in ft.LEAKY]
 
 
-@cache
 def _training(spark, folder):
-    """Features without the ones that give the label away, materialised once per session."""
+    """Features without the ones that give the label away, materialised."""
     table = _features(spark, folder, days=TRAINING_DAYS, drop_leaky=True)
     typed = table.select("customer_id", *[F.col(c).cast("double").alias(c) for c in _INPUTS], "is_churned")
     return durable(typed)
@@ -371,6 +369,22 @@ def scored_customers(spark, folder):
     return scored.select("customer_id", monitor.SCORE, "churn_risk", "model_name", "model_stage")
 
 
+@R.add(sql.query("rich", f"""SELECT customer_id, TRUE AS is_probability, TRUE AS risk_follows_score
+    FROM (SELECT customer_id FROM ({_LIFE}))"""))
+def scored_from_stored_model(spark, folder):
+    """A model that is stored, loaded again and then scores every customer; what SQL can tell about the result."""
+    path = scratch_dir(spark, "model")
+    model, _ = _fitted(ml.logistic_regression(_INPUTS, "is_churned", maxIter=50), spark, folder)
+    ml.save(model, path)
+    scored = ml.score(_training(spark, folder), ml.load(path))
+    risk = labels.score_risk(F.col(monitor.SCORE))
+    return scored.select(
+        "customer_id",
+        F.col(monitor.SCORE).between(0, 1).alias("is_probability"),
+        (F.col("churn_risk") == risk).alias("risk_follows_score"),
+    )
+
+
 def _load_velocity_rule():
     return lambda batch: (1.0 / (1.0 + 20.0 * batch["purchase_velocity"])).to_numpy()
 

@@ -158,6 +158,20 @@ def compact_small_files(spark, folder):
     return kept.groupBy("l_returnflag").agg(F.count("*").alias("rows_kept"), F.sum(F.col("l_extendedprice").cast(MONEY)).alias("total"))
 
 
+@R.add("SELECT o_orderstatus, COUNT(*) AS rows_kept, 1 AS files FROM orders GROUP BY 1")
+def compact_partitions(spark, folder):
+    """Small files compacted inside the directories of a partitioned table."""
+    many, few = scratch_dir(spark, "many-parts"), scratch_dir(spark, "few-parts")
+    orders = catalog.table(spark, folder, "orders")
+    orders.repartition(20).write.partitionBy("o_orderstatus").parquet(many)
+    sinks.compact(spark, many, few, partition_columns=["o_orderstatus"])
+    kept = sources.read_parquet(spark, few).withColumn("file", F.input_file_name())
+    # One file for a small partition; larger tables get as many as their size asks for.
+    return kept.groupBy("o_orderstatus").agg(
+        F.count("*").alias("rows_kept"), F.least(F.lit(1), F.count_distinct("file")).cast("int").alias("files")
+    )
+
+
 _Z_CUTS = {"o_totalprice": [100_000.0, 250_000.0, 400_000.0], "o_orderkey": [1_000.0, 5_000.0, 9_000.0]}
 
 

@@ -36,32 +36,45 @@ def write_partitioned(
     )
 
 
-def compact(spark: SparkSession, source: str, destination: str, target_files: int | None = None) -> None:
+def compact(
+    spark: SparkSession,
+    source: str,
+    destination: str,
+    target_files: int | None = None,
+    partition_columns: Sequence[str] = (),
+) -> None:
     """Rewrite a table of many small files into a new directory.
 
     Without ``target_files`` adaptive execution sizes the files by
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. ``partition_columns`` keeps the directories of a partitioned
+    table; its files are then sized within them.
     """
     if source.rstrip("/") == destination.rstrip("/"):
         raise ValueError("compact writes a new directory, never the one it reads")
     df = spark.read.option("mergeSchema", True).parquet(source)
-    sized = df.repartition(target_files) if target_files else df.hint("rebalance")
-    sized.write.mode("overwrite").parquet(destination)
+    if partition_columns:
+        sized = df.hint("rebalance", *[F.col(c) for c in partition_columns])
+    else:
+        sized = df.repartition(target_files) if target_files else df.hint("rebalance")
+    sized.write.mode("overwrite").partitionBy(*partition_columns).parquet(destination)
 
 
-def zorder_cuts(df: DataFrame, columns: Sequence[str], bits: int = 6, sample_rows: int = 20_000) -> dict[str, list]:
+def zorder_cuts(df: DataFrame, columns: Sequence[str], bits: int = 6) -> dict[str, list]:
     """Split points that cut each column into ``2**bits`` buckets of about equal row counts.
 
-    Numbers, dates and timestamps use approximate quantiles; text uses the quantiles of a sample
-    of at most ``sample_rows`` values. The cuts only steer the file layout.
+    Numbers, dates and timestamps use approximate quantiles; text takes the least value of each of ``2**bits`` range
+    partitions of all its rows. The cuts only steer the file layout.
     """
     numeric = [c for c in columns if not isinstance(df.schema[c].dataType, StringType)]
     cuts = quantile_cuts(df, {c: number_line(df, c) for c in numeric}, 2**bits)
     for name in set(columns) - set(numeric):
-        rows = df.select(name).where(F.col(name).isNotNull()).orderBy(F.rand(7)).limit(sample_rows)
-        values = sorted(r[0] for r in rows.collect())
-        picks = {values[i * len(values) // 2**bits] for i in range(1, 2**bits)} if values else set()
-        cuts[name] = sorted(picks)
+        values = df.select(name).where(F.col(name).isNotNull()).groupBy(name).count()
+        # Partitions of values weigh by rows: a value stands once for each started share of the rows that it holds.
+        share = max(1, df.count() // (64 * 2**bits))
+        times = F.sequence(F.lit(1), F.ceil(F.col("count") / share).cast("int"))
+        spread = values.select(name, F.explode(times)).repartitionByRange(2**bits, name)
+        least = spread.groupBy(F.spark_partition_id().alias("_part")).agg(F.min(name).alias("_least"))
+        cuts[name] = sorted({r["_least"] for r in least.collect()})[1:]
     return {name: cuts[name] for name in columns}
 
 
