@@ -43,7 +43,7 @@ SLACK = 5.0
 BLOCK = 512
 _BAND_OF = np.uint64(63)
 # Bytes of text hashed at a time.
-TEXT_BLOCK = 1_000_000
+TEXT_BLOCK = 500_000
 
 
 def registers_of(minima: np.ndarray) -> np.ndarray:

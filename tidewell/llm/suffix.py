@@ -40,8 +40,8 @@ HOT = 2_000
 FAN = 4
 WIDEST = 256
 # Bytes of text searched for anchors, and bytes of a block of suffix buckets, at a time.
-TEXT_BLOCK = 2_000_000
-SORT_BLOCK = 500_000
+TEXT_BLOCK = 600_000
+SORT_BLOCK = 300_000
 PERIOD = 32
 _PLACE = np.uint64((1 << 28) - 1)
 
