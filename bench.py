@@ -17,7 +17,8 @@ HEADLINE = """
     enriched_orders daily_revenue country_revenue top_products customer_360 payment_metrics executive_summary
     latest_lines rule_summary quarantined_orders merge_hard_delete scd1_state scd2_history snapshot_changes
     sliding_windows tumbling_windows sliding_stream incremental_state salted_join hot_keys skew_diagnosis
-    feature_table roc_auc monitoring_metrics zorder_rewrite compact_small_files
+    feature_table roc_auc monitoring_metrics zorder_rewrite compact_small_files compact_partitions
+    scd2_history_split top_products_in_slots customer_percentiles merge_first_load
 """.split()
 
 
