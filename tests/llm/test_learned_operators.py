@@ -76,6 +76,21 @@ def test_toxicity_of_held_out_documents(spark, documents, labels):
     assert {r.score for r in toxicity.score(brute.frame(spark), toxicity.learn(brute.frame(spark), odd)).collect()} == {0.0}
 
 
+def test_toxicity_decides_alike_when_the_sample_has_another_share_of_toxic_rows(spark, monkeypatch):
+    """One word is in all 100 toxic and in a fifth of 2,000 clean texts: a fifth of the texts with it are toxic, not 5 in 6."""
+    rng = np.random.default_rng(4)
+    rows = [(i, int(i % 21 == 0), " ".join([*(f"filler{chr(97 + n)}" for n in rng.integers(0, 26, 20)), *["grobian"] * (i % 21 == 0 or i % 5 == 0)])) for i in range(2_100)]
+    docs = spark.createDataFrame([(i, text) for i, _, text in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, toxic) for i, toxic, _ in rows], "doc_id long, toxic int")
+    found = {}
+    for size in (4_000, 200):
+        monkeypatch.setattr(toxicity, "SAMPLE", size)
+        found[size] = {r.doc_id: r for r in toxicity.score(docs, toxicity.learn(docs, labels)).collect()}
+    assert {i: r.predicted for i, r in found[4_000].items()} == {i: r.predicted for i, r in found[200].items()}
+    with_word = [r.score for i, r in found[200].items() if "grobian" in rows[i][2]]
+    assert 0.1 < np.mean(with_word) < 0.3
+
+
 def _kneser_ney(texts: list[str]):
     """The probability of a gram by the textbook recursion, over dictionaries."""
     counts = {4: Counter(int(g) for g in quality.grams(texts)[0])}

@@ -7,7 +7,8 @@ in toxic texts, cancel the matches inside them. Sums of weights, per word and pe
 function fitted on documents that the lexicon has not seen.
 
 Lexicon and function are learned from a bounded sample: at most ``SAMPLE`` labelled documents of each label, chosen by
-a hash of their id, with whole texts. Everything else covers all documents.
+a hash of their id, with whole texts. Labels of all learnable documents are counted, and each sampled document weighs
+as many of its label as it stands for, so that scores mean the same at every size. Everything else covers all documents.
 
 Defined results: null and empty texts have no match and get the score of such texts; labels that are null or neither 0
 nor 1 teach nothing, of repeated labels the higher counts; without labels of both kinds every score is 0; equal rows
@@ -135,7 +136,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic, half`` of the sampled documents outside the held-out fold."""
+    """``text, toxic, half, weight`` of the sampled documents outside the held-out fold.
+
+    ``weight`` is how many learnable documents of its label a sampled one stands for.
+    """
     known = (
         labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
         .where(~held_out(F.col("doc_id")))
@@ -144,11 +148,15 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     # Each task keeps SAMPLE ids of a label at most, and only these meet.
     in_order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    clean, toxic = (known.where(F.col("toxic") == value).orderBy(*in_order).limit(SAMPLE) for value in (0, 1))
+    number = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    clean, toxic = (
+        known.where(F.col("toxic") == value).orderBy(*in_order).limit(SAMPLE).withColumn("weight", F.lit(max(1.0, number.get(value, 0) / SAMPLE)))
+        for value in (0, 1)
+    )
     chosen = clean.union(toxic)
     half = F.pmod(F.crc32(F.concat(F.lit("half "), F.col("doc_id").cast("string"))), F.lit(2))
     # The sample has at most 2 * SAMPLE ids, so it may be broadcast at any size of the tables.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", half.alias("half"))
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", half.alias("half"), "weight")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -156,15 +164,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights of a logistic regression, intercept last, by Newton steps."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Weights of a logistic regression over weighted rows, intercept last, by Newton steps."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(len(w))
     penalty[-1, -1] = 1e-6
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (weight * (y - p)) - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -202,10 +210,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     for half in (0, 1):
         other = _lexicon(counts.where(F.col("half") != half))
         own = rows.where(F.col("half") == half)
-        seen += own.select(_features(F.col("text"), other, rows.sparkSession).alias("x"), "toxic").collect()
+        seen += own.select(_features(F.col("text"), other, rows.sparkSession).alias("x"), "toxic", "weight").collect()
     y = np.array([r.toxic for r in seen], float)
     if 0 < y.sum() < len(y):
-        model.weights = _logistic(np.array([r.x for r in seen]), y).tolist()
+        model.weights = _logistic(np.array([r.x for r in seen]), y, np.array([r.weight for r in seen])).tolist()
     return model
 
 
