@@ -186,3 +186,15 @@ def test_nearest_with_ties_and_unusable_vectors(spark):
     assert found[0] == list(range(1, 21)) and found[20] == [*range(20)] and found[40] == [*range(20)]
     assert found[100] == [120, *range(19)] and found[120] == [*range(20)]
     assert curves.nearest(frame.limit(0), frame.limit(0)).isEmpty()
+
+
+def test_packs_of_queries_do_not_grow_with_the_queries(spark, monkeypatch):
+    visits = spark.range(40_000).selectExpr("0 AS curve", "int(id % 2) AS block", "id AS query", "CAST('equal' AS BINARY) AS bytes")
+    sizes = [r.n for r in curves._packs(visits).select(F.size("queries").alias("n")).collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 2 * curves.PACK
+    rng = np.random.default_rng(5)
+    query, points = rng.normal(size=(30, 8)), rng.normal(size=(200, 8))
+    best = lambda: [(i.tolist(), s.tolist()) for i, s in curves._best(query, np.arange(30), points, [np.array([i]) for i in range(200)], 5)]
+    whole = best()
+    monkeypatch.setattr(curves, "SLICE", 7)
+    assert best() == whole

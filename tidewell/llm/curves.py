@@ -35,6 +35,9 @@ CURVES = 4
 DIMENSIONS = 6
 BITS = 10
 BLOCK = 8_192
+# Queries of a block that meet its points at once, and rows of their scores that are held at once (16 MB).
+PACK = 512
+SLICE = 256
 # Queries whose true neighbours set the window, and the recall they must reach.
 SAMPLE = 64
 RECALL = 0.95
@@ -154,8 +157,10 @@ def _ordered(points: DataFrame, queries: DataFrame, longest: float) -> DataFrame
 
 def _best(query: np.ndarray, own: np.ndarray, points: np.ndarray, ids: list[np.ndarray], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each query the ids and scores of its nearest points, ties to smaller ids, itself left out."""
-    scores = query @ points.T
-    for i, row in enumerate(scores):
+    for i in range(len(query)):
+        if i % SLICE == 0:
+            scores = query[i : i + SLICE] @ points.T
+        row = scores[i % SLICE]
         near = np.arange(len(row))
         if len(row) > k + 1:
             # Rounding may differ a little between products of matrices and of vectors: keep what is close to the last.
@@ -173,15 +178,23 @@ def _best(query: np.ndarray, own: np.ndarray, points: np.ndarray, ids: list[np.n
 _FOUND = "query_id long, vec_id long, score double"
 
 
+def _packs(visits: DataFrame) -> DataFrame:
+    """``curve, block, queries``: the queries that visit a block, about ``PACK`` of them in a row at any number of queries."""
+    # One row per block and curve.
+    number = visits.groupBy("curve", "block").agg(F.ceil(F.count("*") / PACK).alias("_packs"))
+    dealt = visits.join(F.broadcast(number), ["curve", "block"])
+    packs = dealt.groupBy("curve", "block", F.pmod(F.xxhash64("query", "bytes"), F.col("_packs")).alias("_pack"))
+    return packs.agg(F.collect_list(F.struct("query", "bytes")).alias("queries")).drop("_pack")
+
+
 def _searched(visits: DataFrame, made: DataFrame, k: int) -> DataFrame:
     """``query_id, vec_id, score``: the best of every block that a query visits (``curve, block, query, bytes``)."""
-    packs = visits.groupBy("curve", "block", F.pmod(F.hash("query"), F.lit(PACKS)).alias("_pack"))
-    packs = packs.agg(F.collect_list(F.struct("query", "bytes")).alias("queries"))
-    met = packs.join(made.select("curve", "block", "ids", F.col("bytes").alias("points")), ["curve", "block"])
+    met = _packs(visits).join(made.select("curve", "block", "ids", F.col("bytes").alias("points")), ["curve", "block"])
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
                 query = np.frombuffer(b"".join(q["bytes"] for q in row["queries"]), "<f8").reshape(len(row["queries"]), -1)
                 own = np.array([q["query"] for q in row["queries"]])
                 points = np.frombuffer(b"".join(row["points"]), "<f8").reshape(len(row["points"]), -1)
@@ -199,10 +212,6 @@ def _searched(visits: DataFrame, made: DataFrame, k: int) -> DataFrame:
     return met.select("queries", "points", "ids").mapInArrow(ranked, _FOUND)
 
 
-# Groups that the queries of a block are dealt to.
-PACKS = 4
-
-
 def _top(found: DataFrame, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score``; a neighbour found on several curves counts once."""
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
@@ -244,7 +253,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFrame:
     def packed(lists: pa.Array) -> pa.Array:
         return pa.array([np.asarray(x.values, "<f8").tobytes() for x in lists], pa.binary())
 
-    asked = usable(queries).select(F.col("id").alias("query"), packed(F.col("vector")).alias("bytes"))
+    # Equal rows ask the same; once is enough, and copies of one query cannot be told apart when packs are dealt.
+    asked = usable(queries).select(F.col("id").alias("query"), packed(F.col("vector")).alias("bytes")).distinct()
     ordered = _ordered(points, asked, longest)
     members = ordered.where("query IS NULL")
     grouped = members.groupBy("curve", "block").agg(F.collect_list(F.struct("ids", "bytes")).alias("points"))
