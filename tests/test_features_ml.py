@@ -207,3 +207,26 @@ def test_drift(spark):
     shifted = base.select((F.col(monitor.SCORE) / 2 + 0.5).alias(monitor.SCORE))
     loud = monitor.drift(base, shifted).first()
     assert loud.mean_change == 0.25025 and loud.stability_index > 1 and loud.drift_alert
+
+
+def test_churn_queries_fit_whole_models(spark, monkeypatch):
+    """The library's own defaults, which are the reference's, and the reference's grid."""
+    from unittest.mock import MagicMock
+
+    from tidewell.plans import churn
+
+    made, validated = [], []
+    for kind in ("random_forest", "gradient_boosting", "logistic_regression"):
+        monkeypatch.setattr(churn.ml, kind, lambda *a, **options: made.append(options))
+    monkeypatch.setattr(churn.ml, "cross_validate", lambda *a, **options: validated.append((a[4:], options)) or (None, None))
+    monkeypatch.setattr(churn.ml, "stratified_split", lambda *a: (None, None))
+    for name in ("_training", "_evaluated", "scratch_dir"):
+        monkeypatch.setattr(churn, name, MagicMock())
+    monkeypatch.setattr(churn, "_fitted", lambda *a, **k: (None, None))
+    for name in ("importance", "average_importance", "score", "save", "load"):
+        monkeypatch.setattr(churn.ml, name, MagicMock())
+    queries = ["random_forest", "gradient_boosting", "cross_validation", "grid_search", "feature_importance", "scored_customers", "scored_from_stored_model"]
+    for name in queries:
+        getattr(churn, name)(spark, "")
+    assert made == [{}] * 8
+    assert validated == [((), {}), (({"numTrees": [50, 100], "maxDepth": [5, 10]},), {"parallelism": 4})]

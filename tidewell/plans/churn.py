@@ -345,19 +345,18 @@ def logistic_regression(spark, folder):
 
 @R.add()
 def random_forest(spark, folder):
-    return _evaluated(*_fitted(ml.random_forest(_INPUTS, "is_churned", numTrees=20), spark, folder))
+    return _evaluated(*_fitted(ml.random_forest(_INPUTS, "is_churned"), spark, folder))
 
 
 @R.add()
 def gradient_boosting(spark, folder):
-    boosted = ml.gradient_boosting(_INPUTS, "is_churned", maxIter=10, maxDepth=4)
-    return _evaluated(*_fitted(boosted, spark, folder, weighted=True))
+    return _evaluated(*_fitted(ml.gradient_boosting(_INPUTS, "is_churned"), spark, folder, weighted=True))
 
 
 @R.add()
 def cross_validation(spark, folder):
     train, _ = ml.stratified_split(_training(spark, folder), ["customer_id"])
-    pipeline = ml.logistic_regression(_INPUTS, "is_churned", maxIter=50)
+    pipeline = ml.logistic_regression(_INPUTS, "is_churned")
     return ml.cross_validate(train, pipeline, "is_churned", ["customer_id"])[1]
 
 
@@ -365,20 +364,20 @@ def cross_validation(spark, folder):
 def grid_search(spark, folder):
     train, _ = ml.stratified_split(_training(spark, folder), ["customer_id"])
     pipeline = ml.random_forest(_INPUTS, "is_churned")
-    grid = {"numTrees": [5, 10], "maxDepth": [3, 5]}
-    return ml.cross_validate(train, pipeline, "is_churned", ["customer_id"], grid, folds=3, parallelism=4)[1]
+    grid = {"numTrees": [50, 100], "maxDepth": [5, 10]}
+    return ml.cross_validate(train, pipeline, "is_churned", ["customer_id"], grid, parallelism=4)[1]
 
 
 @R.add()
 def feature_importance(spark, folder):
-    forest, _ = _fitted(ml.random_forest(_INPUTS, "is_churned", numTrees=20), spark, folder)
-    boosted, _ = _fitted(ml.gradient_boosting(_INPUTS, "is_churned", maxIter=5, maxDepth=4), spark, folder, weighted=True)
+    forest, _ = _fitted(ml.random_forest(_INPUTS, "is_churned"), spark, folder)
+    boosted, _ = _fitted(ml.gradient_boosting(_INPUTS, "is_churned"), spark, folder, weighted=True)
     return ml.average_importance([ml.importance(spark, m, _INPUTS) for m in (forest, boosted)], 10)
 
 
 @R.add()
 def scored_customers(spark, folder):
-    model, _ = _fitted(ml.logistic_regression(_INPUTS, "is_churned", maxIter=50), spark, folder)
+    model, _ = _fitted(ml.logistic_regression(_INPUTS, "is_churned"), spark, folder)
     scored = ml.score(_training(spark, folder), model)
     return scored.select("customer_id", monitor.SCORE, "churn_risk", "model_name", "model_stage")
 
@@ -388,7 +387,7 @@ def scored_customers(spark, folder):
 def scored_from_stored_model(spark, folder):
     """A model that is stored, loaded again and then scores every customer; what SQL can tell about the result."""
     path = scratch_dir(spark, "model")
-    model, _ = _fitted(ml.logistic_regression(_INPUTS, "is_churned", maxIter=50), spark, folder)
+    model, _ = _fitted(ml.logistic_regression(_INPUTS, "is_churned"), spark, folder)
     ml.save(model, path)
     scored = ml.score(_training(spark, folder), ml.load(path))
     risk = labels.score_risk(F.col(monitor.SCORE))
