@@ -1,6 +1,6 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import bpe, curves, fingerprints, language, licences, mixing, neardup, quality, suffix, toxicity
+from tidewell.llm import bpe, curves, fingerprints, language, licences, merkle, mixing, neardup, quality, suffix, toxicity
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -13,8 +13,10 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_quality": quality.op9_quality,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op13_manifest": merkle.op13_manifest,
 }
 ORACLES = {
     "op2_mix": mixing.OP2_SQL,
     "op6_licences": licences.OP6_SQL,
+    "op13_manifest": merkle.OP13_SQL,
 }
