@@ -1,6 +1,6 @@
 """The named queries of this subpackage and their SQL twins."""
 
-from tidewell.llm import bpe, curves, fingerprints, language, licences, merkle, mixing, neardup, quality, simhash, suffix, toxicity
+from tidewell.llm import bpe, curves, fingerprints, language, licences, merkle, mixing, neardup, quality, simhash, suffix, toxicity, whitening
 
 QUERIES = {
     "op1_language": language.op1_language,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_quality": quality.op9_quality,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_whitening": whitening.op11_whitening,
     "op12_simhash": simhash.op12_simhash,
     "op13_manifest": merkle.op13_manifest,
 }
