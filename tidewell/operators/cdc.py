@@ -192,6 +192,49 @@ def apply_feed(before: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataF
     return before.join(side, list(keys), "left_anti").unionByName(fresh)
 
 
+def _ends(feed: DataFrame, keys: Sequence[str], sequence: str, rows: Sequence[str]) -> DataFrame:
+    """One row per key of a feed over several versions: ``_before`` its first change and ``_after`` its last one (NULL
+    where there is no row). Two aggregates that combine on the map side; no key gathers its changes."""
+    after = F.col("_change_type").isin("insert", "update_postimage")
+    # Within a version the image before comes first. Struct order ends in the row itself, so ties are settled.
+    event = F.struct(F.col(sequence).alias("at"), after.alias("after"), F.struct(*rows).alias("row"))
+    ends = feed.groupBy(*keys).agg(F.min(event).alias("first"), F.max(event).alias("last"))
+    return ends.select(
+        *keys,
+        F.when(~F.col("first.after"), F.col("first.row")).alias("_before"),
+        F.when(F.col("last.after"), F.col("last.row")).alias("_after"),
+    )
+
+
+def net_changes(feed: DataFrame, keys: Sequence[str], sequence: str = "_commit_version") -> DataFrame:
+    """What a feed over several versions comes to: at most one insert, delete, or pair of images per key.
+
+    A key that is inserted and deleted again, or ends with the values it began with, has no net change. Columns: the
+    feed's without ``sequence`` and ``_commit_timestamp``.
+    """
+    rows = [c for c in feed.columns if c not in ("_change_type", "_commit_timestamp", sequence)]
+    ends = _ends(feed, keys, sequence, rows)
+    old, new = F.col("_before"), F.col("_after")
+
+    def event(kind: str, row: Column) -> Column:
+        return F.struct(F.lit(kind).alias("_change_type"), *[row[c].alias(c) for c in rows])
+
+    events = (
+        F.when(old.isNull() & new.isNotNull(), F.array(event("insert", new)))
+        .when(old.isNotNull() & new.isNull(), F.array(event("delete", old)))
+        .when(~old.eqNullSafe(new), F.array(event("update_preimage", old), event("update_postimage", new)))
+    )
+    return ends.select(events.alias("_events")).where(F.col("_events").isNotNull()).select(F.inline("_events"))
+
+
+def rewound(after: DataFrame, feed: DataFrame, keys: Sequence[str], sequence: str = "_commit_version") -> DataFrame:
+    """The rows before the first change of ``feed``, from the rows after its last one: keys the feed does not name are
+    taken as they are, the others go back to the image before their first change."""
+    ends = _ends(feed, keys, sequence, after.columns)
+    untouched = after.join(ends.select(*keys), list(keys), "left_anti")
+    return untouched.unionByName(ends.where(F.col("_before").isNotNull()).select("_before.*"))
+
+
 # --- SCD --------------------------------------------------------------------------------------
 
 

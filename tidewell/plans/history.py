@@ -13,6 +13,8 @@ from tidewell import catalog
 from tidewell.operators import cdc
 from tidewell.plans import sql
 from tidewell.plans.registry import Registry
+from tidewell.session import scratch_dir
+from tidewell.streaming import incremental
 
 R = Registry()
 NOW = datetime.datetime(2024, 2, 1)
@@ -185,6 +187,66 @@ def applied_feed(spark, folder):
     return cdc.apply_feed(before, cdc.snapshot_diff(before, after, KEYS), KEYS)
 
 
+# --- versions ---------------------------------------------------------------------------------
+
+# Ends of the batches that make versions 1, 2 and 3 of the user table.
+VERSION_ENDS = [datetime.datetime(2024, 1, 11), datetime.datetime(2024, 1, 21), datetime.datetime(2100, 1, 1)]
+
+
+def _versions(spark, folder, keep=None):
+    """The user table after three batches of changes, each a version."""
+    moves, begin, table = catalog.changes(spark, folder), datetime.datetime(1970, 1, 1), None
+    place = scratch_dir(spark, "versions")
+    for number, end in enumerate(VERSION_ENDS):
+        batch = moves.where((F.col(SEQ) >= F.lit(begin)) & (F.col(SEQ) < F.lit(end)))
+        table = incremental.apply_batch(batch, number, place, KEYS, SEQ, DELETE, buckets=8, keep=keep, at=NOW)
+        begin = end
+    return table
+
+
+_STATES = {f"v{i + 1}": _state_sql(f"updated_at < TIMESTAMP '{end}'") for i, end in enumerate(VERSION_ENDS)}
+
+
+def _moved_sql(old: str, new: str, version: str = "") -> str:
+    """Changes from one state to another, as the feed shows them."""
+    return f"""
+    SELECT CASE WHEN f.user_id IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change_type, s.user_id,
+           {sql.dbl('s.balance')} AS balance, s.status, s.updated_at{version}
+    FROM {new} s LEFT JOIN {old} f USING (user_id) WHERE f IS DISTINCT FROM s
+    UNION ALL
+    SELECT CASE WHEN s.user_id IS NULL THEN 'delete' ELSE 'update_preimage' END, f.user_id, {sql.dbl('f.balance')},
+           f.status, f.updated_at{version}
+    FROM {old} f LEFT JOIN {new} s USING (user_id) WHERE f IS DISTINCT FROM s"""
+
+
+_SHOWN = ["_change_type", "user_id", "balance", "status", SEQ]
+
+
+@R.add(sql.query("moves", f"""{_moved_sql('v1', 'v2', ', CAST(2 AS BIGINT) AS _commit_version')} UNION ALL
+    {_moved_sql('v2', 'v3', ', CAST(3 AS BIGINT)')}""", **_STATES))
+def changes_since_version(spark, folder):
+    """What versions 2 and 3 changed, from their logs."""
+    return _versions(spark, folder).changes(2).select(*_SHOWN, "_commit_version")
+
+
+@R.add(sql.query("moves", _moved_sql("v1", "v3"), **_STATES))
+def net_changes_since_version(spark, folder):
+    """What versions 2 and 3 come to together."""
+    return cdc.net_changes(_versions(spark, folder).changes(2), KEYS).select(*_SHOWN)
+
+
+@R.add(sql.query("moves", f"SELECT {_COLUMNS}, status, updated_at FROM v2", **_STATES))
+def state_at_version(spark, folder):
+    return _versions(spark, folder).state(2).select("user_id", *TRACKED, SEQ)
+
+
+@R.add(sql.query("moves", f"SELECT {_COLUMNS}, status, updated_at FROM v1", **_STATES))
+def state_rewound(spark, folder):
+    """Version 1 after its folders are gone: the latest rows, taken back by the log."""
+    table = _versions(spark, folder, keep=1)
+    return cdc.rewound(table.state(), table.changes(2), KEYS).select("user_id", *TRACKED, SEQ)
+
+
 @R.add(sql.query("moves", """SELECT event_id, user_id, CASE operation WHEN 'INSERT' THEN 'new_order'
     WHEN 'UPDATE' THEN 'status_change' WHEN 'DELETE' THEN 'cancellation' ELSE 'unknown' END AS change_type,
     operation = 'DELETE' AS is_deleted FROM moves"""))

@@ -1,70 +1,33 @@
 """Keyed state maintained from new files, with Spark's checkpoint deciding what is new.
 
-The state folder holds ``run=<batch>/bucket=<hash bucket>``. A batch rewrites only the buckets its
-keys fall into, into a run folder of its own; the state is the newest run of every bucket. A
-repeated batch overwrites its own run folder and reads only earlier ones, so a restart changes
-nothing. Deleted keys stay as tombstones, so that a late older event cannot revive them.
+The state is a :class:`tidewell.sinks.versions.VersionedTable`: a batch rewrites only the buckets its keys fall into, a
+manifest names the folders that hold the state, and every batch leaves its changes behind. A repeated batch changes
+nothing, so a restart does not either. Deleted keys stay as hidden tombstones, so that a late older event cannot
+revive them. Of older versions only the one before the latest is kept.
 """
 
 from __future__ import annotations
 
-import re
+import datetime
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewell.operators.ordered import all_columns_order, latest_per_key
+from tidewell.sinks.versions import VersionedTable
 
-RUN, BUCKET, GONE = "run", "bucket", "_deleted"
-_PLACE = re.compile(rf"/{RUN}=(\d+)/{BUCKET}=(\d+)/")
+GONE = "_deleted"
 
 
-def _newest_folders(spark: SparkSession, state_dir: str, before: int | None) -> list[str]:
-    """The newest run folder of every bucket, from the file names."""
-    try:
-        files = spark.read.parquet(state_dir).inputFiles()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return []
-        raise
-    newest: dict[int, int] = {}
-    for run, bucket in {tuple(map(int, _PLACE.search(f).groups())) for f in files}:
-        if before is None or run < before:
-            newest[bucket] = max(run, newest.get(bucket, -1))
-    return [f"{state_dir}/{RUN}={run}/{BUCKET}={bucket}" for bucket, run in newest.items()]
-
-
-def _read_state(spark: SparkSession, state_dir: str, before: int | None = None) -> DataFrame | None:
-    folders = _newest_folders(spark, state_dir, before)
-    if not folders:
-        return None
-    reader = spark.read.option("basePath", state_dir).option("mergeSchema", True)
-    return reader.parquet(*folders).drop(RUN)
+def state_table(spark: SparkSession, state_dir: str, keys: Sequence[str], buckets: int = 64) -> VersionedTable:
+    return VersionedTable(spark, state_dir, keys, buckets, hidden=GONE)
 
 
 def current_state(spark: SparkSession, state_dir: str) -> DataFrame:
     """Rows of the latest state; raises when no batch has run yet."""
-    state = _read_state(spark, state_dir)
-    if state is None:
-        raise FileNotFoundError(f"{state_dir}: no state yet")
-    return state.where(~F.col(GONE)).drop(GONE, BUCKET)
-
-
-def _same_buckets(spark: SparkSession, state_dir: str, buckets: int) -> None:
-    """The number of buckets belongs to the state: keys would have two homes under another one."""
-    path = f"{state_dir}/_buckets"
-    try:
-        stored = int(spark.read.text(path).first()[0])
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.text(path)
-        return
-    if stored != buckets:
-        raise ValueError(f"{state_dir} is kept in {stored} buckets, not {buckets}; build a new state to change that")
+    return VersionedTable.opened(spark, state_dir).state()
 
 
 def apply_batch(
@@ -75,28 +38,31 @@ def apply_batch(
     sequence: str,
     is_delete: str | None = None,
     buckets: int = 64,
-) -> None:
-    """Merge one batch of changes into the state; the greatest sequence per key wins."""
-    _same_buckets(batch.sparkSession, state_dir, buckets)
+    source: str = "batch",
+    keep: int | None = 2,
+    at: datetime.datetime | None = None,
+) -> VersionedTable:
+    """Merge one batch of changes into the state and return it; the greatest sequence per key wins.
+
+    Batches of a ``source`` are numbered; one that was applied before is not applied again. The latest ``keep`` versions
+    stay readable, or all of them.
+    """
     gone = F.coalesce(F.expr(is_delete), F.lit(False)) if is_delete else F.lit(False)
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
     order = [F.desc_nulls_last(sequence), *all_columns_order(batch, skip=[*keys, sequence])]
-    changed = latest_per_key(batch, keys, order).withColumns({GONE: gone, BUCKET: bucket}).persist()
-    try:
-        # At most ``buckets`` rows.
-        touched = [r[0] for r in changed.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        merged = changed
-        previous = _read_state(batch.sparkSession, state_dir, before=batch_id)
-        if previous is not None:
-            affected = previous.where(F.col(BUCKET).isin(touched))
-            united = affected.unionByName(changed, allowMissingColumns=True)
-            rank = [F.desc_nulls_last(sequence), *all_columns_order(united, skip=[*keys, sequence])]
-            merged = latest_per_key(united, keys, rank)
-        merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{state_dir}/{RUN}={batch_id}")
-    finally:
-        changed.unpersist()
+    changed = latest_per_key(batch, keys, order).withColumn(GONE, gone)
+
+    def newest(before: DataFrame | None, fresh: DataFrame) -> DataFrame:
+        if before is None:
+            return fresh
+        united = before.unionByName(fresh, allowMissingColumns=True)
+        rank = [F.desc_nulls_last(sequence), *all_columns_order(united, skip=[*keys, sequence])]
+        return latest_per_key(united, keys, rank)
+
+    table = state_table(batch.sparkSession, state_dir, keys, buckets)
+    version = table.commit(changed, newest, at or datetime.datetime.now(datetime.timezone.utc), source, batch_id)
+    if version and keep:
+        table.vacuum(keep)
+    return table
 
 
 def run_incremental(
@@ -123,7 +89,7 @@ def run_incremental(
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        apply_batch(rows, batch_id, state_dir, keys, sequence, is_delete, buckets)
+        apply_batch(rows, batch_id, state_dir, keys, sequence, is_delete, buckets, source=checkpoint)
 
     query = (
         reader.load(source_dir)
