@@ -40,6 +40,11 @@ def daily_revenue(enriched: DataFrame) -> DataFrame:
             F.sum("quantity").alias("total_items_sold"),
         )
     )
+    return daily_figures(per_day)
+
+
+def daily_figures(per_day: DataFrame) -> DataFrame:
+    """Average and collection rate from the counts and sums of each day."""
     return per_day.select(
         "order_date",
         "total_orders",
@@ -70,11 +75,14 @@ def country_revenue(enriched: DataFrame, **rank_options: int) -> DataFrame:
             F.max("total_amount").alias("max_order_value"),
             F.min("total_amount").alias("min_order_value"),
         )
-        .withColumn("avg_order_value", mean_money(F.col("total_revenue"), F.col("priced")))
-        .drop("priced")
     )
+    return country_figures(per_country, **rank_options)
+
+
+def country_figures(per_country: DataFrame, **rank_options: int) -> DataFrame:
+    """Average, rank and percentile from the counts and sums of each country."""
     return global_ranks(
-        per_country,
+        per_country.withColumn("avg_order_value", mean_money(F.col("total_revenue"), F.col("priced"))).drop("priced"),
         {"revenue_rank": "total_revenue"},
         {"revenue_percentile": "total_revenue"},
         **rank_options,
@@ -112,18 +120,24 @@ def customer_360(enriched: DataFrame, as_of: datetime.date) -> DataFrame:
         F.count("total_amount").alias("priced"),
         F.max("order_date").alias("last_order_date"),
         F.min("order_date").alias("first_order_date"),
-        F.max(F.datediff(F.lit(as_of), F.col("registration_date"))).alias("tenure_days"),
+        F.min("registration_date").alias("registered"),
     )
+    return customer_figures(per_customer, as_of)
+
+
+def customer_figures(per_customer: DataFrame, as_of: datetime.date) -> DataFrame:
+    """Averages, segment, recency and risk from the counts and sums of each customer."""
     idle = F.datediff(F.lit(as_of), F.col("last_order_date"))
     return per_customer.withColumns(
         {
+            "tenure_days": F.datediff(F.lit(as_of), F.col("registered")),
             "avg_order_value": mean_money(F.col("total_spent"), F.col("priced")),
             "completion_rate": percent(F.col("completed_orders"), F.col("total_orders")),
             "customer_segment": labels.segment(F.col("total_spent")),
             "days_since_last_order": idle,
             "churn_risk": labels.recency_risk(idle),
         }
-    ).drop("priced")
+    ).drop("priced", "registered")
 
 
 def payment_metrics(enriched: DataFrame) -> DataFrame:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from tidewell import catalog
 from tidewell.functions import labels
-from tidewell.operators import enrich, gold, quality
+from tidewell.operators import enrich, gold, ordered, quality
 from tidewell.operators.ordered import global_ranks
 from tidewell.plans import sql
 from tidewell.plans.registry import Registry
+from tidewell.session import durable, scratch_dir
+from tidewell.sinks.versions import VersionedTable, replaced
+from tidewell.streaming import views
 
 R = Registry()
 
@@ -21,9 +26,16 @@ _DAILY = f"""SELECT order_date, COUNT(order_id) AS total_orders, COUNT(DISTINCT
     FROM rich WHERE order_status = 'completed' GROUP BY 1"""
 
 
-@R.add(sql.query("rich", f"""SELECT order_date, total_orders, unique_customers, {sql.dbl('gross')} AS gross_revenue,
+_DAILY_SQL = sql.query(
+    "rich",
+    f"""SELECT order_date, total_orders, unique_customers, {sql.dbl('gross')} AS gross_revenue,
     {sql.dbl('collected')} AS collected_revenue, {sql.mean_money('gross', 'priced')} AS avg_order_value,
-    total_items_sold, {sql.percent_money('collected', 'gross')} AS collection_rate FROM d""", d=_DAILY))
+    total_items_sold, {sql.percent_money('collected', 'gross')} AS collection_rate FROM d""",
+    d=_DAILY,
+)
+
+
+@R.add(_DAILY_SQL)
 def daily_revenue(spark, folder):
     return gold.newest_first(gold.daily_revenue(catalog.enriched(spark, folder)))
 
@@ -95,7 +107,9 @@ _C360 = f"""SELECT customer_id, customer_name, customer_email, customer_country,
     FROM rich GROUP BY ALL"""
 
 
-@R.add(sql.query("rich", f"""SELECT customer_id, customer_name, customer_email, customer_country, total_orders,
+_C360_SQL = sql.query(
+    "rich",
+    f"""SELECT customer_id, customer_name, customer_email, customer_country, total_orders,
     completed_orders, cancelled_orders, pending_orders, {sql.dbl('spent')} AS total_spent, last_order_date,
     first_order_date, tenure_days, {sql.mean_money('spent', 'priced')} AS avg_order_value,
     {sql.percent('completed_orders', 'total_orders')} AS completion_rate,
@@ -103,11 +117,79 @@ _C360 = f"""SELECT customer_id, customer_name, customer_email, customer_country,
          ELSE 'New' END AS customer_segment,
     CAST(DATE '2001-08-02' - last_order_date AS INT) AS days_since_last_order,
     CASE WHEN DATE '2001-08-02' - last_order_date > 30 THEN 'High'
-         WHEN DATE '2001-08-02' - last_order_date > 14 THEN 'Medium' ELSE 'Low' END AS churn_risk FROM c""", c=_C360))
+         WHEN DATE '2001-08-02' - last_order_date > 14 THEN 'Medium' ELSE 'Low' END AS churn_risk FROM c""",
+    c=_C360,
+)
+
+
+@R.add(_C360_SQL)
 def customer_360(spark, folder):
     return gold.customer_360(catalog.enriched(spark, folder), catalog.AS_OF)
 
 
+# --- views kept from changes ------------------------------------------------------------------
+
+# Ends of the batches in which the life of the orders arrives.
+BATCH_ENDS = [datetime.date(1996, 1, 1), datetime.date(1999, 1, 1), datetime.date(2100, 1, 1)]
+
+
+def _order_events(spark, folder):
+    """Every order arrives as pending with its stated price; 30 days later it is completed with the sum of its lines,
+    goes if it was cancelled, or stays as it is but for the price."""
+    stated = catalog.table(spark, folder, "orders").selectExpr("o_orderkey AS order_id", "CAST(o_totalprice AS DECIMAL(18,2)) AS stated")
+    orders = catalog.orders(spark, folder).join(stated, ["order_id"])
+    first = F.struct(
+        F.col("order_date").alias("on"), F.lit(labels.PENDING).alias("status"), F.lit(1).cast("long").alias("quantity"),
+        F.col("stated").alias("total_amount"), F.lit(False).alias("gone"),
+    )
+    then = F.struct(
+        F.date_add("order_date", 30).alias("on"), "status", "quantity", "total_amount",
+        (F.col("status") == labels.CANCELLED).alias("gone"),
+    )
+    return orders.select("order_id", "customer_id", "order_date", F.explode(F.array(first, then)).alias("e")).select(
+        "order_id", "customer_id", "order_date", "e.*"
+    )
+
+
+def _kept_view(spark, folder, view):
+    """A view after three batches of inserts, updates and deletes."""
+    place, events = scratch_dir(spark, view.name), durable(_order_events(spark, folder))
+    customers, payments = catalog.customers(spark, folder), catalog.payments(spark, folder)
+    table = VersionedTable(spark, f"{place}/orders", ["order_id"], 8)
+    begin, now = datetime.date(1970, 1, 1), datetime.datetime(2024, 2, 1)
+    for end in BATCH_ENDS:
+        batch = events.where((F.col("on") >= F.lit(begin)) & (F.col("on") < F.lit(end)))
+        latest = ordered.latest_per_key(batch, ["order_id"], [F.desc("on")]).drop("on")
+        version = table.commit(latest, replaced(["order_id"], "gone"), now)
+        feed = enrich.enriched_orders(table.changes(version, version), customers, payments)
+        views.refresh(place, view, feed, now, number=version, buckets=8)
+        begin = end
+    return views.read(spark, place, view, 8)
+
+
+def _incremental_sql(full: str) -> str:
+    """The full rebuild over the orders that are left."""
+    return full.replace("FROM rich", "FROM (SELECT * FROM rich WHERE order_status <> 'cancelled')")
+
+
+@R.add(_DAILY_SQL)
+def daily_revenue_incremental(spark, folder):
+    return views.daily_revenue(_kept_view(spark, folder, views.DAILY))
+
+
+@R.add(_COUNTRY_SQL)
+def country_revenue_incremental(spark, folder):
+    return views.country_revenue(_kept_view(spark, folder, views.COUNTRY))
+
+
+@R.add(_incremental_sql(_C360_SQL))
+def customer_360_incremental(spark, folder):
+    return views.customer_360(_kept_view(spark, folder, views.CUSTOMER), catalog.AS_OF)
+
+
+# --- payments and summary ---------------------------------------------------------------------
+
+
 @R.add(sql.query("rich", f"""SELECT payment_method, payment_category, n AS total_transactions, {sql.dbl('t')} AS total_processed,
     {sql.dbl('hi')} AS max_transaction, {sql.dbl('lo')} AS min_transaction, {sql.mean_money('t', 'n')} AS avg_transaction
     FROM m""", m=f"""SELECT payment_method, payment_category, COUNT(payment_id) AS n, {sql.total('payment_amount')} AS t,
