@@ -23,21 +23,27 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(kinds[c])) for c, v in defaults.items()})
 
 
+def _typed(df: DataFrame, kinds: Mapping[str, str], date_format: str) -> dict[str, Column]:
+    kept = dict(df.dtypes)
+    dates = lambda c: F.try_to_timestamp(F.col(c), F.lit(date_format)).cast("date")
+    return {c: dates(c) if k == "date" and kept[c] == "string" else F.col(c).try_cast(k) for c, k in kinds.items()}
+
+
 def cast_columns(df: DataFrame, kinds: Mapping[str, str], date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Typed columns; values that do not parse become NULL and are counted in ``_cast_errors``."""
-    typed: dict[str, Column] = {}
-    for name, kind in kinds.items():
-        raw = F.col(name)
-        if kind == "date" and dict(df.dtypes)[name] == "string":
-            typed[name] = F.try_to_timestamp(raw, F.lit(date_format)).cast("date")
-        else:
-            typed[name] = raw.try_cast(kind)
+    typed = _typed(df, kinds, date_format)
     lost = F.lit(0)
     for name, value in typed.items():
         lost = lost + F.when(F.col(name).isNotNull() & value.isNull(), 1).otherwise(0)
     return df.withColumns(typed | {"_cast_errors": lost})
 
 
+def failed_casts(df: DataFrame, kinds: Mapping[str, str], date_format: str = "yyyy-MM-dd") -> Column:
+    """The names of the columns whose value is there but does not parse, as an array."""
+    typed = _typed(df, kinds, date_format)
+    return F.array_compact(F.array(*[F.when(F.col(c).isNotNull() & v.isNull(), F.lit(c)) for c, v in typed.items()]))
+
+
 def normalise_case(df: DataFrame, cases: Mapping[str, str]) -> DataFrame:
     """Trim and bring columns to ``lower``, ``upper`` or ``title`` case."""
     return df.withColumns({c: tidy(F.col(c), case) for c, case in cases.items()})

@@ -38,6 +38,12 @@ ORDER_RULES: dict[str, str | Column] = {
     "valid_status": f"order_status IN {(labels.COMPLETED, labels.PENDING, labels.CANCELLED)}",
 }
 MONEY_SQL = "decimal(18,2)"
+KEYS = {"orders": "order_id", "customers": "customer_id", "payments": "payment_id"}
+CASTS = {
+    "orders": {"quantity": "int", "unit_price": MONEY_SQL, "order_date": "date"},
+    "customers": {"registration_date": "date"},
+    "payments": {"amount": MONEY_SQL, "payment_date": "date"},
+}
 
 
 def bronze(spark: SparkSession, name: str, path: str, batch_id: str = "manual") -> DataFrame:
@@ -53,12 +59,25 @@ def _latest(df: DataFrame, key: str) -> DataFrame:
     return clean.latest_per_key(df.drop("_cast_errors", "_corrupt_record"), [key])
 
 
+def rejects(name: str, raw: DataFrame) -> DataFrame:
+    """What bronze rows lose on their way to silver, with the reasons: rows without a key, which silver does not have,
+    and records or values that did not parse, which it has as NULL."""
+    key, text = KEYS[name], [c for c in raw.columns if not c.startswith("_")]
+    bad = F.transform(clean.failed_casts(raw, CASTS[name]), lambda c: F.concat(F.lit("bad "), c))
+    corrupt = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in raw.columns else F.lit(False)
+    marks = F.array_compact(F.array(F.when(F.col(key).isNull(), F.lit(f"no {key}")), F.when(corrupt, F.lit("corrupt record"))))
+    audit = [c for c in raw.columns if c.startswith("_") and c != "_corrupt_record"]
+    shown = F.to_json(F.struct(*[F.col(c) for c in text]))
+    judged = raw.select(F.lit(name).alias("source"), F.col(key).alias("record_key"), F.concat(marks, bad).alias("reasons"), shown.alias("record"), *audit)
+    return judged.where(F.size("reasons") > 0)
+
+
 def silver_orders(raw: DataFrame) -> DataFrame:
     """Typed orders, one row per id. The total comes before the defaults: unknown stays unknown."""
     tidy = clean.normalise_case(
         _present(raw, "order_id"), {"order_id": None, "customer_id": None, "product_id": None, "status": "lower"}
     )
-    typed = clean.cast_columns(tidy, {"quantity": "int", "unit_price": MONEY_SQL, "order_date": "date"})
+    typed = clean.cast_columns(tidy, CASTS["orders"])
     filled = clean.fill_defaults(enrich.with_total(typed), {"quantity": 1, "unit_price": 0, "status": "unknown"})
     return _latest(filled, "order_id")
 
@@ -67,7 +86,7 @@ def silver_customers(raw: DataFrame) -> DataFrame:
     tidy = clean.normalise_case(
         _present(raw, "customer_id"), {"customer_id": None, "name": "title", "email": "lower", "country": "title"}
     )
-    typed = clean.cast_columns(tidy, {"registration_date": "date"})
+    typed = clean.cast_columns(tidy, CASTS["customers"])
     return _latest(clean.email_flag(typed, "email"), "customer_id")
 
 
@@ -76,7 +95,7 @@ def silver_payments(raw: DataFrame) -> DataFrame:
         _present(raw, "payment_id"),
         {"payment_id": None, "order_id": None, "payment_method": "lower", "status": "lower"},
     )
-    typed = clean.cast_columns(tidy, {"amount": MONEY_SQL, "payment_date": "date"})
+    typed = clean.cast_columns(tidy, CASTS["payments"])
     return _latest(enrich.with_payment_category(typed), "payment_id")
 
 
@@ -113,7 +132,8 @@ def run(
 ) -> list[str]:
     """Run every layer below ``root`` and return the table paths.
 
-    Bronze appends; silver is rebuilt from all of bronze; gold is rebuilt from silver.
+    Bronze appends; silver is rebuilt from all of bronze, with a table of what it lost; gold is rebuilt from silver.
+    :mod:`tidewell.plans.layers` does the same from new files only.
     """
     written: list[str] = []
 
@@ -125,8 +145,9 @@ def run(
     for name, path in raw_paths.items():
         landed = place("bronze", name)
         sinks.append(bronze(spark, name, path, batch_id), landed)
-        kept = place("silver", name)
-        sinks.overwrite(SILVER[name](sources.read_parquet(spark, landed, merge_schema=True)), kept)
+        kept, raw = place("silver", name), sources.read_parquet(spark, landed, merge_schema=True)
+        sinks.overwrite(SILVER[name](raw), kept)
+        sinks.overwrite(rejects(name, raw), place("silver", f"{name}_rejects"))
         silver[name] = sources.read_parquet(spark, kept)
 
     everything = place("silver", "enriched_orders")

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -174,11 +174,13 @@ class VersionedTable:
         source: str | None = None,
         number: int | None = None,
         touched: Sequence[int] | None = None,
+        marks: Mapping[str, int] | None = None,
     ) -> int:
         """Apply ``batch`` and return the version that holds it.
 
         ``step`` gets the previous rows of the touched buckets and the batch and returns their next rows, one per key.
-        Touched are the buckets of the batch, or those given, which must hold the batch.
+        Touched are the buckets of the batch, or those given, which must hold the batch. ``marks`` are numbers of further
+        sources to remember with the version.
         A ``source`` numbers its batches: one that is not newer than the last one committed changes nothing, so a batch
         may be repeated after a failure.
         """
@@ -207,7 +209,7 @@ class VersionedTable:
         known = {f.name for f in after.schema.fields}
         columns = StructType([*after.schema.fields, *[f for f in last.columns.fields if f.name not in known]])
         held = [(version if b in full else NONE) if b in set(touched) else last.held[b] for b in range(self.buckets)]
-        sources = last.sources | ({source: number} if source is not None and number is not None else {})
+        sources = last.sources | dict(marks or {}) | ({source: number} if source is not None and number is not None else {})
         manifest = Manifest(version, at.isoformat(), held, columns.json(), sources)
         if self.logged:
             self._log(last, manifest, touched, at)
@@ -251,6 +253,27 @@ class VersionedTable:
                     store.delete(self.spark, f"{self.path}/changes/{name}")
 
 
+    def mark(self, source: str) -> int:
+        """The number remembered for a source; 0 if there is none."""
+        last = self.manifest()
+        return last.sources.get(source, 0) if last else 0
+
+
+def mirror(source: VersionedTable, target: VersionedTable, columns: Sequence[str], at: datetime.datetime) -> int:
+    """Bring a copy of ``columns`` of a table, kept by other keys or in other buckets, up to date from its log.
+
+    Rows without one of the copy's keys are not in the copy.
+    """
+    latest, start = source.versions()[-1:], target.mark("mirrored") + 1
+    if not latest or latest[0] < start:
+        return target.mark("mirrored")
+    net = cdc.net_changes(source.changes(start, latest[0]), source.keys)
+    gone = ~F.col(CHANGE).isin("insert", "update_postimage")
+    # Where both images have one key of the target, the image after the change stays.
+    moved = net.select(*columns, gone.alias("_gone")).dropna(subset=target.keys)
+    return target.commit(moved, replaced(target.keys, "_gone"), at, "mirrored", latest[0])
+
+
 # --- steps ------------------------------------------------------------------------------------
 
 

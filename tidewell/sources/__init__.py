@@ -5,8 +5,9 @@ from tidewell.sources.files import (
     read_csv,
     read_json,
     read_parquet,
+    stream_files,
     with_audit,
     with_constants,
 )
 
-__all__ = ["bad_rows", "read_csv", "read_json", "read_parquet", "with_audit", "with_constants"]
+__all__ = ["bad_rows", "read_csv", "read_json", "read_parquet", "stream_files", "with_audit", "with_constants"]

@@ -60,6 +60,16 @@ def read_json(
     )
 
 
+def stream_files(spark: SparkSession, path: str, kind: str, schema: Schema, **options: Any) -> DataFrame:
+    """New files of a folder as a stream: ``csv`` with a header, or ``json`` (lines, unless ``multiLine`` is set).
+
+    As with the batch readers, rows that do not fit keep their text in ``_corrupt_record``.
+    """
+    own = {"header": True, "enforceSchema": False} if kind == "csv" else {}
+    reader = spark.readStream.format(kind).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.options(**(own | options)).schema(_with_corrupt(schema)).load(path)
+
+
 def read_parquet(
     spark: SparkSession, path: str, schema: Schema | None = None, merge_schema: bool = False
 ) -> DataFrame:
