@@ -10,7 +10,7 @@ from tidewell import catalog
 from tidewell.functions import labels
 from tidewell.operators import enrich, gold, ordered, quality
 from tidewell.operators.ordered import global_ranks
-from tidewell.plans import sql
+from tidewell.plans import layers, sql
 from tidewell.plans.registry import Registry
 from tidewell.session import durable, scratch_dir
 from tidewell.sinks.versions import VersionedTable, replaced
@@ -187,6 +187,25 @@ def customer_360_incremental(spark, folder):
     return views.customer_360(_kept_view(spark, folder, views.CUSTOMER), catalog.AS_OF)
 
 
+@R.add(_DAILY_SQL.replace(sql.big("SUM(quantity)"), "COUNT(order_id)"))
+def layered_daily_revenue(spark, folder):
+    """Raw files of two deliveries through all layers: the second one changes all orders that the first one brought."""
+    root = scratch_dir(spark, "layers")
+    orders = _order_events(spark, folder).where("NOT gone").selectExpr(
+        "order_id", "customer_id", "'p1' AS product_id", "1 AS quantity", "total_amount AS unit_price", "order_date", "status", "on = order_date AS early"
+    )
+    customers, payments = catalog.customers(spark, folder), catalog.payments(spark, folder).drop("payment_category")
+    raw = {name: f"{root}/raw/{name}" for name in layers.KINDS}
+    columns = ["customer_id", "name", "email", "country", "registration_date"]
+    for delivery in (True, False):
+        orders.where(F.col("early") == delivery).drop("early").write.mode("append").option("header", True).csv(raw["orders"])
+        if delivery:
+            customers.select(columns).write.option("header", True).csv(raw["customers"])
+        payments.where((F.col("status") == labels.COMPLETED) == delivery).write.mode("append").json(raw["payments"])
+        made = layers.run(spark, raw, f"{root}/lake", buckets=8)
+    return made.gold(catalog.AS_OF)["daily_revenue"]
+
+
 # --- payments and summary ---------------------------------------------------------------------
 
 
