@@ -96,3 +96,29 @@ def test_partition_balance(spark):
     assert (even.partitions, even.max_rows, even.balanced) == (4, 250, True)
     lopsided = spark.range(0, 1000, numPartitions=10).where("id < 100 OR id % 100 = 0")
     assert rows(skew.partition_balance(lopsided).select("balanced")) == [(False,)]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_grid_join_equals_the_plain_join(spark, how):
+    left = spark.createDataFrame([(k, i) for i in range(400) for k in [[1, 1, 2, None, i + 10][i % 5]]], "k int, a int")
+    right = spark.createDataFrame([(k, i) for i in range(150) for k in [[1, 2, None, i + 10, 7_000][i % 5]]] + [(1, 3)] * 20, "k int, b int")
+    want = left.join(right, ["k"], how)
+    for target in (10, 40, 1_000):
+        assert same(skew.grid_join(left.repartition(5), right.repartition(4), "k", target, how), want)
+    assert same(skew.grid_join(left, right.limit(0), "k", 10, how), left.join(right.limit(0), ["k"], how))
+
+
+def test_grid_cells_hold_a_bounded_share(spark):
+    """One key holds half of both sides; no cell gets more than a small multiple of the target of either side."""
+    left = spark.range(4_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("a")).repartition(8)
+    right = spark.range(2_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("b")).repartition(8)
+    assert [tuple(r) for r in skew.join_cells(left, right, "k", 200).collect()] == [(-1, 10, 5)]
+    joined = skew.grid_join(left, right, "k", 200)
+    assert joined.count() == 2_000 * 1_000 + 2_000
+    text = plan(skew.grid_join(left, right, "k", 200))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "_at_rows" in text
+
+
+def test_grid_join_refuses_other_kinds(spark):
+    with pytest.raises(ValueError):
+        skew.grid_join(spark.range(1), spark.range(1), "id", 1, "full")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.numbers import ratio
+from tidewell.session import durable
 
 # Thresholds of the diagnosis.
 SKEW_RATIO = 10
@@ -97,6 +98,46 @@ def salted_join(
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
+def join_cells(left: DataFrame, right: DataFrame, key: str, target: int) -> DataFrame:
+    """``key, _rows, _columns`` of every key that needs more than one cell of about ``target`` rows a side.
+
+    Counts combine on the map side; the result has at most ``(rows of both sides) / target`` rows. A key that one
+    side lacks needs no cells.
+    """
+    counted = lambda df, name: df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    both = counted(left, "_left").join(counted(right, "_right"), [key])
+    cells = lambda n: F.ceil(F.col(n) / F.lit(target)).cast("int")
+    return both.select(key, cells("_left").alias("_rows"), cells("_right").alias("_columns")).where("_rows > 1 OR _columns > 1")
+
+
+def grid_join(left: DataFrame, right: DataFrame, key: str, target: int = 1_000_000, how: str = "left") -> DataFrame:
+    """Join on ``key`` (``inner`` or ``left``) with keys that are crowded on both sides dealt to a grid of cells.
+
+    A left row of a crowded key takes one row of the grid and is copied along its columns, a right row takes one column
+    and is copied along its rows: every pair meets in exactly one cell, and a cell holds about ``target`` rows of each
+    side. Copying is in proportion to the *other* side's size over ``target``, where salting one side copies the other
+    whole. Rows are dealt by a hash of the row and its input partition, so a retried task deals them the same way.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"grid_join is inner or left, not {how!r}")
+    cells = durable(join_cells(left, right, key, target))
+    small = fits_broadcast(cells)
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        marked = df.join(F.broadcast(cells) if small else cells, [key], "left")
+        place = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.coalesce(F.col(own), F.lit(1)))
+        copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
+        spread = marked.select(*[F.col(c) for c in df.columns], place.cast("int").alias(f"_at{own}"), copies.alias("_copies"), "_columns")
+        return spread.withColumn(f"_at{other}", F.explode("_copies")).drop("_copies")
+
+    ours = dealt(left, "_rows", "_columns").withColumnRenamed("_columns", "_crowded")
+    theirs = dealt(right, "_columns", "_rows").drop("_columns").withColumn("_met", F.lit(True))
+    joined = ours.join(theirs, [key, "_at_rows", "_at_columns"], how)
+    # A crowded left row has partners in some column of its row; in the others it is no row of the result.
+    found = joined.where(F.col("_met").isNotNull() | F.coalesce(F.col("_crowded") <= 1, F.lit(True)))
+    return found.drop("_at_rows", "_at_columns", "_crowded", "_met")
+
+
 def repartitioned_join(large: DataFrame, small: DataFrame, key: str, partitions: int = 200) -> DataFrame:
     """Left join with both sides hashed to ``partitions`` first; for moderate skew only."""
     return large.repartition(partitions, key).join(small.repartition(partitions, key), [key], "left")

@@ -12,6 +12,7 @@ from tidewell.operators import clean, enrich, gold, quality, skew
 from tidewell.plans import sql
 from tidewell.plans.registry import Registry
 from tidewell.session import scratch_dir
+from tidewell.sinks import zones
 from tidewell.sinks.layout import zvalue
 
 R = Registry()
@@ -198,6 +199,24 @@ def zorder_rewrite(spark, folder):
     return kept.groupBy("o_orderstatus").agg(F.count("*").alias("orders_kept"), F.sum(F.col("o_totalprice").cast(MONEY)).alias("total"))
 
 
+_BETWEEN = "l_partkey BETWEEN (SELECT MAX(l_partkey) // 4 FROM lineitem) AND (SELECT MAX(l_partkey) // 4 + MAX(l_partkey) // 20 FROM lineitem)"
+
+
+@R.add(f"""SELECT CAST(year(l_shipdate) AS INT) AS year, COUNT(*) AS lines, {sql.dbl(sql.total(f'CAST(l_extendedprice AS {sql.MONEY})'))} AS total,
+    TRUE AS few_files FROM lineitem WHERE {_BETWEEN} GROUP BY 1""")
+def zone_pruned_lines(spark, folder):
+    """Lines of a range of parts from a table clustered inside its years; the zone map leaves out over half of the files."""
+    path, lines = scratch_dir(spark, "zones"), catalog.table(spark, folder, "lineitem")
+    size = lines.agg(F.count("*").alias("n"), F.max("l_partkey").alias("top")).first()
+    zones.write_clustered(lines, path, "l_shipdate", ["l_partkey", "l_suppkey"], ["year"], rows_per_file=max(1, size.n // 200))
+    bounds = {"l_partkey": (size.top // 4, size.top // 4 + size.top // 20)}
+    read, files = zones.chosen(spark, path, bounds)
+    kept = zones.read_between(spark, path, bounds).groupBy("year")
+    return kept.agg(
+        F.count("*").alias("lines"), F.sum(F.col("l_extendedprice").cast(MONEY)).alias("total"), F.lit(2 * len(read) <= files).alias("few_files")
+    )
+
+
 @R.add("""SELECT o_orderstatus, COUNT(*) AS orders_kept FROM orders
     WHERE o_orderdate >= DATE '2001-08-02' - INTERVAL 730 DAY GROUP BY 1""")
 def retained_orders(spark, folder):
@@ -376,6 +395,21 @@ def repartitioned_join(spark, folder):
     return _by_nation(skew.repartitioned_join(lines, suppliers, "s_suppkey", 16))
 
 
+# Customers and suppliers of the lower half of the nations share one key, the others have their own.
+_SHARED = "CASE WHEN {0}_nationkey < 13 THEN -1 ELSE {0}_nationkey END"
+
+
+@R.add(f"""SELECT s_suppkey, COUNT(c_custkey) AS customers, {sql.dbl(sql.total(f'CAST(c_acctbal AS {sql.MONEY})'))} AS balance
+    FROM supplier LEFT JOIN customer ON {_SHARED.format('c')} = {_SHARED.format('s')} GROUP BY 1""")
+def grid_join(spark, folder):
+    """Suppliers with all customers of their key; one key holds half of both sides."""
+    customers = catalog.table(spark, folder, "customer").selectExpr("c_custkey", f"CAST(c_acctbal AS {sql.MONEY}) AS balance", f"{_SHARED.format('c')} AS key")
+    suppliers = catalog.table(spark, folder, "supplier").selectExpr("s_suppkey", f"{_SHARED.format('s')} AS key")
+    size = suppliers.count()
+    met = skew.grid_join(suppliers, customers, "key", target=max(1, size // 10))
+    return met.groupBy("s_suppkey").agg(F.count("c_custkey").alias("customers"), F.sum("balance").alias("balance"))
+
+
 @R.add("""WITH kinds AS (SELECT event_type, COUNT(*) AS kind_size, CAST(MIN(value) AS DOUBLE) AS least FROM events GROUP BY 1)
     SELECT e.event_id, e.event_type, k.kind_size, k.least FROM events e LEFT JOIN kinds k USING (event_type)""")
 def salted_join(spark, folder):
