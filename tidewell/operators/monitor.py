@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import labels
@@ -70,6 +71,17 @@ def high_risk_report(
     return high.orderBy(F.desc(score), F.asc(key)).limit(n).select(*shown)
 
 
+def save_report(report: DataFrame, path: str, day: datetime.date) -> None:
+    """A report under its day; a report of the same day is replaced, those of other days stay."""
+    overwrite_partitions(report.withColumn("report_date", F.lit(day)), path, ["report_date"], only_touched=True)
+
+
+def stored_reports(spark: SparkSession, path: str, day: datetime.date | None = None) -> DataFrame:
+    """All stored reports, or that of a day, whose folder alone is read."""
+    reports = spark.read.parquet(path)
+    return reports if day is None else reports.where(F.col("report_date") == F.lit(day))
+
+
 def _histogram(df: DataFrame, score: str, name: str) -> DataFrame:
     # Scores lie in 0..1; 1.0 belongs to the last bin.
     index = F.least(F.floor(F.col(score) * BINS), F.lit(BINS - 1))

@@ -266,14 +266,15 @@ class ExpectationError(RuntimeError):
     """Raised by ``expect(..., action="fail")``."""
 
 
-def _holds(predicate: str | Column) -> Column:
+def holds(predicate: str | Column) -> Column:
+    """A predicate that is false where it is unknown."""
     condition = F.expr(predicate) if isinstance(predicate, str) else predicate
     return F.coalesce(condition, F.lit(False))
 
 
 def expectation_metrics(df: DataFrame, expectations: Mapping[str, str | Column]) -> DataFrame:
     """One row per expectation: rows that hold and rows that do not (unknown counts as not)."""
-    counts = [F.count_if(_holds(p)).alias(f"ok_{i}") for i, p in enumerate(expectations.values())]
+    counts = [F.count_if(holds(p)).alias(f"ok_{i}") for i, p in enumerate(expectations.values())]
     measured = df.agg(F.count(F.lit(1)).alias("total"), *counts)
     rows = [
         F.struct(
@@ -295,7 +296,7 @@ def expect(
     if action == "warn":
         return df, metrics
     if action == "drop":
-        return df.where(reduce(Column.__and__, [_holds(p) for p in expectations.values()])), metrics
+        return df.where(reduce(Column.__and__, [holds(p) for p in expectations.values()])), metrics
     if action == "fail":
         broken = metrics.where(F.col("failed_records") > 0).collect()
         if broken:
@@ -309,7 +310,7 @@ def observe_expectations(
 ) -> DataFrame:
     """The same counts as a side effect of the next action (or of every micro-batch), with no
     pass of their own: metrics ``total`` and one failure count per expectation name."""
-    failed = [F.count_if(~_holds(p)).alias(name) for name, p in expectations.items()]
+    failed = [F.count_if(~holds(p)).alias(name) for name, p in expectations.items()]
     return df.observe(observation, F.count(F.lit(1)).alias("total"), *failed)
 
 
@@ -321,7 +322,7 @@ def split(
     A row is valid when every predicate is true. Quarantined rows carry the names of the broken
     rules in ``reasons`` and a ``quarantine_timestamp``.
     """
-    broken = [F.when(~_holds(p), F.lit(name)) for name, p in rules.items()]
+    broken = [F.when(~holds(p), F.lit(name)) for name, p in rules.items()]
     judged = df.withColumn("reasons", F.array_compact(F.array(*broken)))
     moment = F.current_timestamp() if at is None else F.lit(at)
     valid = judged.where(F.size("reasons") == 0).drop("reasons")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 
 from pyspark.sql import functions as F
 
@@ -272,6 +274,17 @@ def high_risk_report(spark, folder):
     return monitor.high_risk_report(_risks(spark, folder), 50, "doc_id", "steep_score", ["steep_score", "lang"])
 
 
+@R.add(sql.query("", """SELECT DATE '2024-02-01' AS report_date, doc_id, steep_score, lang FROM risks WHERE churn_risk = 'HIGH'
+    ORDER BY steep_score DESC, doc_id LIMIT 20""", risks=_RISKS))
+def stored_risk_report(spark, folder):
+    """The report as stored: a later run for the same day replaces the day's rows and no others."""
+    path, scored = scratch_dir(spark, "reports"), _risks(spark, folder)
+    for day, n in ((datetime.date(2024, 1, 31), 5), (datetime.date(2024, 2, 1), 50), (datetime.date(2024, 2, 1), 20)):
+        report = monitor.high_risk_report(scored, n, "doc_id", "steep_score", ["steep_score", "lang"])
+        monitor.save_report(report, path, day)
+    return monitor.stored_reports(spark, path, datetime.date(2024, 2, 1))
+
+
 @R.add(sql.query("", """
     SELECT SUM(b)::BIGINT AS base_records, SUM(c)::BIGINT AS current_records,
            round(SUM(cs) / SUM(c) - SUM(bs) / SUM(b), 6) AS mean_change, round(SUM((cp - bp) * ln(cp / bp)), 6) AS stability_index,

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tidewell import catalog
+from tidewell import catalog, sources
 from tidewell.plans import sql
 from tidewell.plans.registry import Registry
 from tidewell.session import scratch_dir
 from tidewell.streaming import events as ev
-from tidewell.streaming import incremental, sinks
+from tidewell.streaming import batches, incremental, sinks
 
 R = Registry()
 
@@ -118,3 +122,187 @@ def incremental_state(spark, folder):
             is_delete="operation = 'DELETE'", transform=catalog.as_changes, buckets=8,
         )
     return incremental.current_state(spark, state).select("user_id", "balance", "status", "updated_at")
+
+
+# --- deliveries -------------------------------------------------------------------------------
+
+# Events that come with the first delivery; all others come with the second.
+_EARLY = "ts < TIMESTAMP '2024-01-20' AND event_type <> 'error'"
+
+
+def _delivered(spark, folder, run, again=False):
+    """Call ``run(stream, place)`` after each of two deliveries of the events; with ``again`` the second one has all of
+    them once more."""
+    place, raw = scratch_dir(spark, "deliveries"), catalog.table(spark, folder, "events")
+    for early in (True, False):
+        part = raw if again else raw.where(f"({_EARLY}) = {early}")
+        part.write.mode("append").parquet(f"{place}/in")
+        stream = spark.readStream.schema(catalog.SCHEMAS["events"]).parquet(f"{place}/in")
+        run(catalog.as_events(stream), place)
+    return place
+
+
+_LATE = f"""event_type = 'error' AND ts < (SELECT MAX(ts) FROM happened WHERE {_EARLY}) - INTERVAL 10 MINUTE"""
+
+
+def _split_late(spark, folder):
+    delay = datetime.timedelta(minutes=10)
+
+    def run(stream, place):
+        batches.split_late(ev.clean_events(stream), f"{place}/out", f"{place}/late", f"{place}/checkpoint", delay)
+
+    return _delivered(spark, folder, run)
+
+
+@R.add(sql.query("happened", f"""SELECT event_id, event_type, {sql.dbl('amount')} AS amount, ts AS event_timestamp FROM happened
+    WHERE {_LATE}"""))
+def late_events(spark, folder):
+    """Events of the second delivery that lie behind the first one's watermark, in a table of their own."""
+    late = batches.written(spark, f"{_split_late(spark, folder)}/late")
+    return late.select("event_id", "event_type", "amount", "event_timestamp")
+
+
+@R.add(sql.query("happened", f"""SELECT event_id, event_type, {sql.dbl('amount')} AS amount, ts AS event_timestamp FROM happened
+    WHERE NOT ({_LATE})"""))
+def timely_events(spark, folder):
+    timely = batches.written(spark, f"{_split_late(spark, folder)}/out")
+    return timely.select("event_id", "event_type", "amount", "event_timestamp")
+
+
+@R.add(sql.query("happened", f"SELECT event_id, event_type, {sql.dbl('amount')} AS amount FROM happened"))
+def first_copies(spark, folder):
+    """Every event is delivered again, weeks behind any watermark; the first copy of each arrives."""
+
+    def run(stream, place):
+        batches.first_copies(ev.clean_events(stream), f"{place}/out", f"{place}/seen", f"{place}/checkpoint", ["event_id"], buckets=8)
+
+    place = _delivered(spark, folder, run, again=True)
+    return batches.written(spark, f"{place}/out").select("event_id", "event_type", "amount")
+
+
+@R.add(sql.query("happened", _TUMBLING))
+def updating_windows(spark, folder):
+    """The latest figures of all windows, open ones too, from a stream in update mode that sees some windows twice."""
+    kept = []
+
+    def run(stream, place):
+        windows = ev.tumbling_agg(ev.clean_events(stream), delay="60 days")
+        kept[:] = [batches.keep_windows(windows, f"{place}/windows", f"{place}/checkpoint", ["window_start", "window_end", "product_id"], 8)]
+
+    _delivered(spark, folder, run)
+    return kept[0].state()
+
+
+_RULES = {"priced": "amount > 50", "typed": "event_type IS NOT NULL", "small_quantity": "quantity < 50"}
+
+
+def _checked(spark, folder):
+    def run(stream, place):
+        batches.checked(stream, f"{place}/out", f"{place}/history", f"{place}/checkpoint", _RULES, {"priced": "drop"})
+
+    return _delivered(spark, folder, run)
+
+
+@R.add(sql.query("sent", f"""SELECT event_id, event_type, quantity FROM sent WHERE amount > 50"""))
+def stream_expectations(spark, folder):
+    """Rows that a stream lets through: one rule drops, the others only count."""
+    return batches.written(spark, f"{_checked(spark, folder)}/out").select("event_id", "event_type", "quantity")
+
+
+_COUNTED = f"""SELECT CASE WHEN {_EARLY} THEN 0 ELSE 1 END AS batch, COUNT(*) AS total, COUNT(*) FILTER (amount > 50) AS priced,
+    COUNT(event_type) AS typed, COUNT(*) FILTER (quantity < 50) AS small_quantity FROM sent GROUP BY 1"""
+
+
+@R.add(sql.query("sent", " UNION ALL ".join(
+    f"""SELECT batch, '{name}' AS expectation, '{'drop' if name == 'priced' else 'warn'}' AS action, {name} AS passed_records,
+        total - {name} AS failed_records FROM counted""" for name in _RULES), counted=_COUNTED))
+def rule_history(spark, folder):
+    """How many rows met each rule, batch by batch, kept by the stream itself."""
+    history = batches.rule_history(spark, f"{_checked(spark, folder)}/history")
+    return history.select("batch", "expectation", "action", "passed_records", "failed_records")
+
+
+@R.add(sql.query("sent", f"SELECT event_type, COUNT(*) AS events, TRUE AS stopped FROM sent WHERE {_EARLY} GROUP BY 1"))
+def stopped_stream(spark, folder):
+    """A rule that must not be broken stops the stream at the second delivery, before any row of it is written."""
+    stopped = []
+
+    def run(stream, place):
+        try:
+            rules = {"no_error": "event_type <> 'error'"}
+            batches.checked(stream, f"{place}/out", f"{place}/history", f"{place}/checkpoint", rules, {"no_error": "fail"})
+        except StreamingQueryException as error:
+            stopped.append("no_error" in str(error))
+
+    place = _delivered(spark, folder, run)
+    through = batches.written(spark, f"{place}/out").groupBy("event_type").agg(F.count("*").alias("events"))
+    return through.withColumn("stopped", F.lit(stopped == [True]))
+
+
+# --- JSON -------------------------------------------------------------------------------------
+
+_PRICE = "CAST(CAST(value AS DECIMAL(18,2)) AS STRING)"
+
+
+@R.add("""SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
+        CASE WHEN ts < TIMESTAMP '2024-01-15' OR event_type <> 'error' THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) END AS amount,
+        CASE WHEN ts < TIMESTAMP '2024-01-15' THEN NULL WHEN event_type = 'error'
+            THEN '{"amount":"' || CAST(value AS DECIMAL(18,2)) || ' EUR","note":"n' || user_id || '"}'
+            ELSE '{"note":"n' || user_id || '"}' END AS _rescued_data
+    FROM events""")
+def evolving_json_stream(spark, folder):
+    """JSON files whose later ones have a new field and, in part, another type: what does not fit is kept."""
+    place, raw = scratch_dir(spark, "evolving"), catalog.table(spark, folder, "events")
+    early = F.col("ts") < F.lit(catalog.EVENTS_CUT)
+    price = F.expr(_PRICE)
+    number = F.when(~early & (F.col("event_type") == "error"), F.concat(F.lit('"'), price, F.lit(' EUR"'))).otherwise(price)
+    note = F.when(early, F.lit("")).otherwise(F.concat(F.lit(',"note":"n'), F.col("user_id"), F.lit('"')))
+    line = F.concat(F.lit('{"event_id":"'), "event_id", F.lit('","event_type":"'), "event_type", F.lit('","amount":'), number, note, F.lit("}"))
+    for part in (early, ~early):
+        raw.where(part).select(line.alias("value")).write.mode("append").text(f"{place}/in")
+        stream = ev.read_rescued_files(spark, f"{place}/in", f"{place}/schema")
+        sinks.write_parquet(stream, f"{place}/out", f"{place}/checkpoint", trigger=sinks.ONCE).awaitTermination()
+    return spark.read.parquet(f"{place}/out").select("event_id", "event_type", "amount", "_rescued_data")
+
+
+@R.add("SELECT event_type, COUNT(*) AS events, CAST(SUM(user_id) AS BIGINT) AS users FROM events GROUP BY 1")
+def json_file_stream(spark, folder):
+    """JSON-lines files as they arrive."""
+    place, raw = scratch_dir(spark, "json-stream"), catalog.table(spark, folder, "events")
+    raw.select(F.col("event_id").cast("string"), "event_type", F.col("user_id").cast("string")).write.json(f"{place}/in")
+    stream = ev.read_json_stream(spark, f"{place}/in", files_per_trigger=None)
+    found = _ran(spark, stream, "json-events").groupBy("event_type")
+    return found.agg(F.count("*").alias("events"), F.sum(F.col("user_id").cast("long")).alias("users"))
+
+
+@R.add("SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, length(text) AS characters FROM conversations")
+def json_documents(spark, folder):
+    """Files that each hold one JSON document over many lines: an array of turns."""
+    place, talk = scratch_dir(spark, "json-documents"), catalog.table(spark, folder, "conversations")
+    # A document takes the turns of about a hundred conversations.
+    turns = talk.groupBy(F.expr("conv_id DIV 100").alias("part")).agg(F.collect_list(F.struct("conv_id", "turn", "role", "text")).alias("turns"))
+    pretty = F.to_json("turns", {"pretty": "true"})
+    turns.select("part", pretty.alias("value")).write.partitionBy("part").text(place)
+    read = sources.read_json(spark, place, "conv_id long, turn long, role string, text string", multi_line=True)
+    return read.select("conv_id", "turn", "role", F.length("text").cast("long").alias("characters"))
+
+
+# --- sinks for looking ------------------------------------------------------------------------
+
+
+@R.add(sql.query("happened", f"SELECT event_type, COUNT(*) AS events, {sql.dbl(sql.total('amount'))} AS amount FROM happened GROUP BY 1"))
+def debug_counts(spark, folder):
+    """Counts in complete mode in a table in memory."""
+    counts = _stream(spark, folder).groupBy("event_type").agg(F.count("*").alias("events"), F.sum("amount").alias("amount"))
+    name = f"debug_{uuid.uuid4().hex}"
+    sinks.write_debug(counts, "complete", "memory", name, sinks.ONCE).awaitTermination()
+    return spark.table(name)
+
+
+@R.add("SELECT COUNT(*) AS input_rows FROM events")
+def stream_progress(spark, folder):
+    """Rows that the micro-batches of a stream report to have read."""
+    stream, out = catalog.event_stream(spark, folder), scratch_dir(spark, "progress")
+    query = sinks.write_parquet(stream, out, f"{out}-checkpoint", trigger=sinks.ONCE)
+    query.awaitTermination()
+    return sinks.progress_frame(spark, query).agg(F.sum("input_rows").alias("input_rows"))

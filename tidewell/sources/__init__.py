@@ -2,6 +2,7 @@
 
 from tidewell.sources.files import (
     bad_rows,
+    parse_json,
     read_csv,
     read_json,
     read_parquet,
@@ -10,4 +11,4 @@ from tidewell.sources.files import (
     with_constants,
 )
 
-__all__ = ["bad_rows", "read_csv", "read_json", "read_parquet", "stream_files", "with_audit", "with_constants"]
+__all__ = ["bad_rows", "parse_json", "read_csv", "read_json", "read_parquet", "stream_files", "with_audit", "with_constants"]

@@ -70,6 +70,38 @@ def stream_files(spark: SparkSession, path: str, kind: str, schema: Schema, **op
     return reader.options(**(own | options)).schema(_with_corrupt(schema)).load(path)
 
 
+RESCUED = "_rescued_data"
+
+
+def parse_json(lines: DataFrame, schema: Schema, column: str = "value") -> DataFrame:
+    """JSON text parsed against a known schema, with what does not fit kept instead of lost.
+
+    Fields that the schema does not have, and fields whose value does not parse as the column's type (which is then
+    NULL), are kept as a JSON object of their texts in ``_rescued_data``; text that is no JSON object is kept in
+    ``_corrupt_record``. Other columns of ``lines`` stay, unless the schema has their names.
+    """
+    kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = F.col(column)
+    # A JSON object starts with a brace; from_json takes anything else for an empty one.
+    fields = F.when(F.trim(text).startswith("{"), F.from_json(text, "map<string,string>"))
+    parsed = lines.select(
+        *[c for c in lines.columns if c != column and c not in kinds.names],
+        text.alias("_text"), fields.alias("_fields"), F.from_json(text, kinds).alias("_parsed"),
+    )
+    unfit = {name: F.col("_parsed")[name].isNull() for name in kinds.names}
+    known = F.array(*[F.lit(n) for n in kinds.names]) if kinds.names else F.array().cast("array<string>")
+    missed = F.array(*[F.when(empty, F.lit(n)) for n, empty in unfit.items()]) if unfit else F.array().cast("array<string>")
+    kept = F.map_filter("_fields", lambda k, v: v.isNotNull() & (~F.array_contains(known, k) | F.array_contains(F.col("_missed"), k)))
+    rescued = parsed.withColumn("_missed", F.array_compact(missed))
+    others = [c for c in parsed.columns if c not in ("_text", "_fields", "_parsed")]
+    return rescued.select(
+        *others,
+        *[F.col("_parsed")[name].alias(name) for name in kinds.names],
+        F.when(F.size(kept) > 0, F.to_json(kept)).alias(RESCUED),
+        F.when(F.col("_fields").isNull() & F.col("_text").isNotNull(), F.col("_text")).alias(CORRUPT),
+    )
+
+
 def read_parquet(
     spark: SparkSession, path: str, schema: Schema | None = None, merge_schema: bool = False
 ) -> DataFrame:

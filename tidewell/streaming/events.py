@@ -20,6 +20,7 @@ from pyspark.sql.types import (
 )
 
 from tidewell.functions.numbers import MONEY, mean_money, money
+from tidewell.sources.files import parse_json
 
 EVENT_SCHEMA = StructType(
     [
@@ -94,6 +95,21 @@ def read_new_files(spark: SparkSession, path: str, schema_path: str, **options:
     return spark.readStream.schema(remembered_schema(spark, path, schema_path)).options(**options).json(path)
 
 
+def read_rescued_files(spark: SparkSession, path: str, schema_path: str, **options: str) -> DataFrame:
+    """As :func:`read_new_files`, but a field whose type has changed, or that the remembered schema does not have, is kept
+    in ``_rescued_data`` instead of becoming NULL or being left out. The schema is remembered from the first files on and
+    does not widen by itself: :func:`remembered_schema` widens it."""
+    try:
+        stored = spark.read.option("wholetext", True).text(schema_path).collect()
+        schema = max((StructType.fromJson(json.loads(r[0])) for r in stored), key=lambda s: len(s.fields))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        schema = remembered_schema(spark, path, schema_path)
+    lines = spark.readStream.options(**options).text(path)
+    return parse_json(lines, schema)
+
+
 # --- transformations --------------------------------------------------------------------------
 
 
