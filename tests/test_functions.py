@@ -110,3 +110,13 @@ def test_checkpoint_folder_of_the_session_is_kept(spark):
     first = session.checkpoint_root(spark)
     assert session.checkpoint_root(spark) == first
     assert session.scratch_dir(spark, "x") != session.scratch_dir(spark, "x")
+
+
+def test_ratios_of_very_small_and_very_large_operands(spark):
+    pairs = [(1e-7, 2e-7, 0.5), (3e-30, 1e-29, 0.3), (1e20, 4e20, 0.25), (-1e25, 2e25, -0.5), (1.0, 3e-9, 333333333.333), (0.0, 1e-9, 0.0), (5e-9, 0.0, None)]
+    pairs += [(float("nan"), 1.0, None), (float("inf"), 1.0, None), (1e-20, 1.0, 0.0), (2.5e-7, 1e-3, 0.0), (1.2345678, 1.0, 1.235)]
+    df = spark.createDataFrame(pairs, "a double, b double, want double")
+    for row in df.select(numbers.ratio(F.col("a"), F.col("b"), 3).alias("r"), "want", "a").collect():
+        assert row.r == row.want or abs(row.r - row.want) < 1e-6, row
+    wide = df.limit(1).select(F.expr("CAST(2e30 AS DECIMAL(38,0))").alias("a"), F.expr("CAST(8e30 AS DECIMAL(38,0))").alias("b"))
+    assert wide.select(numbers.ratio(F.col("a"), F.col("b"))).head()[0] == 0.25

@@ -16,21 +16,32 @@ def money(value: Column) -> Column:
     return value.try_cast(MONEY)
 
 
-# Six decimals are exact; longer fractions of doubles are rounded to six first. Below 10^18 everything fits.
+# Operands of six decimals below 10^18 are divided as they are.
 _EXACT = DecimalType(24, 6)
 
 
-def _half_up(numerator: Column, denominator: Column, scale: int) -> Column:
-    """``round(numerator / denominator * scale)`` as a whole decimal; NULL for a missing, zero or too large operand.
-
-    One route for all magnitudes: both operands become whole millionths, and the quotient comes from an exact
-    division of whole decimals, never from a narrower type that could cut or wrap.
-    """
+def _quotient(numerator: Column, denominator: Column, scale: int) -> Column:
+    """``round(numerator / denominator * scale)`` of whole millionths, by an exact division of whole decimals."""
     whole = lambda x: (F.abs(x.try_cast(_EXACT)) * F.lit(10**6)).cast("decimal(25,0)")
     top, bottom = whole(numerator), F.nullif(whole(denominator), F.lit(0).cast("decimal(25,0)"))
     twice = (top * F.lit(2 * scale) + bottom).cast("decimal(38,0)")
     divisor = (bottom * F.lit(2)).cast("decimal(38,0)")
-    size = ((twice - twice % divisor) / divisor).cast("decimal(38,0)")
+    return ((twice - twice % divisor) / divisor).cast("decimal(38,0)")
+
+
+def _half_up(numerator: Column, denominator: Column, scale: int) -> Column:
+    """``round(numerator / denominator * scale)`` as a whole decimal; NULL for a missing operand, a zero denominator or a
+    quotient from about 10^17 on.
+
+    Operands that are larger, or have more decimals, are moved by a common power of ten first, so that the greater one
+    has twelve digits before the point.
+    """
+    double = lambda x: x.cast("double")
+    exact = lambda x: double(x.try_cast(_EXACT)) == double(x)
+    greater = F.greatest(F.abs(double(numerator)), F.abs(double(denominator)))
+    power = F.pow(F.lit(10.0), F.lit(11) - F.floor(F.log10(greater)))
+    moved = _quotient(double(numerator) * power, double(denominator) * power, scale)
+    size = F.when(exact(numerator) & exact(denominator), _quotient(numerator, denominator, scale)).otherwise(moved)
     return F.when((numerator < 0) != (denominator < 0), -size).otherwise(size)
 
 

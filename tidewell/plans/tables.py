@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 
 from pyspark.sql import functions as F
 
@@ -173,19 +174,21 @@ def compact_partitions(spark, folder):
     )
 
 
-_Z_CUTS = {"o_totalprice": [100_000.0, 250_000.0, 400_000.0], "o_orderkey": [1_000.0, 5_000.0, 9_000.0]}
-
-
 @R.add("""
-    WITH b AS (SELECT CASE WHEN o_totalprice >= 400000 THEN 3 WHEN o_totalprice >= 250000 THEN 2
-                           WHEN o_totalprice >= 100000 THEN 1 ELSE 0 END AS p,
-                      CASE WHEN o_orderkey >= 9000 THEN 3 WHEN o_orderkey >= 5000 THEN 2
-                           WHEN o_orderkey >= 1000 THEN 1 ELSE 0 END AS k FROM orders)
+    WITH ends AS (SELECT MIN(o_totalprice) AS p0, MAX(o_totalprice) - MIN(o_totalprice) AS pw, MIN(o_orderkey) AS k0,
+                         MAX(o_orderkey) - MIN(o_orderkey) AS kw FROM orders),
+         b AS (SELECT (o_totalprice >= floor(p0 + pw / 4))::INT + (o_totalprice >= floor(p0 + pw / 2))::INT
+                          + (o_totalprice >= floor(p0 + pw * 3 / 4))::INT AS p,
+                      (o_orderkey >= floor(k0 + kw / 4))::INT + (o_orderkey >= floor(k0 + kw / 2))::INT
+                          + (o_orderkey >= floor(k0 + kw * 3 / 4))::INT AS k FROM orders, ends)
     SELECT CAST((p & 1) + 2 * (k & 1) + 4 * (p >> 1) + 8 * (k >> 1) AS BIGINT) AS z, COUNT(*) AS orders_placed
     FROM b GROUP BY 1""")
 def zorder_values(spark, folder):
-    orders = catalog.table(spark, folder, "orders")
-    return orders.groupBy(zvalue(orders, _Z_CUTS, bits=2).alias("z")).agg(F.count("*").alias("orders_placed"))
+    """Orders per cell of a grid of four by four, cut at quarters of the ranges that the data has."""
+    orders, columns = catalog.table(spark, folder, "orders"), ["o_totalprice", "o_orderkey"]
+    ends = orders.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]).first()
+    cuts = {c: [float(math.floor(ends[f"low_{c}"] + (ends[f"high_{c}"] - ends[f"low_{c}"]) * k / 4)) for k in (1, 2, 3)] for c in columns}
+    return orders.groupBy(zvalue(orders, cuts, bits=2).alias("z")).agg(F.count("*").alias("orders_placed"))
 
 
 @R.add(f"""SELECT o_orderstatus, COUNT(*) AS orders_kept, {sql.dbl(sql.total(f'CAST(o_totalprice AS {sql.MONEY})'))} AS total
