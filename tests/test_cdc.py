@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows, same
-from tidewell.operators import cdc, ordered
+from tidewell.operators import cdc, scan
 
 NOW = datetime.datetime(2024, 2, 1)
 T = lambda day: datetime.datetime(2024, 1, day)
@@ -201,16 +201,13 @@ def test_history_of_one_crowded_key(spark):
     assert same(cdc.scd2(*arguments), cdc.scd2(*arguments, split_rows=100))
 
 
-def test_bursts_are_cut_again(spark):
-    """Nearly all events of the key fall into one slot of the first cut."""
+def test_bursts_are_spread(spark):
+    """Nearly all events of the key lie close together, and no partition of the scan holds much more than its share."""
     burst = F.when(F.col("id") == 0, 10**12).otherwise(F.col("id"))
     df = spark.range(5000).select(F.lit(1).alias("id"), burst.alias("seq"), (F.col("id") % 3).alias("v"))
-    largest = lambda levels: (
-        ordered.slot_rows(df, ["id"], "seq", 100, levels=levels).groupBy("_slot").count().agg(F.max("count")).first()[0]
-    )
-    assert largest(1) > 4000 and largest(2) <= 100
-    slots = ordered.slot_rows(df, ["id"], "seq", 100)
-    numbered = ordered.number_rows(slots, ["id"], "seq", "n")
+    placed = scan.laid_out(df, ["id"], [F.col("seq")], parts=10)
+    assert placed.groupBy("_slot").count().agg(F.max("count")).first()[0] < 1_500
+    numbered = scan.with_running(placed, ["id"], {"n": F.lit(1)})
     assert numbered.where("n != IF(seq = 1000000000000, 5000, seq)").isEmpty()
 
 

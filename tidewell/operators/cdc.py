@@ -10,13 +10,14 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewell.functions import labels
-from tidewell.operators import ordered
+from tidewell.operators import ordered, scan
 from tidewell.operators.ordered import SPLIT_ROWS, latest_per_key
 from tidewell.operators.skew import fits_broadcast
-from tidewell.session import durable
+from tidewell.session import durable, stored
 
 
 def _moment(at: datetime.datetime | Column) -> Column:
@@ -273,29 +274,36 @@ def scd2(
 
     An event that repeats the values before it opens nothing; a delete closes the open row and
     opens nothing. Columns: keys, tracked, ``valid_from``, ``valid_to``, ``is_current``,
-    ``version``. A key may hold any share of the events: see :mod:`tidewell.operators.ordered`.
+    ``version``. A key may hold any share of the events: if one has more than ``split_rows``, the history comes from an
+    ordered scan (:mod:`tidewell.operators.scan`) instead of windows by key.
     """
     gone = F.expr(is_delete) if isinstance(is_delete, str) else is_delete
     plain = events.withColumn("_gone", F.coalesce(gone, F.lit(False))).select(*keys, sequence, *tracked, "_gone")
     single = _sequenced(plain, keys, sequence)
-    slotted = ordered.slot_rows(single, keys, sequence, split_rows, measured=plain)
-    looked = ordered.neighbour(slotted, keys, sequence, [*tracked, "_gone"], "_was", ahead=False)
-    was = F.col("_was")
+    was, next_ = F.col("_was"), F.col("_next")
     values_moved = _differs([F.col(c) for c in tracked], [was[c] for c in tracked])
     opens = ~F.col("_gone") & (was.isNull() | was["_gone"] | values_moved)
     closes = F.col("_gone") & was.isNotNull() & ~was["_gone"]
     # A boundary either opens or closes a period. After this filter a close is always preceded by
     # the open it ends.
-    bounds = looked.where(opens | closes).drop("_was")
-    ended = ordered.neighbour(bounds, keys, sequence, [sequence], "_next", ahead=True)
-    periods = ended.withColumn("valid_to", F.col("_next")[sequence]).where(~F.col("_gone")).drop("_next")
-    numbered = ordered.number_rows(periods, keys, sequence, "version")
+    boundary = opens | closes
+    crowded = plain.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows).limit(1)
+    if crowded.isEmpty():
+        along = W.partitionBy(*keys).orderBy(sequence)
+        bounds = single.withColumn("_was", F.lag(F.struct(*tracked, "_gone")).over(along)).where(boundary).drop("_was")
+        ended = bounds.withColumn("_next", F.lead(F.struct(sequence)).over(along)).where(~F.col("_gone"))
+        numbered = ended.withColumn("version", F.row_number().over(along))
+    else:
+        placed = scan.laid_out(single, keys, [F.col(sequence)])
+        bounds = stored(scan.with_neighbour(placed, keys, [*tracked, "_gone"], "_was").where(boundary).drop("_was"))
+        counted = scan.with_running(bounds, keys, {"version": F.when(F.col("_gone"), 0).otherwise(1)})
+        numbered = scan.with_neighbour(counted, keys, [sequence], "_next", ahead=True, base=bounds).where(~F.col("_gone"))
     return numbered.select(
         *keys,
         *tracked,
         F.col(sequence).alias("valid_from"),
-        "valid_to",
-        F.col("valid_to").isNull().alias("is_current"),
+        next_[sequence].alias("valid_to"),
+        next_[sequence].isNull().alias("is_current"),
         F.col("version").cast("int").alias("version"),
     )
 

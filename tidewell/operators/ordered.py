@@ -1,10 +1,4 @@
-"""Order-dependent work without one-task windows: ranks over a whole table, neighbours and row
-numbers within keys of any size.
-
-A plain window gathers each key in one task. Here a key with more than ``split_rows`` rows is cut
-into slots along its sequence; each slot is a window group of its own, and the slot edges (a few
-rows per slot) carry the missing neighbour or the row-number offset from one slot to the next.
-"""
+"""Order-dependent work without one-task windows: latest rows, cut points, and ranks over a whole table."""
 
 from __future__ import annotations
 
@@ -16,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 from tidewell.functions.numbers import percent
-from tidewell.session import durable
+from tidewell.operators import scan
+from tidewell.session import stored
 
+# Rows of a key beyond which its history comes from an ordered scan.
 SPLIT_ROWS = 2_000_000
-SLOT, SPLIT = "_slot", "_split"
-SLOTS_PER_LEVEL = 2**20
 
 
 def range_bucket(value: Column, cuts: Sequence) -> Column:
@@ -62,97 +56,6 @@ def number_line(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def slot_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    sequence: str,
-    split_rows: int = SPLIT_ROWS,
-    measured: DataFrame | None = None,
-    levels: int = 2,
-) -> DataFrame:
-    """Add ``_slot`` and ``_split``: slot 0 for ordinary keys, ascending slots for large ones.
-
-    A key with more than ``split_rows`` rows is cut into slots of equal width along its sequence,
-    as many as its row count asks for; a slot that is still too large (a burst) is cut again, up to
-    ``levels`` times. The large groups are measured once and materialised: at most
-    ``rows / split_rows`` of them exist, which bounds the broadcasts. Without any, the rows get
-    constants and the later steps reduce to plain windows.
-
-    Group sizes are taken from ``measured`` (default: ``df`` itself), which may be an earlier and
-    cheaper stage of ``df`` that still has all of its keys and sequence values.
-    """
-    group = [*keys, SLOT]
-
-    def start(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({SLOT: F.lit(0).cast("bigint"), "_place": number_line(frame, sequence)})
-
-    def cut(frame: DataFrame, large: DataFrame) -> DataFrame:
-        part = F.floor((F.col("_place") - F.col("_low")) / F.nullif(F.col("_width"), F.lit(0.0)))
-        # A row without sequence sorts first, so it belongs to the first slot; ``least`` alone would skip its NULL.
-        place = F.when(part.isNull(), F.lit(0)).otherwise(F.least(part, F.lit(SLOTS_PER_LEVEL - 1)))
-        slot = F.col(SLOT) * SLOTS_PER_LEVEL + place
-        joined = frame.join(F.broadcast(large), group, "left")
-        return joined.withColumns({SLOT: slot, "_cut": F.col("_width").isNotNull()}).drop("_low", "_width")
-
-    result = start(df).withColumn(SPLIT, F.lit(False))
-    sizes = start(df if measured is None else measured).select(*group, "_place")
-    for _ in range(levels):
-        large = durable(
-            sizes.groupBy(*group)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_low"), F.max("_place").alias("_high"))
-            .where(F.col("_n") > split_rows)
-            .select(*group, "_low", ((F.col("_high") - F.col("_low")) / F.ceil(4 * F.col("_n") / split_rows)).alias("_width"))
-        )
-        if large.isEmpty():
-            break
-        result = cut(result, large).withColumn(SPLIT, F.col(SPLIT) | F.col("_cut")).drop("_cut")
-        sizes = cut(sizes, large).where("_cut").drop("_cut")
-    return result.drop("_place")
-
-
-def neighbour(
-    df: DataFrame, keys: Sequence[str], sequence: str, values: Sequence[str], name: str, ahead: bool
-) -> DataFrame:
-    """Struct ``name`` of the ``values`` in the next (``ahead``) or previous row of the same key.
-
-    Needs the columns of :func:`slot_rows` and a sequence that is unique within the key.
-    """
-    taken = F.struct(*[F.col(v) for v in values])
-    step = F.lead if ahead else F.lag
-    pick = F.min_by if ahead else F.max_by
-    within = W.partitionBy(*keys, SLOT).orderBy(sequence)
-    edges = (
-        df.where(SPLIT)
-        .groupBy(*keys, SLOT)
-        .agg(pick(taken, F.col(sequence)).alias("_edge"))
-        .select(*keys, SLOT, step("_edge").over(W.partitionBy(*keys).orderBy(SLOT)).alias("_carried"))
-    )
-    return (
-        df.withColumn(name, step(taken).over(within))
-        .join(edges, [*keys, SLOT], "left")
-        .withColumn(name, F.coalesce(F.col(name), F.col("_carried")))
-        .drop("_carried")
-    )
-
-
-def number_rows(df: DataFrame, keys: Sequence[str], sequence: str, name: str) -> DataFrame:
-    """Row number within the key in sequence order; needs the columns of :func:`slot_rows`."""
-    before = W.partitionBy(*keys).orderBy(SLOT).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        df.where(SPLIT)
-        .groupBy(*keys, SLOT)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, SLOT, F.sum("_n").over(before).alias("_offset"))
-    )
-    place = F.row_number().over(W.partitionBy(*keys, SLOT).orderBy(sequence))
-    return (
-        df.withColumn(name, place)
-        .join(offsets, [*keys, SLOT], "left")
-        .withColumn(name, F.col(name) + F.coalesce("_offset", F.lit(0)))
-        .drop("_offset")
-    )
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first in ``order``, which should end in tie-breakers.
 
@@ -180,52 +83,28 @@ def _small_ranks(base: DataFrame, ranks: Mapping[str, str], percents: Mapping[st
     return base.withColumns(added)
 
 
-def _value_ranks(base: DataFrame, value: str, slots: int) -> DataFrame:
-    """Per distinct value: dense rank and the number of rows above it, highest value first."""
-    distinct = durable(base.groupBy(value).agg(F.count(F.lit(1)).alias("_rows")))
-    line = F.col(value).cast("double")
-    cuts = quantile_cuts(distinct, {"v": line}, slots)["v"]
-    # Slot 0 holds the highest values; NULL ranks last.
-    position = F.when(F.col(value).isNull(), F.lit(len(cuts) + 1)).otherwise(len(cuts) - range_bucket(line, cuts))
-    placed = distinct.withColumn(SLOT, position)
-    above = W.orderBy(SLOT).rowsBetween(W.unboundedPreceding, -1)
-    # One row per slot: at most slots + 1 rows reach the single ordered task and the broadcast.
-    offsets = placed.groupBy(SLOT).agg(F.count(F.lit(1)).alias("_n"), F.sum("_rows").alias("_r")).select(
-        SLOT,
-        F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_values_above"),
-        F.coalesce(F.sum("_r").over(above), F.lit(0)).alias("_rows_above"),
-    )
-    inside = W.partitionBy(SLOT).orderBy(F.desc_nulls_last(value))
-    earlier = F.sum("_rows").over(inside.rowsBetween(W.unboundedPreceding, -1))
-    return placed.join(F.broadcast(offsets), SLOT).select(
-        value,
-        (F.row_number().over(inside) + F.col("_values_above")).alias("_dense"),
-        (F.coalesce(earlier, F.lit(0)) + F.col("_rows_above")).alias("_above"),
-    )
-
-
 def global_ranks(
     df: DataFrame,
     ranks: Mapping[str, str],
     percents: Mapping[str, str] | None = None,
     one_task_rows: int = 100_000,
-    slots: int = 256,
+    slots: int | None = None,
 ) -> DataFrame:
     """Dense ranks (and percent ranks, 0 to 100 with two places) over the whole table, descending.
 
-    ``ranks`` and ``percents`` map new column names to the columns ranked. The input, usually an
-    aggregate, is materialised once. Up to ``one_task_rows`` rows a plain window in one task is
-    the cheapest plan; beyond it the distinct values are ranked in slots and joined back.
+    ``ranks`` and ``percents`` map new column names to the columns ranked. The input, usually an aggregate, is
+    materialised once. Up to ``one_task_rows`` rows a plain window in one task is the cheapest plan; beyond it an
+    ordered scan over ``slots`` partitions (by default as many as shuffles have) ranks each column, with no task that
+    grows with a value's share of the rows.
     """
     percents = dict(percents or {})
-    base = durable(df)
+    base = stored(df)
     total = base.count()
     if total <= one_task_rows:
         return _small_ranks(base, ranks, percents)
     result = base
     for value in dict.fromkeys([*ranks.values(), *percents.values()]):
-        found = _value_ranks(base, value, slots).withColumnRenamed(value, "_value")
-        result = result.join(found, F.col(value).eqNullSafe(F.col("_value")), "left")
+        result = scan.with_ranks(result, value, "_dense", "_above", slots)
         for name, ranked in ranks.items():
             if ranked == value:
                 result = result.withColumn(name, F.col("_dense").cast("int"))
@@ -233,5 +112,5 @@ def global_ranks(
             if ranked == value:
                 share = percent(F.col("_above"), F.lit(total - 1))
                 result = result.withColumn(name, F.coalesce(share, F.lit(0.0)))
-        result = result.drop("_value", "_dense", "_above")
+        result = result.drop("_dense", "_above")
     return result

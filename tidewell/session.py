@@ -90,6 +90,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """As :func:`durable`, but as a Parquet table: ``df`` is computed once (a checkpoint computes it twice), and later reads
+    take the columns they need. The order of rows and their partitions are not kept."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder, for stream sinks and intermediate tables."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
