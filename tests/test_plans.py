@@ -72,6 +72,23 @@ def test_ranks_of_a_large_table_use_no_single_task_window(spark):
     assert windows and not whole
 
 
+def _scans(df) -> list[str]:
+    """The tables a plan reads, one entry for each scan."""
+    return re.findall(r"FileScan parquet.*?Location: [^\[]*\[[^\]]*/([\w.-]+?)[\],]", plan(df))
+
+
+def test_joined_orders_are_evaluated_once(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        given = lambda name: [s for s in _scans(ALL.queries[name](spark, DATA)) if s.endswith(".parquet")]
+        # The enriched orders read five tables, the lines two more.
+        assert len(given("executive_summary")) <= 7 and len(given("enriched_orders")) == 5
+        # Rules and combined features read a stored copy; of the given tables, references and lines are left.
+        assert len(given("rule_results")) <= 2 and len(given("combined_features")) <= 2
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 def test_reused_group_partitioning(spark):
     """Feature groups are joined on the key they are aggregated by, without moving them again."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -181,38 +181,49 @@ def payment_success(enriched: DataFrame) -> DataFrame:
 def executive_summary(
     enriched: DataFrame, lines: DataFrame | None = None, as_of: datetime.date | None = None
 ) -> DataFrame:
-    """One row of overall figures over completed orders.
+    """One row of overall figures over completed orders, from one pass over them.
 
-    Country and customer figures come from per-group partial sums, so only group totals meet in
-    the final task. ``lines`` adds the best-selling product; without it ``enriched`` is used when
-    it carries products. ``as_of`` adds a ``report_date``.
+    Countries and the whole are grouping sets of one aggregate, and so are products where ``enriched`` carries them;
+    only group totals meet in the final task. ``lines`` adds the best-selling product of another table. ``as_of`` adds
+    a ``report_date``.
     """
     done = _completed(enriched)
-    per_country = done.groupBy("customer_country").agg(
+    own_products = lines is None and "product_id" in enriched.columns
+    columns = ["customer_country", *(["product_id"] if own_products else [])]
+    groups = done.groupingSets([*[[c] for c in columns], []], *columns).agg(
         _total("total_amount").alias("revenue"),
         F.count("order_id").alias("orders"),
         F.count("total_amount").alias("priced"),
         F.min("order_date").alias("first"),
         F.max("order_date").alias("last"),
+        F.count_distinct("customer_id").alias("people"),
+        F.grouping_id().alias("_set"),
     )
-    # Ties go to the smaller name: the greatest revenue first, then the least name.
-    best = lambda name: F.min_by(name, F.struct((-F.col("revenue")).alias("r"), F.col(name)))
-    summary = per_country.agg(
-        _total("revenue").alias("total_revenue"),
-        F.sum("orders").alias("total_orders"),
-        F.sum("priced").alias("priced"),
-        F.min("first").alias("first_order_date"),
-        F.max("last").alias("last_order_date"),
-        best("customer_country").alias("top_country"),
+    everything = (1 << len(columns)) - 1
+    of_all = lambda name: F.max(F.when(F.col("_set") == everything, F.col(name)))
+
+    def best(name: str, kind: Column) -> Column:
+        # Ties go to the smaller name: the greatest revenue first, then the least name.
+        place = F.when(kind, F.struct((-F.col("revenue")).alias("r"), F.col(name).alias("n")))
+        return F.min_by(F.when(kind, F.col(name)), place)
+
+    # In a set's number a column that is not grouped by has its bit set, the first column the highest.
+    sets = {c: F.col("_set") == everything - (1 << (len(columns) - 1 - i)) for i, c in enumerate(columns)}
+    summary = groups.agg(
+        of_all("revenue").alias("total_revenue"),
+        F.coalesce(of_all("orders"), F.lit(0)).alias("total_orders"),
+        of_all("priced").alias("priced"),
+        of_all("first").alias("first_order_date"),
+        of_all("last").alias("last_order_date"),
+        best("customer_country", sets["customer_country"]).alias("top_country"),
+        F.coalesce(of_all("people"), F.lit(0)).alias("total_customers"),
+        *([best("product_id", sets["product_id"]).alias("top_product")] if own_products else []),
     ).withColumn("avg_order_value", mean_money(F.col("total_revenue"), F.col("priced")))
-    people = done.agg(F.count_distinct("customer_id").alias("total_customers"))
-    items = enriched if lines is None else lines
-    columns = ["total_revenue", "total_orders", "avg_order_value", "first_order_date", "last_order_date", "top_country"]
-    result = summary.select(*columns, people.scalar().alias("total_customers"))
-    if "product_id" in items.columns:
-        per_product = _completed(items).groupBy("product_id").agg(_total("total_amount").alias("revenue"))
-        product = per_product.agg(best("product_id").alias("top_product"))
-        result = result.select("*", product.scalar().alias("top_product"))
+    shown = ["total_revenue", "total_orders", "avg_order_value", "first_order_date", "last_order_date", "top_country", "total_customers"]
+    result = summary.select(*shown, *(["top_product"] if own_products else []))
+    if lines is not None and "product_id" in lines.columns:
+        per_product = _completed(lines).groupBy("product_id").agg(_total("total_amount").alias("revenue"))
+        result = result.select("*", per_product.agg(best("product_id", F.lit(True)).alias("top_product")).scalar().alias("top_product"))
     return result if as_of is None else result.withColumn("report_date", F.lit(as_of))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from tidewell.functions.numbers import percent
 from tidewell.functions.text import EMAIL_PATTERN
+from tidewell.session import stored
 
 ERROR, WARNING, INFO = "error", "warning", "info"
 RESULT_COLUMNS = [
@@ -216,8 +217,14 @@ def _reference_result(df: DataFrame, rule: Rule) -> DataFrame:
     return counted.select("total_records", F.inline(F.array(_raw_result(rule, F.col("failed")))))
 
 
-def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule with counts, failure rate in percent and a message."""
+def validate(df: DataFrame, rules: Sequence[Rule], once: bool = False) -> DataFrame:
+    """One row per rule with counts, failure rate in percent and a message.
+
+    Row and uniqueness rules share one pass, each reference takes one of its own column. ``once`` first materialises
+    the columns that rules look at: for a ``df`` that is dear to compute, such as a join.
+    """
+    if once:
+        df = stored(df.select(*dict.fromkeys(r.column for r in rules)), "validated")
     own = [r for r in rules if r.kind != "referential_integrity"]
     parts = [_table_results(df, own)] if own else []
     parts += [_reference_result(df, r) for r in rules if r.kind == "referential_integrity"]

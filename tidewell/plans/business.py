@@ -315,7 +315,7 @@ _RESULTS = f"""SELECT rule_name, "column", level, failed_records = 0 AS passed,
 
 @R.add(sql.query("rich", _RESULTS, rules=_RULES))
 def rule_results(spark, folder):
-    return quality.validate(catalog.enriched(spark, folder), _rules(spark, folder))
+    return quality.validate(catalog.enriched(spark, folder), _rules(spark, folder), once=True)
 
 
 @R.add(sql.query("rich", f"""SELECT COUNT(*) AS total_rules, COUNT(*) FILTER (passed) AS passed_rules,
@@ -325,13 +325,13 @@ def rule_results(spark, folder):
     CASE WHEN COUNT(*) FILTER (NOT passed AND level = 'error') > 0 THEN 'FAILED' ELSE 'PASSED' END AS status
     FROM results""", rules=_RULES, results=_RESULTS))
 def rule_summary(spark, folder):
-    return quality.summary(quality.validate(catalog.enriched(spark, folder), _rules(spark, folder)))
+    return quality.summary(quality.validate(catalog.enriched(spark, folder), _rules(spark, folder), once=True))
 
 
 @R.add(sql.query("rich", """SELECT rule_name, "column", failed_records FROM rules
     WHERE failed_records > total_records * 0.05::DOUBLE""", rules=_RULES))
 def rule_alerts(spark, folder):
-    results = quality.validate(catalog.enriched(spark, folder), _rules(spark, folder))
+    results = quality.validate(catalog.enriched(spark, folder), _rules(spark, folder), once=True)
     return quality.alerts(results).select("rule_name", "column", "failed_records")
 
 

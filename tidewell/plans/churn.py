@@ -14,7 +14,7 @@ from tidewell.operators import features as ft
 from tidewell.operators import gold, ml, monitor, quality
 from tidewell.plans import sql
 from tidewell.plans.registry import Registry
-from tidewell.session import durable, scratch_dir
+from tidewell.session import durable, scratch_dir, stored
 
 R = Registry()
 # Days without a completed order that count as churn in the training queries.
@@ -89,7 +89,8 @@ def churn_distribution(spark, folder):
     JOIN (SELECT customer_id, ANY_VALUE(customer_name) AS customer_name, ANY_VALUE(customer_country) AS customer_country
           FROM rich GROUP BY 1) USING (customer_id)""", **_GROUPS))
 def combined_features(spark, folder):
-    rich, lines = catalog.enriched(spark, folder), catalog.order_lines(spark, folder)
+    # Five groups of features look at the enriched orders: they are joined once.
+    rich, lines = stored(catalog.enriched(spark, folder), "enriched"), catalog.order_lines(spark, folder)
     return ft.combine(
         ft.customer_base(rich), ft.rfm(rich, catalog.AS_OF), ft.behavioural(rich, lines),
         ft.temporal(rich, catalog.AS_OF), ft.churn_label(rich, catalog.AS_OF),
