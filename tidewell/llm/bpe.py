@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from tidewell.llm.common import shuffle_partitions, slices, written
+from tidewell.llm.common import release, released, shuffle_partitions, slices, written
 
 # Bytes of text in a chunk: what a task holds at a time; one longer text is a chunk of its own.
 CHUNK = 16_000_000
@@ -148,7 +148,7 @@ def _chunks(docs: DataFrame, pattern: str, shards: int) -> DataFrame:
             StructField("words", BinaryType()),
         ]
     )
-    return docs.mapInArrow(cut, schema)
+    return docs.mapInArrow(released(cut), schema)
 
 
 def _answers(words: DataFrame, ranks, pattern: str) -> DataFrame:
@@ -177,7 +177,7 @@ def _answers(words: DataFrame, ranks, pattern: str) -> DataFrame:
             )
 
     shards = shuffle_partitions(words.sparkSession)
-    return words.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(encode, "chunk long, shard int, coded binary")
+    return words.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(released(encode), "chunk long, shard int, coded binary")
 
 
 def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -239,6 +239,7 @@ def encode(
         fields.append(StructField("decoded", BinaryType()))
 
     def assemble(chunk: pa.Table, words: pa.Table) -> pa.Table:
+        release()
         return _assembled(chunk, words, packed, table.value if table else None)
 
     whole = sequences.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(assemble, StructType(fields))

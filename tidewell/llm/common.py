@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -50,3 +51,27 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             held += int(size)
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def release() -> None:
+    """Hand memory that is not in use back to the system. A worker that waits for its next task would keep the most it ever
+    had, next to the workers that run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def released(task: Task) -> Task:
+    """``task`` over the batches of a partition, with its memory given back at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return run

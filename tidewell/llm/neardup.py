@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell import session
-from tidewell.llm.common import slices, written
+from tidewell.llm.common import release, released, slices, written
 from tidewell.llm.shingles import bin_minima, densified, mixed, shingle_hashes
 
 BIN_BITS = 8
@@ -89,7 +89,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
             )
 
     schema = "doc_id long, digest binary, n_shingles long, set_key binary, registers binary"
-    return docs.select("doc_id", "text", F.unhex(F.md5("text")).alias("digest")).mapInArrow(made, schema)
+    return docs.select("doc_id", "text", F.unhex(F.md5("text")).alias("digest")).mapInArrow(released(made), schema)
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def _bands(classes: DataFrame) -> DataFrame:
                 keys = (keys & ~_BAND_OF) | np.arange(BANDS, dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["key", "id"])
 
-    return classes.select("id", "registers").mapInArrow(cut, "key long, id long")
+    return classes.select("id", "registers").mapInArrow(released(cut), "key long, id long")
 
 
 def estimated(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
@@ -159,6 +159,7 @@ def similar(a: Column, b: Column, words: int) -> Column:
             two = next(_distinct([y], words))
             both = len(np.intersect1d(one, two, assume_unique=True))
             found.append(100 * both >= SIMILAR * (len(one) + len(two) - both))
+        release()
         return pa.array(found, pa.bool_())
 
     return linked(a, b)
@@ -213,7 +214,7 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int
                 yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     order = ["key", "_low", "_high"]
-    return met.repartition(*order).sortWithinPartitions(*order).mapInArrow(compared, "a long, b long")
+    return met.repartition(*order).sortWithinPartitions(*order).mapInArrow(released(compared), "a long, b long")
 
 
 def _joining(group: pa.Table, words: int) -> Iterator[tuple[int, int]]:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from tidewell import session
-from tidewell.llm.common import slices, written
+from tidewell.llm.common import released, slices, written
 from tidewell.llm.shingles import rolling_hashes
 
 LENGTH = 200
@@ -104,7 +104,7 @@ def _anchor_hashes(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([piece.column("digest"), lists], names=["digest", "hashes"])
 
-    found = _text_rows(docs).where(F.octet_length("text") >= LENGTH).mapInArrow(made, "digest binary, hashes array<long>")
+    found = _text_rows(docs).where(F.octet_length("text") >= LENGTH).mapInArrow(released(made), "digest binary, hashes array<long>")
     return found.groupBy("digest").agg(F.count("*").alias("copies"), F.first("hashes").alias("hashes"))
 
 
@@ -134,7 +134,7 @@ def _occurrences(texts: DataFrame) -> DataFrame:
                 if end > start:
                     yield from _settle(batch.slice(start, end - start))
 
-    return texts.mapInArrow(made, _SUFFIXES)
+    return texts.mapInArrow(released(made), _SUFFIXES)
 
 
 def _settle(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -259,7 +259,7 @@ def _sorted_blocks(rows: DataFrame) -> DataFrame:
 
     columns = ["key", "digest", "start", "number", "bytes", "settled"]
     dealt = rows.select(*columns).repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(made, "digest binary, start long, number long")
+    return dealt.mapInArrow(released(made), "digest binary, start long, number long")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +396,7 @@ def without_repeats(docs: DataFrame, keep: list[str]) -> DataFrame:
             )
 
     counts = [StructField(name, LongType()) for name in ("n_bytes", "n_removed", "n_spans")]
-    return met.mapInArrow(cut, StructType([met.schema["_row"], StructField("kept", BinaryType()), *counts]))
+    return met.mapInArrow(released(cut), StructType([met.schema["_row"], StructField("kept", BinaryType()), *counts]))
 
 
 def op4_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell import session
+from tidewell.llm.common import release, released
 
 # Documents of each label in the sample that lexicon and function are learned from.
 SAMPLE = 4_000
@@ -203,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """The lexicon of the whole sample, with a function fitted on each half by the lexicon of the other."""
     rows = sample(docs, labels)
     schema = "phrase string, half long, toxic long, clean long, toxic_docs long, clean_docs long"
-    counts = rows.mapInArrow(_counted, schema).groupBy("phrase", "half").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    counts = rows.mapInArrow(released(_counted), schema).groupBy("phrase", "half").agg(*[F.sum(c).alias(c) for c in _COUNTS])
     counts = session.durable(counts.where("phrase = '' OR toxic_docs + clean_docs >= 2"))
     model = _lexicon(counts)
     seen = []
@@ -223,7 +224,9 @@ def _features(text: Column, model: Model, spark: SparkSession) -> Column:
     @F.arrow_udf("array<double>")
     def made(texts: pa.Array) -> pa.Array:
         automaton = shared.value.automaton()
-        return pa.array([features(fold(text.as_py()), automaton) for text in texts], pa.list_(pa.float64()))
+        found = pa.array([features(fold(text.as_py()), automaton) for text in texts], pa.list_(pa.float64()))
+        release()
+        return found
 
     return made(text)
 
