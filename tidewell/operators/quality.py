@@ -179,6 +179,22 @@ def _finished(raw: DataFrame) -> DataFrame:
     ).select(*RESULT_COLUMNS)
 
 
+def row_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``place`` (in ``rules``), ``total_records`` and ``failed_records`` of row rules: counts that add up over batches."""
+    failed = [F.count_if(_violation(df, rule)).alias(f"bad_{i}") for i, rule in enumerate(rules)]
+    measured = df.agg(F.count(F.lit(1)).alias("total_records"), *failed)
+    rows = [F.struct(F.lit(i).alias("place"), F.col(f"bad_{i}").alias("failed_records")) for i in range(len(rules))]
+    return measured.select("total_records", F.inline(F.array(*rows)))
+
+
+def from_counts(rules: Sequence[Rule], counts: DataFrame) -> DataFrame:
+    """Results from ``rule`` (the place in ``rules``), ``total_records`` and ``failed_records``."""
+    raw = F.lit(None)
+    for i, rule in enumerate(rules):
+        raw = F.when(F.col("rule") == i, _raw_result(rule, F.col("failed_records"))).otherwise(raw)
+    return _finished(counts.select("total_records", raw.alias("_raw")).select("total_records", "_raw.*"))
+
+
 def _table_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     failures = []
     for rule in rules:

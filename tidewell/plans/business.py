@@ -15,6 +15,7 @@ from tidewell.plans.registry import Registry
 from tidewell.session import durable, scratch_dir
 from tidewell.sinks.versions import VersionedTable, replaced
 from tidewell.streaming import views
+from tidewell.streaming.rules import RuleState
 
 R = Registry()
 
@@ -335,6 +336,30 @@ def rule_alerts(spark, folder):
     return quality.alerts(results).select("rule_name", "column", "failed_records")
 
 
+@R.add(sql.query("rich", _RESULTS, rules=_RULES))
+def incremental_rules(spark, folder):
+    """The rules after three batches of orders; countries and customers arrive in two parts, the second one last."""
+    given = _rules(spark, folder)
+    state = RuleState(spark, scratch_dir(spark, "rules"), given, buckets=8)
+    rich, now = durable(catalog.enriched(spark, folder)), datetime.datetime(2024, 2, 1)
+    references = {r.option("key"): r.option("table") for r in given if r.kind == "referential_integrity"}
+
+    def keys(name, number):
+        table = references[name]
+        part = F.pmod(F.hash(name), F.lit(2)) == number
+        state.add_keys(name, table.select(name).where(part), number, now)
+
+    for name in references:
+        keys(name, 0)
+    begin = datetime.date(1970, 1, 1)
+    for number, end in enumerate(BATCH_ENDS):
+        state.add(rich.where((F.col("order_date") >= F.lit(begin)) & (F.col("order_date") < F.lit(end))), number, now)
+        begin = end
+    for name in references:
+        keys(name, 1)
+    return state.results()
+
+
 _EXPECTED = {
     "valid_total": "total_amount > 100000",
     "paid": "payment_id IS NOT NULL",
