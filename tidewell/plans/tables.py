@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell import catalog, sinks, sources
 from tidewell.functions.numbers import MONEY, money
-from tidewell.operators import clean, enrich, gold, quality, skew
+from tidewell.operators import clean, enrich, gold, quality, sketches, skew
 from tidewell.plans import sql
 from tidewell.plans.registry import Registry
 from tidewell.session import scratch_dir
@@ -445,3 +445,49 @@ def top_keys(spark, folder):
 @R.add()
 def partition_balance(spark, folder):
     return skew.partition_balance(catalog.table(spark, folder, "lineitem").repartition(16, "l_orderkey"))
+
+
+# --- sketches ---------------------------------------------------------------------------------
+
+
+def _order_sketches(spark, folder, **columns):
+    """Sketches of the orders, stored in one batch per status and read again."""
+    path, orders = scratch_dir(spark, "sketches"), catalog.table(spark, folder, "orders")
+    for number, status in enumerate("FOP"):
+        sketches.save(sketches.sketched(orders.where(F.col("o_orderstatus") == status), ["o_orderpriority"], **columns), path, number)
+    return orders, sketches.stored(spark, path)
+
+
+@R.add("""SELECT o_orderpriority, COUNT(*) AS orders_seen, COUNT(DISTINCT o_custkey) AS customers, TRUE AS close
+    FROM orders GROUP BY 1""")
+def sketched_distinct(spark, folder):
+    """Customers per priority from merged sketches, next to the exact numbers: within three standard errors."""
+    orders, kept = _order_sketches(spark, folder, distinct=["o_custkey"])
+    found = sketches.estimated(sketches.merged(kept, ["o_orderpriority"]))
+    exact = orders.groupBy("o_orderpriority").agg(F.count_distinct("o_custkey").alias("customers"))
+    apart = F.abs(F.col("n_o_custkey") - F.col("customers"))
+    close = apart <= F.greatest(F.lit(1.0), 3 * sketches.distinct_error() * F.col("customers"))
+    return found.join(exact, ["o_orderpriority"]).select("o_orderpriority", F.col("rows").alias("orders_seen"), "customers", close.alias("close"))
+
+
+@R.add("""SELECT COUNT(*) AS orders_seen, share, TRUE AS close FROM orders, (SELECT unnest([0.01, 0.25, 0.5, 0.75, 0.99])::DOUBLE AS share) GROUP BY ALL""")
+def sketched_quantiles(spark, folder):
+    """Quantiles of all prices from merged sketches: their exact ranks lie within the error."""
+    orders, kept = _order_sketches(spark, folder, quantiles=["o_totalprice"])
+    shares = [0.01, 0.25, 0.5, 0.75, 0.99]
+    found = sketches.estimated(sketches.merged(kept), {"o_totalprice": shares})
+    pairs = found.select(F.explode(F.arrays_zip(F.array(*[F.lit(s) for s in shares]).alias("share"), F.col("q_o_totalprice").alias("q"))).alias("e"))
+    # Five values against all orders: the ranks come from one pass.
+    values = [r[0] for r in pairs.select("e.q").collect()]
+    below = orders.agg(F.count("*").alias("n"), *[F.avg((F.col("o_totalprice") <= v).cast("double")).alias(f"r{i}") for i, v in enumerate(values)])
+    rows = [F.struct(F.lit(s).alias("share"), (F.abs(F.col(f"r{i}") - s) <= 3 * sketches.rank_error()).alias("close")) for i, s in enumerate(shares)]
+    return below.select(F.col("n").alias("orders_seen"), F.inline(F.array(*rows)))
+
+
+@R.add("""SELECT event_type, COUNT(*) AS events FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""")
+def sketched_top_keys(spark, folder):
+    """The most frequent event types from the merged sketches of all days."""
+    events = catalog.table(spark, folder, "events")
+    kept = sketches.sketched(events.withColumn("day", F.to_date("ts")), ["day"], frequent=["event_type"])
+    found = sketches.estimated(sketches.merged(kept), top=5).select(F.explode("top_event_type").alias("e"))
+    return found.select(F.col("e.item").alias("event_type"), F.col("e.count").alias("events"))
