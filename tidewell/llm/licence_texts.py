@@ -1,4 +1,11 @@
-"""Texts and notices of public licences, by SPDX identifier."""
+"""Texts and notices of public licences, by SPDX identifier.
+
+Short licences and notices stand here; long ones are whole files in ``licences_whole``, as their publishers give them.
+"""
+
+from pathlib import Path
+
+_FILES = Path(__file__).parent / "licences_whole"
 
 _WARRANTY = (
     "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
@@ -67,6 +74,23 @@ TEXTS = [
     ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
 ]
 
+# Whole files and their identifiers.
+FILES = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3",
+    "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+    "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+TEXTS += [(identifier, (_FILES / f"{name}.txt").read_text()) for name, identifier in FILES.items()]
+
+# Titles that may stand above a licence's text, in canonical spelling.
+TITLES = [
+    "mit license", "the mit license", "the mit license mit", "mit license mit", "expat license", "isc license", "the isc license", "isc license isc",
+    "bsd license", "the bsd license", "bsd 2 clause license", "the bsd 2 clause license", "the 2 clause bsd license", "simplified bsd license",
+    "bsd 2 clause simplified license", "freebsd license", "bsd 3 clause license", "the bsd 3 clause license", "the 3 clause bsd license",
+    "new bsd license", "the new bsd license", "modified bsd license", "revised bsd license", "bsd 3 clause new or revised license",
+    "bsd zero clause license", "zero clause bsd license", "0bsd license",
+]
+
 # Words that count as equal: every spelling on the left is read as the one on the right.
 SPELLINGS = [
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("licencing", "licensing"),
