@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -22,6 +23,31 @@ def labels(spark):
     return spark.read.parquet(f"{DATA}/labels.parquet")
 
 
+def test_every_language_is_learned_within_the_bounds(spark, monkeypatch):
+    """300 languages of few texts and one of many: none is left out, and bytes are bounded."""
+    rare = [(i * 100 + j, f"word{chr(0x4E00 + i)}{j} " * 5, f"l{i}") for i in range(300) for j in range(4)]
+    docs = spark.createDataFrame(rare + [(100_000 + i, "plain text " * 30, "common") for i in range(1_000)], "doc_id long, text string, lang string")
+    counts = language.label_counts(docs)
+    found = language.examples(docs, counts)
+    learnable = {r[2] for r in rare if zlib.crc32(str(r[0]).encode()) % 4 != 2} | {"common"}
+    assert len(learnable) > 290 and {lang for lang, _, _ in found} == learnable == set(counts)
+    assert 500 < sum(lang == "common" for lang, _, _ in found) < 700 < counts["common"][0]
+    rest = sum(size for lang, (_, size) in counts.items() if lang != "common")
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 24 * (rest + 330 * 100))
+    fewer = language.examples(docs, counts)
+    assert 60 < sum(lang == "common" for lang, _, _ in fewer) < 140 and sum(lang != "common" for lang, _, _ in fewer) == len(found) - sum(lang == "common" for lang, _, _ in found)
+
+
+def test_shares_of_the_corpus_are_put_back(spark):
+    """Two languages that cannot be told apart: the corpus decides, whatever the sample's shares are."""
+    bag = language.bag(b" same words ")
+    sample = [("a", *bag), ("b", *bag)] * 40
+    model = language.train(sample, counts={"a": 9_000, "b": 1_000})
+    p = language._softmax(model.logits([b" same words "])[0].astype(float))
+    assert 0.8 < p[model.languages.index("a")] < 0.95
+    assert language.train(sample).languages == ["a", "b"]
+
+
 def test_language_of_held_out_documents(spark, documents):
     model = language.train(language.examples(documents))
     found = language.predict(documents, model).where(language.held_out(F.col("doc_id")))

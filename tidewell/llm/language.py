@@ -2,9 +2,10 @@
 
 Subwords are all strings of 2 to 4 bytes of the lower-cased letters of a text, hashed to 2**16 buckets. A text is the
 mean of its subwords' embeddings, classified by a linear softmax. Embeddings and classifier are trained together by
-stochastic gradient descent in numpy on a bounded sample: about ``PER_LANGUAGE`` texts, whole, of each of the
-``LANGUAGES`` most frequent languages. A fifth of the sample sets the temperature of the scores and the least score
-at which predictions are right often enough to be accepted.
+stochastic gradient descent in numpy on a bounded sample of every language: about ``PER_LANGUAGE`` texts, whole, and
+no more than its part of ``SAMPLE_BYTES``. The sample has fewer texts of frequent languages than the corpus has, so the
+counted shares of the languages are put back into the classifier's bias. A fifth of the sample, weighted likewise, sets
+the temperature of the scores and the least score at which predictions are right often enough to be accepted.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and not accepted; equal texts get equal
 results; without labelled texts everything is ``und``; an empty table gives an empty table; columns may have any names
@@ -13,7 +14,7 @@ but those of the results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,9 +24,9 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import slices
 
-# The bound of the sample.
+# The bounds of the sample: texts of a language, and bytes of all texts' subwords, as many as they can be at most.
 PER_LANGUAGE = 600
-LANGUAGES = 200
+SAMPLE_BYTES = 256 << 20
 BUCKET_BITS = 16
 DIMENSIONS = 16
 ORDERS = (2, 3, 4)
@@ -99,8 +100,11 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model | None:
-    """The model of ``(language, buckets, shares)``; every fifth example of a language calibrates."""
+def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7, counts: Mapping[str, int] | None = None) -> Model | None:
+    """The model of ``(language, buckets, shares)``; every fifth example of a language calibrates.
+
+    ``counts`` are the texts of each language in the corpus: what the examples have too few or too many of is set right.
+    """
     languages = sorted({language for language, _, _ in examples})
     if not languages:
         return None
@@ -127,31 +131,54 @@ def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
             bias -= np.float32(0.1) * rate * error
             # Shares are small, so embeddings move in proportion to how often a bucket occurs.
             embeddings[buckets] -= rate * np.outer(shares * np.float32(np.sqrt(len(shares))), back)
+    weight = {language: (counts or seen).get(language, n) / n for language, n in seen.items()}
+    bias += np.log([weight[language] for language in languages], dtype=np.float32)
+    bias -= bias.mean()
     model = Model(languages, embeddings, classifier, bias, 1.0, 0.0)
     if check:
         logits = np.array([shares @ embeddings[buckets] @ classifier + bias for _, buckets, shares in check])
         truth = np.array([index[language] for language, _, _ in check])
-        loss = lambda t: -np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean()
+        weights = np.array([weight[language] for language, _, _ in check])
+        loss = lambda t: -(weights * np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12)).sum()
         model.temperature = float(min(np.geomspace(0.5, 10, 61), key=loss))
         scores = _softmax(logits / model.temperature)
         right, best = scores.argmax(axis=1) == truth, scores.max(axis=1)
         order = np.argsort(-best)
-        precise = np.flatnonzero(np.cumsum(right[order]) >= PRECISION * np.arange(1, len(order) + 1))
+        precise = np.flatnonzero(np.cumsum((weights * right)[order]) >= PRECISION * np.cumsum(weights[order]))
         model.least = float(best[order][precise[-1]]) if len(precise) else 1.0
         if len(precise) and precise[-1] == len(order) - 1:  # right often enough even at the lowest scores seen
             model.least = min(model.least, 0.5)
     return model
 
 
-def examples(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """The bounded sample, as buckets and shares: at most 2**16 of each per text."""
-    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+def label_counts(docs: DataFrame) -> dict[str, tuple[int, int]]:
+    """Texts and bytes of every language that may be learned: one row per language."""
+    rows = _learnable(docs).groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect()
+    return {r["lang"]: (r["n"], r["size"]) for r in rows}
+
+
+def _learnable(docs: DataFrame) -> DataFrame:
+    return docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+
+
+def examples(docs: DataFrame, counts: Mapping[str, tuple[int, int]] | None = None) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """The bounded sample, as buckets and shares: at most 2**16 of each per text. ``counts`` are the :func:`label_counts`."""
+    counts = label_counts(docs) if counts is None else counts
     if not counts:
         return []
-    share = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], min(1.0, PER_LANGUAGE / row["count"]))])
+    # A byte of text gives at most a subword of every order, of eight bytes each. What languages of little text leave
+    # of their part goes to the others.
+    wanted = {lang: size * min(1.0, PER_LANGUAGE / n) for lang, (n, size) in counts.items()}
+    left, rows = SAMPLE_BYTES / (8 * len(ORDERS)), []
+    for i, lang in enumerate(sorted(counts, key=lambda x: (wanted[x], x))):
+        taken = min(wanted[lang], left / (len(counts) - i))
+        left -= taken
+        rows.append((lang, taken / max(counts[lang][1], 1) if counts[lang][1] else 1.0))
+    shares_of = docs.sparkSession.createDataFrame(rows, "lang string, _share double")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / F.lit(float(1 << 31))
-    sampled = known.where(place < F.try_element_at(share, F.col("lang"))).select("doc_id", "lang", "text")
+    # One row per language.
+    met = _learnable(docs).select("doc_id", "lang", "text").join(F.broadcast(shares_of), "lang")
+    sampled = met.where(place < F.col("_share")).select("doc_id", "lang", "text")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +192,7 @@ def examples(docs: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "lang", "buckets", "shares"])
 
     rows = sampled.mapInArrow(made, "doc_id long, lang string, buckets binary, shares binary").collect()
-    rows.sort(key=lambda r: (r.doc_id is None, r.doc_id, r.lang))
+    rows.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, r.lang, bytes(r.buckets), bytes(r.shares)))
     return [(r.lang, np.frombuffer(r.buckets, "<u4"), np.frombuffer(r.shares, "<f4")) for r in rows]
 
 
@@ -195,6 +222,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
 
 def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
-    model = train(examples(docs))
+    counts = label_counts(docs)
+    model = train(examples(docs, counts), counts={lang: n for lang, (n, _) in counts.items()})
     predicted = predict(docs.select("doc_id", "text"), model)
     return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
