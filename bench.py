@@ -19,6 +19,7 @@ HEADLINE = """
     sliding_windows tumbling_windows sliding_stream incremental_state salted_join hot_keys skew_diagnosis
     feature_table roc_auc monitoring_metrics zorder_rewrite compact_small_files compact_partitions
     scd2_history_split top_products_in_slots customer_percentiles merge_first_load
+    changes_since_version customer_360_incremental first_copies grid_join sketched_distinct
 """.split()
 
 
