@@ -141,6 +141,39 @@ def test_repeated_passages_equal_brute_force(spark, monkeypatch, hot):
     assert suffix.without_repeats(brute.empty(spark), ["doc_id"]).isEmpty()
 
 
+def test_buckets_stay_whole_where_joins_are_split(spark, monkeypatch):
+    """Joins that shuffle, and partitions that all count as skewed."""
+    monkeypatch.setattr(suffix, "HOT", 20)
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefg", k=rng.randint(1, 9))) for _ in range(300)]
+    some = lambda n: " ".join(rng.choices(words, k=n))
+    passage = some(200)
+    rows = []
+    for i in range(900):
+        at = rng.randrange(len(passage) - 210)
+        rows.append((i, f"{some(3)} {passage[at : at + rng.randint(200, 600)]} {some(rng.randint(0, 30))}"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "24",
+        "spark.sql.files.maxPartitionBytes": "16k",
+        "spark.sql.files.openCostInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+        found = {r._row.doc_id: (bytes(r.kept), r.n_removed, r.n_spans) for r in suffix.without_repeats(docs, ["doc_id"]).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert found == {i: kept for (i, _), kept in zip(rows, brute.kept_bytes([t for _, t in rows]), strict=True)}
+
+
 def test_suffix_blocks_find_equal_windows():
     rng = np.random.default_rng(3)
     for letters in (1, 2, 4):
