@@ -119,6 +119,21 @@ def test_grid_cells_hold_a_bounded_share(spark):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "_at_rows" in text
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_grid_join_aggregates_partners_before_they_meet(spark, how):
+    left = spark.createDataFrame([(k, i % 90) for i in range(100) for k in [[1, 1, 2, None, i + 10][i % 5]]], "k int, a int")
+    right = spark.createDataFrame([(k, v) for i in range(150) for k, v in [([1, 2, None, i + 10, 7_000][i % 5], None if i % 7 == 0 else i)]] + [(1, 3)] * 20, "k int, b int")
+    want = left.join(right, ["k"], how).groupBy("a").agg(F.count("b").alias("n"), F.sum("b").alias("s"))
+    for target in (10, 40, 1_000):
+        met = skew.grid_join(left.repartition(5), right.repartition(4), "k", target, how, {"n": F.count("b"), "s": F.sum("b")})
+        assert same(met.groupBy("a").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum("s").alias("s")), want)
+    # A row of the left side meets one row per cell of its key, not every row of it.
+    cells = skew.join_cells(left, right, "k", 10).where("k = 1").head()
+    assert met.where("k = 1").count() == left.where("k = 1").count()
+    narrow = skew.grid_join(left, right, "k", 10, how, {"n": F.count("b"), "s": F.sum("b")})
+    assert narrow.where("k = 1").count() <= left.where("k = 1").count() * cells["_columns"]
+
+
 def test_grid_join_refuses_other_kinds(spark):
     with pytest.raises(ValueError):
         skew.grid_join(spark.range(1), spark.range(1), "id", 1, "full")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.numbers import ratio
@@ -110,13 +110,19 @@ def join_cells(left: DataFrame, right: DataFrame, key: str, target: int) -> Data
     return both.select(key, cells("_left").alias("_rows"), cells("_right").alias("_columns")).where("_rows > 1 OR _columns > 1")
 
 
-def grid_join(left: DataFrame, right: DataFrame, key: str, target: int = 1_000_000, how: str = "left") -> DataFrame:
+def grid_join(
+    left: DataFrame, right: DataFrame, key: str, target: int = 1_000_000, how: str = "left", partial: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Join on ``key`` (``inner`` or ``left``) with keys that are crowded on both sides dealt to a grid of cells.
 
     A left row of a crowded key takes one row of the grid and is copied along its columns, a right row takes one column
     and is copied along its rows: every pair meets in exactly one cell, and a cell holds about ``target`` rows of each
     side. Copying is in proportion to the *other* side's size over ``target``, where salting one side copies the other
     whole. Rows are dealt by a hash of the row and its input partition, so a retried task deals them the same way.
+
+    All pairs of a key grow with the product of its two sides. Who only aggregates the partners names the sums as ``partial``:
+    the right rows of a cell are then aggregated before they meet, and a left row meets one row per column of its
+    key, which holds these aggregates. What is left to the caller is to add them up.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"grid_join is inner or left, not {how!r}")
@@ -131,7 +137,10 @@ def grid_join(left: DataFrame, right: DataFrame, key: str, target: int = 1_000_0
         return spread.withColumn(f"_at{other}", F.explode("_copies")).drop("_copies")
 
     ours = dealt(left, "_rows", "_columns").withColumnRenamed("_columns", "_crowded")
-    theirs = dealt(right, "_columns", "_rows").drop("_columns").withColumn("_met", F.lit(True))
+    theirs = dealt(right, "_columns", "_rows").drop("_columns")
+    if partial is not None:
+        theirs = theirs.groupBy(key, "_at_rows", "_at_columns").agg(*[value.alias(name) for name, value in partial.items()])
+    theirs = theirs.withColumn("_met", F.lit(True))
     joined = ours.join(theirs, [key, "_at_rows", "_at_columns"], how)
     # A crowded left row has partners in some column of its row; in the others it is no row of the result.
     found = joined.where(F.col("_met").isNotNull() | F.coalesce(F.col("_crowded") <= 1, F.lit(True)))

@@ -409,8 +409,10 @@ def grid_join(spark, folder):
     customers = catalog.table(spark, folder, "customer").selectExpr("c_custkey", f"CAST(c_acctbal AS {sql.MONEY}) AS balance", f"{_SHARED.format('c')} AS key")
     suppliers = catalog.table(spark, folder, "supplier").selectExpr("s_suppkey", f"{_SHARED.format('s')} AS key")
     size = suppliers.count()
-    met = skew.grid_join(suppliers, customers, "key", target=max(1, size // 10))
-    return met.groupBy("s_suppkey").agg(F.count("c_custkey").alias("customers"), F.sum("balance").alias("balance"))
+    # All pairs would grow with the product of both tables; customers of a cell meet its suppliers as one row.
+    sums = {"customers": F.count("c_custkey"), "balance": F.sum("balance")}
+    met = skew.grid_join(suppliers, customers, "key", target=max(1, size // 10), partial=sums)
+    return met.groupBy("s_suppkey").agg(F.coalesce(F.sum("customers"), F.lit(0)).alias("customers"), F.sum("balance").cast("decimal(28,2)").alias("balance"))
 
 
 @R.add("""WITH kinds AS (SELECT event_type, COUNT(*) AS kind_size, CAST(MIN(value) AS DOUBLE) AS least FROM events GROUP BY 1)
