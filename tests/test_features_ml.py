@@ -230,3 +230,16 @@ def test_churn_queries_fit_whole_models(spark, monkeypatch):
         getattr(churn, name)(spark, "")
     assert made == [{}] * 8
     assert validated == [((), {}), (({"numTrees": [50, 100], "maxDepth": [5, 10]},), {"parallelism": 4})]
+
+
+@pytest.mark.parametrize("name", ["feature_importance", "scored_customers", "scored_from_stored_model"])
+def test_training_table_is_made_once_per_query(spark, monkeypatch, name):
+    from unittest.mock import MagicMock
+
+    from tidewell.plans import churn
+
+    for stub in ("ml", "scratch_dir", "_training"):
+        monkeypatch.setattr(churn, stub, MagicMock())
+    churn.ml.stratified_split.return_value = (MagicMock(), MagicMock())
+    getattr(churn, name)(spark, "")
+    assert churn._training.call_count == 1

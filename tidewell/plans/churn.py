@@ -314,8 +314,9 @@ def _training(spark, folder):
     return durable(typed)
 
 
-def _fitted(pipeline, spark, folder, weighted=False):
-    train, test = ml.stratified_split(_training(spark, folder), ["customer_id"])
+def _fitted(pipeline, spark, folder, weighted=False, table=None):
+    """The model and the test rows; ``table`` is the training table, if it is there already."""
+    train, test = ml.stratified_split(_training(spark, folder) if table is None else table, ["customer_id"])
     return pipeline.fit(ml.positive_weight(train, "is_churned") if weighted else train), test
 
 
@@ -384,15 +385,17 @@ def grid_search(spark, folder):
 
 @R.add()
 def feature_importance(spark, folder):
-    forest, _ = _fitted(ml.random_forest(_INPUTS, "is_churned"), spark, folder)
-    boosted, _ = _fitted(ml.gradient_boosting(_INPUTS, "is_churned"), spark, folder, weighted=True)
+    table = _training(spark, folder)
+    forest, _ = _fitted(ml.random_forest(_INPUTS, "is_churned"), spark, folder, table=table)
+    boosted, _ = _fitted(ml.gradient_boosting(_INPUTS, "is_churned"), spark, folder, weighted=True, table=table)
     return ml.average_importance([ml.importance(spark, m, _INPUTS) for m in (forest, boosted)], 10)
 
 
 @R.add()
 def scored_customers(spark, folder):
-    model, _ = _fitted(ml.logistic_regression(_INPUTS, "is_churned"), spark, folder)
-    scored = ml.score(_training(spark, folder), model)
+    table = _training(spark, folder)
+    model, _ = _fitted(ml.logistic_regression(_INPUTS, "is_churned"), spark, folder, table=table)
+    scored = ml.score(table, model)
     return scored.select("customer_id", monitor.SCORE, "churn_risk", "model_name", "model_stage")
 
 
@@ -401,9 +404,10 @@ def scored_customers(spark, folder):
 def scored_from_stored_model(spark, folder):
     """A model that is stored, loaded again and then scores every customer; what SQL can tell about the result."""
     path = scratch_dir(spark, "model")
-    model, _ = _fitted(ml.logistic_regression(_INPUTS, "is_churned"), spark, folder)
+    table = _training(spark, folder)
+    model, _ = _fitted(ml.logistic_regression(_INPUTS, "is_churned"), spark, folder, table=table)
     ml.save(model, path)
-    scored = ml.score(_training(spark, folder), ml.load(path))
+    scored = ml.score(table, ml.load(path))
     risk = labels.score_risk(F.col(monitor.SCORE))
     return scored.select(
         "customer_id",
