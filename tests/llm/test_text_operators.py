@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -95,6 +96,28 @@ def test_fingerprints_estimate_similarity(spark):
     assert pair.select(fingerprints.likeness(fingerprints.fingerprint(F.col("a")), fingerprints.fingerprint(F.col("b")))).head()[0] == 1
 
 
+def test_a_settled_crowd_is_not_copied_to_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    # Bucket 1: a crowd of 40 and six others, one of them alone with its label; bucket 2: small; bucket 3: one label.
+    labels = {1: [7] * 40 + [8, 8, 8, 9, 9, 10], 2: [7, 8, 8], 3: [7] * 9}
+    members = [(key, 100 * key + i, label) for key, held in labels.items() for i, label in enumerate(held)]
+    dealt = neardup._dealt(spark.createDataFrame(members, "key long, id long, label long")).collect()
+    met = Counter()
+    groups = {}
+    for r in dealt:
+        groups.setdefault((r.key, r._low, r._high), []).append(r)
+    for (key, low, high), rows in groups.items():
+        assert len({r._own for r in rows}) <= 2
+        among = low if high in (low, rows[0]._lower) else None
+        for a, b in itertools.combinations(rows, 2):
+            if a.label != b.label and (a._own != b._own or a._own == among):
+                met[key, *sorted((a.id, b.id))] += 1
+    want = {(k, i, j) for (k, i, x), (l, j, y) in itertools.combinations(members, 2) if k == l and x != y}
+    assert set(met) == want and set(met.values()) == {1}
+    # 40 of the crowd go to two blocks of others; six others to one another's and ten blocks of the crowd.
+    assert Counter(r.key for r in dealt) == {1: 40 * 2 + 6 * (1 + 10), 2: 3}
+
+
 @pytest.mark.parametrize("block", [4, 512])
 def test_near_duplicates_equal_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK", block)

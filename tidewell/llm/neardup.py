@@ -8,7 +8,8 @@
    members. Agreeing registers, corrected for chance collisions, must allow the similarity within five standard
    errors; what is left is confirmed on full sets, and components are formed.
 5. Buckets whose classes are still in different components are compared completely, but only across components, in
-   blocks, by registers and then by full sets. So no pair that shares a bucket and is not connected anyway goes
+   blocks, by registers and then by full sets; the members of a bucket's largest component meet only the others, so just
+   these are copied to several blocks. So no pair that shares a bucket and is not connected anyway goes
    unchecked, however many members a bucket has, and a bucket gives no more links than it has members.
 
 Defined results: null, empty and blank texts have the empty set and are linked with nothing; a text with fewer words
@@ -190,21 +191,48 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _apart(members: DataFrame) -> DataFrame:
+    """``key, _size, _crowd, _crowded`` of the buckets of ``members`` (``key, id, label``) that hold several labels: how many
+    members, the label of most of them, and how many these are."""
+    sized = members.groupBy("key", "label").agg(F.count("*").alias("_n"))
+    buckets = sized.groupBy("key").agg(F.sum("_n").alias("_size"), F.max(F.struct("_n", "label")).alias("_top"), F.count("*").alias("_labels"))
+    return buckets.where("_labels > 1").select("key", "_size", F.col("_top.label").alias("_crowd"), F.col("_top._n").alias("_crowded"))
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """``key, id, label, _own, _lower, _low, _high``: the groups in which the members of buckets with several labels meet.
+
+    A bucket of up to BLOCK members is one group. Of a larger one, the members of its most frequent label are settled among
+    themselves and need each other in no group: they are dealt to the upper blocks, all others to the lower ones, and a
+    lower block meets every block. So a group holds two blocks at most, and only members outside the crowd go to several
+    of the crowd's blocks.
+    """
+    known = members.join(_apart(members), "key")
+    large, crowded = F.col("_size") > BLOCK, F.col("label") == F.col("_crowd")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    lower = F.when(large, blocks(F.col("_size") - F.col("_crowded"))).otherwise(1)
+    upper = F.when(large, blocks(F.col("_crowded"))).otherwise(0)
+    sized = known.select("key", "id", "label", lower.alias("_lower"), upper.alias("_upper"), (large & crowded).alias("_above"))
+    spread = F.hash("id")
+    own = F.when(F.col("_above"), F.col("_lower") + F.pmod(spread, F.col("_upper"))).otherwise(F.pmod(spread, F.col("_lower")))
+    # A lower block meets itself in the group of the first upper one.
+    last = F.when(F.col("_above"), F.col("_lower")).otherwise(F.col("_lower") + F.col("_upper")) - 1
+    others = F.filter(F.sequence(F.lit(0), last), lambda x: (x != F.col("_own")) | (F.col("_upper") == 0))
+    met = sized.withColumn("_own", own).select("key", "id", "label", "_own", "_lower", F.explode(others).alias("_other"))
+    group = [F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high")]
+    return met.select("key", "id", "label", "_own", "_lower", *group)
+
+
 def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Links ``a, b`` that join different labels of a bucket; as many at most as the bucket has members.
 
-    ``members`` has ``key, id, label``. A bucket of more than BLOCK members is dealt to blocks, and every two blocks meet
-    in a group of their own, so no group holds more than two blocks. Two classes are compared in the first of their common
-    buckets, if their registers allow the similarity and nothing has joined their labels before.
+    ``members`` has ``key, id, label``; see :func:`_dealt` for who meets whom. Two classes are compared in the first of
+    their common buckets, if their registers allow the similarity and nothing has joined their labels before.
     """
-    size = members.groupBy("key").agg(F.count("*").alias("_size"))
-    dealt = members.join(size, "key").withColumn("_blocks", F.ceil(F.col("_size") / BLOCK).cast("int"))
-    dealt = dealt.withColumn("_own", F.pmod(F.hash("id"), F.col("_blocks")))
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    met = dealt.select("key", "id", "label", "_own", other.alias("_other"))
-    group = [F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high")]
-    met = met.select("key", "id", "label", "_own", *group)
-    met = met.join(classes.select("id", "n_shingles", "registers"), "id").join(texts, "id")
+    met = written(_dealt(members), "met")
+    wanted = met.select("id").distinct()
+    full = classes.select("id", "n_shingles", "registers").join(wanted, "id").join(texts, "id")
+    met = met.join(full, "id")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["key", "_low", "_high"]):
@@ -221,7 +249,9 @@ def _joining(group: pa.Table, words: int) -> Iterator[tuple[int, int]]:
     ids, labels, n, own = (group.column(x).to_numpy() for x in ("id", "label", "n_shingles", "_own"))
     matrix, text = _matrix(group.column("registers")), group.column("text").cast(pa.binary())
     band = group.column("key")[0].as_py() & int(_BAND_OF)
-    mixed_blocks = group.column("_low")[0].as_py() != group.column("_high")[0].as_py()
+    low, high, lower = (group.column(x)[0].as_py() for x in ("_low", "_high", "_lower"))
+    # Members of the low block meet each other in one group only.
+    among = low if high in (low, lower) else None
     sets: dict[int, np.ndarray] = {}
 
     def set_of(i: int) -> np.ndarray:
@@ -232,7 +262,7 @@ def _joining(group: pa.Table, words: int) -> Iterator[tuple[int, int]]:
     joined = labels.copy()
     for i in range(len(ids) - 1):
         j = np.arange(i + 1, len(ids))
-        j = j[(joined[j] != joined[i]) & ((own[j] != own[i]) | (not mixed_blocks))]
+        j = j[(joined[j] != joined[i]) & ((own[j] != own[i]) | (own[i] == among))]
         if not len(j):
             continue
         j = j[_allowed(matrix[i], matrix[j], n[i], n[j])]
@@ -299,8 +329,7 @@ def groups(docs: DataFrame, words: int = 5) -> DataFrame:
     # Buckets of two are settled; of larger ones, those that still hold several components.
     placed = members.where("size > 2").select("key", "id").join(labels, "id", "left")
     placed = session.durable(placed.select("key", "id", F.coalesce("label", "id").alias("label")))
-    apart = placed.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high").select("key")
-    more = session.durable(_across(placed.join(apart, "key"), classes, texts, words))
+    more = session.durable(_across(placed, classes, texts, words))
     if not more.isEmpty():
         labels = components(links.union(more))
 
