@@ -10,6 +10,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from tests.conftest import plan
 from tests.llm import brute
 from tidewell.llm import bpe, fingerprints, licences, mixing, neardup, shingles, suffix
 
@@ -164,6 +165,20 @@ def test_repeated_passages_equal_brute_force(spark, monkeypatch, hot):
     assert suffix.without_repeats(brute.empty(spark), ["doc_id"]).isEmpty()
 
 
+def test_hot_keys_are_broadcast(spark, monkeypatch):
+    """A join that shuffles would deal the bytes of all rows once more than sorting does."""
+    monkeypatch.setattr(suffix, "HOT", 2)
+    rows = [(i, f"{i * 7919:x} " + brute.PASSAGE + f" {i * 104729:x} tail") for i in range(8)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = plan(suffix.repeats(spark.createDataFrame(rows, "doc_id long, text string").select("text")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [key" in found and "LeftAnti" in found
+    assert not [line for line in found.splitlines() if "SortMergeJoin" in line and "LeftAnti" in line]
+
+
 def test_buckets_stay_whole_where_joins_are_split(spark, monkeypatch):
     """Joins that shuffle, and partitions that all count as skewed."""
     monkeypatch.setattr(suffix, "HOT", 20)
