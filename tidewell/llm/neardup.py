@@ -8,8 +8,8 @@
    members. Agreeing registers, corrected for chance collisions, must allow the similarity within five standard
    errors; what is left is confirmed on full sets, and components are formed.
 5. Buckets whose classes are still in different components are compared completely, but only across components, in
-   blocks, by registers and then by full sets; the members of a bucket's largest component meet only the others, so just
-   these are copied to several blocks. So no pair that shares a bucket and is not connected anyway goes
+   blocks, by registers and then by full sets; the members of a bucket's largest component meet only the others
+   and are copied to the blocks of these alone. So no pair that shares a bucket and is not connected anyway goes
    unchecked, however many members a bucket has, and a bucket gives no more links than it has members.
 
 Defined results: null, empty and blank texts have the empty set and are linked with nothing; a text with fewer words
