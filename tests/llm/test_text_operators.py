@@ -6,7 +6,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -69,6 +71,39 @@ def test_bpe_equals_the_public_library_and_decodes(spark):
     assert [bytes(r.decoded) for r in bpe.decode(strange, ranks).collect()] == [encoding.decode_bytes([64]), b""]
 
 
+def test_bpe_puts_a_chunk_together_in_blocks_and_keeps_no_texts(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 50)
+    ranks = bpe.read_ranks(spark, PATH)
+    encoding = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(3)
+    texts = [None, "", *(" ".join(f"w{rng.randrange(900)}é" for _ in range(rng.choice([0, 1, 30, 2000]))) for _ in range(60)), None]
+    batch = pa.record_batch({"_row": pa.StructArray.from_arrays([pa.array(range(len(texts)))], ["doc_id"]), "_text": pa.array(texts, pa.string())})
+    with pa.ipc.new_stream(sink := pa.BufferOutputStream(), batch.schema) as writer:
+        writer.write_batch(batch)
+    received = pa.ipc.open_stream(sink.getvalue()).read_next_batch()
+    chunk = bpe._Chunk(regex.compile(public_tokenizers.PATTERN))
+    chunk.add(received)
+    assert received.column("_row").field(0).buffers()[1].address != chunk.rows[0].field(0).buffers()[1].address
+    lists = pa.list_(batch.column("_row").type)
+    schema = pa.schema({"chunk": pa.int64(), "rows": lists, "sequence": pa.binary(), "shard": pa.int32(), "words": pa.binary()})
+    made, *words = chunk.emit(0, 3, schema)
+    shards, coded = [], []
+    for part in words:
+        (lengths,), joined = bpe._unpack(part.column("words")[0].as_py())
+        ends = np.cumsum(lengths).tolist()
+        ids = [encoding.encode_ordinary(joined[a:b].decode()) for a, b in itertools.pairwise([0, *ends])]
+        shards.append(part.column("shard")[0].as_py())
+        coded.append(bpe._pack(np.array([len(x) for x in ids]), np.array(list(itertools.chain(*ids)))))
+    answers = pa.table({"shard": pa.array(shards, pa.int32()), "coded": pa.array(coded, pa.binary())})
+    whole = bpe._assembled(pa.Table.from_batches([made]), answers, False, bpe.token_table(ranks))
+    assert whole.column("_row").to_pylist() == [{"doc_id": i} for i in range(len(texts))]
+    assert whole.column("ids").to_pylist() == [encoding.encode_ordinary(t or "") for t in texts]
+    assert whole.column("decoded").to_pylist() == [(t or "").encode() for t in texts]
+    # No batch has texts that end in more than one block of words.
+    sizes = [len(regex.findall(public_tokenizers.PATTERN, t or "")) for t in texts]
+    assert len(whole.to_batches()) == len({end // 50 for end in itertools.accumulate(sizes)}) > 5
+
+
 def test_shingle_hashes_tell_shingles_apart():
     texts = [None if t is None else t.encode() for _, t, *_ in brute.awkward()]
     hashes, offsets = shingles.shingle_hashes(texts, 3)

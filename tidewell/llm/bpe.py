@@ -19,7 +19,7 @@ import base64
 import itertools
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,17 +53,25 @@ def _pack(*arrays: np.ndarray, tail: bytes = b"", level: int = 9) -> bytes:
     return zstandard.compress(b"".join([*parts, tail]), level)
 
 
-def _pack_ranked(numbers: np.ndarray) -> bytes:
-    """Small numbers that are mostly below 255 in one byte each, the others in full behind them."""
-    rare = numbers >= 255
-    return _pack(numbers[rare] - 255, tail=np.where(rare, 255, numbers).astype(np.uint8).tobytes())
+def _pack_ranked(blocks: Iterable[np.ndarray]) -> bytes:
+    """Small numbers that are mostly below 255 in one byte each, the others in full behind them; given block by block."""
+    rare, common = [], []
+    for numbers in blocks:
+        rare.append(numbers[numbers >= 255] - 255)
+        common.append(np.minimum(numbers, 255).astype(np.uint8))
+    return _pack(np.concatenate(rare), tail=np.concatenate(common).tobytes())
 
 
-def _unpack_ranked(packed: bytes) -> np.ndarray:
+def _unpack_ranked(packed: bytes, ends: Iterable[int]) -> Iterator[np.ndarray]:
+    """The numbers again, from one of ``ends`` to the next: only one such block is held in full."""
     (rare,), common = _unpack(packed)
-    numbers = np.frombuffer(common, np.uint8).astype(np.uint32)
-    numbers[numbers == 255] += rare
-    return numbers
+    start = used = 0
+    for end in ends:
+        numbers = np.frombuffer(common, np.uint8, end - start, start).astype(np.uint32)
+        high = np.flatnonzero(numbers == 255)
+        numbers[high] += rare[used : used + len(high)]
+        start, used = end, used + len(high)
+        yield numbers
 
 
 def _unpack(packed: bytes) -> tuple[list[np.ndarray], bytes]:
@@ -83,29 +91,33 @@ class _Chunk:
     def __init__(self, pattern: regex.Pattern):
         self.split = pattern.findall
         self.numbers: dict[str, int] = defaultdict(itertools.count().__next__)
-        self.rows, self.sequences, self.held = [], [], 0
+        self.rows, self.sizes, self.sequences, self.held = [], [], [], 0
 
     def add(self, batch: pa.RecordBatch) -> None:
-        self.rows.append(batch.column("_row"))
+        # A copy: a column that was received keeps the whole batch, with its texts, in memory.
+        self.rows.append(batch.column("_row").take(pa.array(range(batch.num_rows))))
+        found = []
         for text in batch.column("_text").to_pylist():
             words = self.split(text) if text else []
-            self.sequences.append(np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words)))
+            found.append(np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words)))
+        self.sizes += map(len, found)
+        self.sequences.append(np.concatenate(found))
         self.held += pc.sum(pc.binary_length(batch.column("_text"))).as_py() or 0
 
     def emit(self, chunk: int, shards: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """The sequence row, then one row of words for each shard that has any. Frequent words get small numbers."""
-        rows, sequence = pa.concat_arrays(self.rows), np.concatenate(self.sequences)
-        sizes = np.array([len(s) for s in self.sequences])
-        self.sequences.clear()
-        words = np.array(list(self.numbers), dtype=object)
-        order = np.argsort(-np.bincount(sequence, minlength=len(words)), kind="stable")
-        renumbered = np.empty(len(words), np.uint32)
-        renumbered[order] = np.arange(len(words), dtype=np.uint32)
-        coded = [word.encode() for word in words[order]]
-        shard = np.fromiter((zlib.crc32(word) % shards for word in coded), np.int64, len(coded))
+        rows = pa.concat_arrays(self.rows)
+        order = np.argsort(-sum(np.bincount(block, minlength=len(self.numbers)) for block in self.sequences), kind="stable")
+        renumbered = np.empty(len(order), np.uint32)
+        renumbered[order] = np.arange(len(order), dtype=np.uint32)
+        words = list(self.numbers)
         self.numbers.clear()
-        packed = _pack(sizes, shard, tail=_pack_ranked(renumbered[sequence]))
-        del words, sequence
+        coded = [words[i].encode() for i in order.tolist()]
+        del words
+        shard = np.fromiter((zlib.crc32(word) % shards for word in coded), np.int64, len(coded))
+        ranked = _pack_ranked(renumbered[block] for block in self.sequences)
+        self.sequences.clear()
+        packed = _pack(np.array(self.sizes), shard, tail=ranked)
         lists = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array([chunk]), lists, pa.array([packed], pa.binary()), pa.array([None], pa.int32()), pa.array([None], pa.binary())],
@@ -187,30 +199,36 @@ def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 
 
 def _assembled(chunk: pa.Table, answers: pa.Table, packed: bool, table: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> pa.Table:
-    (counts, shard), tail = _unpack(chunk.column("sequence")[0].as_py())
-    sequence = _unpack_ranked(tail)
+    """The rows of a chunk with their ids, in batches of texts that end within the same ``BLOCK`` of words."""
+    (counts, shard), ranked = _unpack(chunk.column("sequence")[0].as_py())
     by_shard = dict(zip(answers.column("shard").to_pylist(), answers.column("coded").to_pylist(), strict=True))
     parts = [_unpack(by_shard[s])[0] for s in sorted(by_shard)]
     in_order, flat = [np.concatenate([np.zeros(0, np.uint32), *arrays]).astype(np.int32) for arrays in (zip(*parts, strict=True) if parts else ([], []))]
+    del by_shard, parts
     lengths, starts = np.zeros(len(shard), np.int32), np.zeros(len(shard), np.int32)
     order = np.argsort(shard, kind="stable")
     lengths[order], starts[order] = in_order, np.cumsum(in_order) - in_order
-    ends = np.cumsum(np.concatenate([[0], lengths[sequence]]), dtype=np.int32)
-    ids = np.empty(ends[-1], np.int32)
-    for at in range(0, len(sequence), BLOCK):
-        block = sequence[at : at + BLOCK]
-        ids[ends[at] : ends[at + len(block)]] = _gather(flat, starts[block], lengths[block])
-    offsets = ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
     rows = chunk.column("rows").combine_chunks()
-    made = {"_row": rows.values.slice(rows.offsets[0].as_py(), len(counts))}
-    spans = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
-    if packed:
-        made["ids"] = pa.array([ids[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())
-    else:
-        made["ids"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
-    if table:
-        made["decoded"] = pa.array([_bytes_of(ids[a:b], table) for a, b in spans], pa.binary())
-    return pa.table(made)
+    rows = rows.values.slice(rows.offsets[0].as_py(), len(counts))
+    ends = np.cumsum(counts, dtype=np.int64)
+    cuts = [*(np.flatnonzero(np.diff(ends // BLOCK)) + 1).tolist(), len(counts)]
+    batches, first = [], 0
+    for last, words in zip(cuts, _unpack_ranked(ranked, [int(ends[cut - 1]) for cut in cuts]), strict=True):
+        blocks = (words[at : at + BLOCK] for at in range(0, len(words), BLOCK))
+        ids = np.concatenate([np.zeros(0, np.int32), *(_gather(flat, starts[block], lengths[block]) for block in blocks)])
+        behind = np.cumsum(np.concatenate([np.zeros(1, np.int32), lengths[words]]), dtype=np.int32)
+        offsets = behind[np.concatenate([[0], np.cumsum(counts[first:last], dtype=np.int64)])]
+        made = {"_row": rows.slice(first, last - first)}
+        spans = list(itertools.pairwise(offsets.tolist()))
+        if packed:
+            made["ids"] = pa.array([ids[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())
+        else:
+            made["ids"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+        if table:
+            made["decoded"] = pa.array([_bytes_of(ids[a:b], table) for a, b in spans], pa.binary())
+        batches.append(pa.RecordBatch.from_arrays(list(made.values()), names=list(made)))
+        first = last
+    return pa.Table.from_batches(batches)
 
 
 def encode(
