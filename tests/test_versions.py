@@ -48,6 +48,21 @@ def test_versions_and_ranges_of_changes(spark, tmp_path):
         table.state_at(datetime.datetime(2023, 1, 1))
 
 
+def test_rows_in_empty_buckets_are_logged_without_a_join(spark, tmp_path, monkeypatch):
+    table = _table(spark, tmp_path, hidden="gone")
+    made = spark.createDataFrame([(1, "a", False), (2, None, None), (3, "c", True)], "id int, v string, gone boolean")
+    bucket = {r.id: r.b for r in made.select("id", table.bucket(made).alias("b")).collect()}
+    other = next(r.id for r in spark.range(4, 99).selectExpr("int(id) AS id").withColumn("b", table.bucket(made)).collect() if r.b not in bucket.values())
+    with monkeypatch.context() as patched:
+        patched.setattr(cdc, "snapshot_diff", lambda *_: pytest.fail("nothing to compare with"))
+        table.commit(made, upserted(["id"]), T(1))
+        table.commit(spark.createDataFrame([(other, "n", False)], made.schema), upserted(["id"]), T(2))
+    table.commit(spark.createDataFrame([(1, "b", False)], made.schema), upserted(["id"]), T(3))
+    assert rows(table.changes(1).select("_commit_version", "_change_type", "id", "v")) == [
+        (1, "insert", 1, "a"), (1, "insert", 2, None), (2, "insert", other, "n"), (3, "update_postimage", 1, "b"), (3, "update_preimage", 1, "a"),
+    ]
+
+
 def test_untouched_buckets_are_neither_read_nor_written(spark, tmp_path):
     table = _table(spark, tmp_path, buckets=16)
     table.commit(_frame(spark, *[(i, "a", 1) for i in range(200)]), upserted(["id"]), T(1))

@@ -197,12 +197,12 @@ def layered_daily_revenue(spark, folder):
     )
     customers, payments = catalog.customers(spark, folder), catalog.payments(spark, folder).drop("payment_category")
     raw = {name: f"{root}/raw/{name}" for name in layers.KINDS}
-    columns = ["customer_id", "name", "email", "country", "registration_date"]
+    columns, text = ["customer_id", "name", "email", "country", "registration_date"], {"header": True, "compression": "gzip"}
     for delivery in (True, False):
-        orders.where(F.col("early") == delivery).drop("early").write.mode("append").option("header", True).csv(raw["orders"])
+        orders.where(F.col("early") == delivery).drop("early").write.mode("append").options(**text).csv(raw["orders"])
         if delivery:
-            customers.select(columns).write.option("header", True).csv(raw["customers"])
-        payments.where((F.col("status") == labels.COMPLETED) == delivery).write.mode("append").json(raw["payments"])
+            customers.select(columns).write.options(**text).csv(raw["customers"])
+        payments.where((F.col("status") == labels.COMPLETED) == delivery).write.mode("append").options(**text).json(raw["payments"])
         made = layers.run(spark, raw, f"{root}/lake", buckets=8)
     return made.gold(catalog.AS_OF)["daily_revenue"]
 

@@ -52,10 +52,10 @@ class Layers:
 
         def delivered(batch: DataFrame, number: int) -> None:
             landed = f"{self.root}/bronze/{name}/delivery={number}"
-            batch.write.mode("overwrite").parquet(landed)
+            batch.write.mode("overwrite").option("compression", "zstd").parquet(landed)
             raw = self.spark.read.schema(batch.schema).parquet(landed)
             lost = medallion.rejects(name, raw)
-            lost.write.mode("overwrite").parquet(f"{self.root}/silver/{name}_rejects/delivery={number}")
+            lost.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/silver/{name}_rejects/delivery={number}")
             rows, table = medallion.SILVER[name](raw), self.silver[name]
             table.commit(rows, upserted(table.keys), at, "files", number)
 

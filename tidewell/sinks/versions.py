@@ -200,7 +200,7 @@ class VersionedTable:
             folder = f"{self.path}/state/version={version}"
             # The rebalance hint gathers a bucket into files of a fitting size and splits a crowded one.
             kept = after.withColumn("bucket", self.bucket(after)).hint("rebalance", F.col("bucket"))
-            kept.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+            kept.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(folder)
         finally:
             placed.unpersist()
         full = {int(n.removeprefix("bucket=")) for n in store.names(self.spark, folder) if n.startswith("bucket=")}
@@ -219,14 +219,16 @@ class VersionedTable:
     def _log(self, last: Manifest, manifest: Manifest, touched: list[int], at: datetime.datetime) -> None:
         """Write what the touched buckets gained, lost and changed."""
         after = self._visible(self._stored(manifest, touched))
-        before = self.spark.createDataFrame([], manifest.columns)
-        if last.version:
+        if self.folders(last, touched):
             before = self._stored(last, touched)
             known = set(before.columns)
             before = before.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in manifest.columns.fields if f.name not in known])
-        feed = cdc.snapshot_diff(self._visible(before), after, self.keys)
+            feed = cdc.snapshot_diff(self._visible(before), after, self.keys)
+        else:
+            # Nothing was there, so every row is an insert, and none has to meet an earlier one.
+            feed = after.select(F.lit("insert").alias(CHANGE), "*")
         stamped = feed.withColumns({VERSION: F.lit(manifest.version).cast("long"), TIME: F.lit(at).cast("timestamp")})
-        stamped.write.mode("overwrite").parquet(f"{self.path}/changes/version={manifest.version}")
+        stamped.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/changes/version={manifest.version}")
 
     def vacuum(self, keep: int = 2, changes: int | None = None) -> None:
         """Remove what the latest ``keep`` versions do not need; with ``changes``, also all but that many change folders.
