@@ -162,6 +162,75 @@ def test_kneser_ney_equals_the_recursion(spark):
         assert abs(row.perplexity / np.exp(-np.mean([np.log(p(4, int(g))) for g in found])) - 1) < 1e-5
 
 
+def _judged_by_characters(docs: list[tuple], trusted: dict[int, bool]) -> dict:
+    """Perplexity and ``kept`` by dictionaries over grams of whole characters; ``trusted`` says which documents the model learns from."""
+    marked = lambda text: "\0" * 3 + "".join(chr(ord(c) + 1) for c in text)
+    of = lambda text: [marked(text)[i : i + 4] for i in range(len(text))]
+    size = len({c for _, text, _ in docs for c in text or ""})
+    counts = {4: Counter(g for i, text, _ in docs if trusted.get(i) for g in of(text))}
+    for order in (3, 2, 1):
+        counts[order] = Counter(g[1:] for g in counts[order + 1])
+    discounts, siblings = {}, {}
+    for order, table in counts.items():
+        n = [sum(v == i for v in table.values()) for i in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0
+        discounts[order] = [max(0.1, min(i, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.5 * i for i in (1, 2, 3)]
+        for gram, v in table.items():
+            siblings.setdefault((order, gram[:-1]), []).append(v)
+
+    def p(gram: str) -> float:
+        order = len(gram)
+        if not order:
+            return 1 / size
+        there = siblings.get((order, gram[:-1]))
+        if not there:
+            return p(gram[1:])
+        cut = lambda n: min(n, discounts[order][min(n, 3) - 1]) if n else 0
+        own = counts[order].get(gram, 0)
+        return (own - cut(own) + sum(map(cut, there)) * p(gram[1:])) / sum(there)
+
+    found = {i: np.exp(-np.mean([np.log(p(g)) for g in of(text)])) if text else None for i, text, _ in docs}
+    bounds = {}
+    for lang in {lang for _, _, lang in docs}:
+        seen = sorted(found[i] for i, _, own in docs if own == lang and trusted.get(i) is False)
+        bounds[lang] = (seen[0] / quality.MARGIN, seen[-1] * quality.MARGIN)
+    return {i: (found[i], bool(text) and bounds[lang][0] <= found[i] <= bounds[lang][1]) for i, text, lang in docs}
+
+
+def test_texts_of_any_script_are_told_from_rows_of_marks(spark, tmp_path, monkeypatch):
+    """Every character counts: the query equals brute force over whole characters, with chunks and blocks of any size."""
+    rng = np.random.default_rng(4)
+    words = {
+        "ru": "мир труд май дом лес река поле небо вода земля хлеб соль день ночь утро".split(),
+        "zh": "天地 玄黄 宇宙 洪荒 日月 盈昃 辰宿 列张 寒来 暑往 秋收 冬藏".split(),
+        "fr": "été éclair forêt naïf leçon où garçon âme œuvre 12 45 7".split(),
+    }
+    docs = []
+    for lang, some in words.items():
+        docs += [(len(docs) + i, " ".join(rng.choice(some, 40)), lang) for i in range(40)]
+        docs += [(len(docs) + i, "".join(c if c == " " else "#" for c in " ".join(rng.choice(some, 40))), lang) for i in range(3)]
+        docs += [(len(docs) + i, "".join(rng.permutation(list("".join(some) * 3))), lang) for i in range(3)]
+    docs += [(len(docs), None, "ru"), (len(docs) + 1, "", "zh"), (len(docs) + 2, "я", "ru"), (len(docs) + 3, "🙂🙃 𐍈", "zh")]
+    good = [(i, 1, 0) for i, text, lang in docs if text and set(text) <= set("".join(words[lang])) | {" "} and text.count(" ") == 39]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(good, "doc_id long, quality int, toxic int")
+    frame.withColumns({"source": F.lit("x"), "n_chars": F.length("text")}).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    expected = _judged_by_characters(docs, {r.doc_id: r.fit for r in quality.trusted(labels).collect()})
+    assert sum(kept for _, kept in expected.values()) > 100 and len(expected) == len(docs)
+    for block, chunk in ((1_000_000, 16_000_000), (5, 700)):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        monkeypatch.setattr(quality, "CHUNK", chunk)
+        rows = quality.op9_quality(spark, str(tmp_path)).collect()
+        assert len(rows) == len(docs)
+        for row in rows:
+            perplexity, kept = expected[row.doc_id]
+            assert (row.perplexity is None) == (perplexity is None) and row.kept == kept, row
+            assert perplexity is None or abs(row.perplexity / perplexity - 1) < 1e-5
+    text = {i: t for i, t, _ in docs}
+    assert not any(r.kept for r in rows if set(text[r.doc_id] or "#") <= {"#", " "})
+
+
 def test_quality_keeps_clean_documents_and_drops_junk(spark, documents, labels):
     kept = quality.judged(documents, labels).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"))
     share = {r.quality: r.kept for r in kept.collect()}
