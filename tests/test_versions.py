@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows, same
 from tidewell.operators import cdc
 from tidewell.sinks import store
-from tidewell.sinks.versions import VersionedTable, replaced, upserted
+from tidewell.sinks.versions import VersionedTable, mirror, replaced, upserted
 from tidewell.streaming import incremental
 
 T = lambda day: datetime.datetime(2024, 1, day, tzinfo=datetime.timezone.utc)
@@ -63,6 +63,25 @@ def test_rows_in_empty_buckets_are_logged_without_a_join(spark, tmp_path, monkey
     ]
 
 
+def test_a_copy_takes_one_version_as_it_is_logged(spark, tmp_path, monkeypatch):
+    """The log of one version needs no netting, which would deal and sort all of its rows; several versions do."""
+    source = _table(spark, tmp_path)
+    target = VersionedTable(spark, str(tmp_path / "copy"), ["id", "v"], 4, ["v"])
+    step = replaced(["id"], "gone")
+    batch = lambda *made: spark.createDataFrame(list(made), SCHEMA + ", gone boolean")
+    copied = lambda: rows(target.state().select("id", "v", "seq"))
+    with monkeypatch.context() as patched:
+        patched.setattr(cdc, "net_changes", lambda *_: pytest.fail("one version is net"))
+        source.commit(batch((1, "a", 1, False), (2, "b", 1, False), (3, None, 1, False)), step, T(1))
+        assert mirror(source, target, ["id", "v", "seq"], T(1)) == 1 and copied() == [(1, "a", 1), (2, "b", 1)]
+        source.commit(batch((1, "a", 2, False), (2, "c", 2, False), (3, "d", 2, False)), step, T(2))
+        assert mirror(source, target, ["id", "v", "seq"], T(2)) == 2 and copied() == [(1, "a", 2), (2, "c", 2), (3, "d", 2)]
+    source.commit(batch((1, "e", 3, False), (3, "d", 2, True)), step, T(3))
+    source.commit(batch((1, "a", 4, False), (5, "f", 4, False)), step, T(4))
+    mirror(source, target, ["id", "v", "seq"], T(4))
+    assert copied() == [(1, "a", 4), (2, "c", 2), (5, "f", 4)]
+
+
 def test_untouched_buckets_are_neither_read_nor_written(spark, tmp_path):
     table = _table(spark, tmp_path, buckets=16)
     table.commit(_frame(spark, *[(i, "a", 1) for i in range(200)]), upserted(["id"]), T(1))

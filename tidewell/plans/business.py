@@ -12,7 +12,7 @@ from tidewell.operators import enrich, gold, ordered, quality
 from tidewell.operators.ordered import global_ranks
 from tidewell.plans import layers, sql
 from tidewell.plans.registry import Registry
-from tidewell.session import durable, scratch_dir
+from tidewell.session import durable, scratch_dir, stored
 from tidewell.sinks.versions import VersionedTable, replaced
 from tidewell.streaming import views
 from tidewell.streaming.rules import RuleState
@@ -192,9 +192,10 @@ def customer_360_incremental(spark, folder):
 def layered_daily_revenue(spark, folder):
     """Raw files of two deliveries through all layers: the second one changes all orders that the first one brought."""
     root = scratch_dir(spark, "layers")
-    orders = _order_events(spark, folder).where("NOT gone").selectExpr(
+    # Written once: each delivery takes its rows.
+    orders = stored(_order_events(spark, folder).where("NOT gone").selectExpr(
         "order_id", "customer_id", "'p1' AS product_id", "1 AS quantity", "total_amount AS unit_price", "order_date", "status", "on = order_date AS early"
-    )
+    ))
     customers, payments = catalog.customers(spark, folder), catalog.payments(spark, folder).drop("payment_category")
     raw = {name: f"{root}/raw/{name}" for name in layers.KINDS}
     columns, text = ["customer_id", "name", "email", "country", "registration_date"], {"header": True, "compression": "gzip"}

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidewell import sources
 from tidewell.operators import enrich, gold, quality
 from tidewell.plans import medallion
-from tidewell.sinks.versions import VersionedTable, mirror, replaced, upserted
+from tidewell.sinks.versions import VersionedTable, mirror, upserted
 from tidewell.streaming import views
 
 # The raw files.
@@ -82,9 +82,7 @@ class Layers:
         column = keys.columns[0]
         if not table.versions():
             raise FileNotFoundError(f"{table.path}: every source needs a first delivery")
-        # At most ``buckets`` rows.
-        buckets = sorted(r[0] for r in keys.select(table.bucket(keys)).distinct().collect())
-        return table.state(buckets=buckets).join(keys, [column], "left_semi")
+        return table.state(buckets=table.touched(keys)).join(keys, [column], "left_semi")
 
     def enrich(self, at: datetime.datetime) -> None:
         """Make the orders again that are touched by what changed in silver."""
@@ -102,9 +100,13 @@ class Layers:
             who = own.select("customer_id").where(F.col("customer_id").isNotNull()).distinct()
             paid = enrich.payments_per_order(self._of(self.by_order, ids))
             made = enrich.with_completed_flag(enrich.enriched_orders(own, self._of(self.silver["customers"], who), paid))
-            batch = ids.join(made.withColumn("_there", F.lit(True)), ["order_id"], "left")
-            batch = batch.withColumn("_gone", F.col("_there").isNull()).drop("_there")
-            self.enriched.commit(batch, replaced(["order_id"], "_gone"), at, marks=upto)
+            batch = made.select("order_id", *[c for c in made.columns if c != "order_id"])
+
+            def step(before: DataFrame | None, fresh: DataFrame) -> DataFrame:
+                # Orders that are touched and not made again are gone.
+                return fresh if before is None else before.join(ids, ["order_id"], "left_anti").unionByName(fresh, allowMissingColumns=True)
+
+            self.enriched.commit(batch, step, at, marks=upto, touched=self.enriched.touched(ids))
         finally:
             ids.unpersist()
 
@@ -122,7 +124,7 @@ class Layers:
             # Each image is valid or not for itself, so an order may enter or leave the views.
             feed, _ = quality.split(self.enriched.changes(version, version), medallion.ORDER_RULES)
             for view in views.VIEWS:
-                views.refresh(gold_root, view, feed, at, "enriched", version, self.buckets)
+                views.refresh(gold_root, view, feed, at, "enriched", version, self.buckets, again=True)
             names = self.spark.createDataFrame([(v.name, version) for v in views.VIEWS], "view string, version long")
             done.commit(names, upserted(["view"]), at, "enriched", version)
             done.vacuum(1)

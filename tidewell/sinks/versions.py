@@ -114,6 +114,11 @@ class VersionedTable:
         """The bucket of a row; equal values of other integer types or of text in other columns do not share it."""
         return F.pmod(F.xxhash64(*[F.col(c) for c in self.bucket_by]), F.lit(self.buckets)).cast("int")
 
+    def touched(self, df: DataFrame) -> list[int]:
+        """The buckets that hold rows of ``df``, in order."""
+        # At most ``buckets`` rows.
+        return sorted(r[0] for r in df.select(self.bucket(df).alias(BUCKET)).distinct().collect())
+
     def folders(self, manifest: Manifest, buckets: Sequence[int] | None = None) -> list[str]:
         wanted = range(self.buckets) if buckets is None else buckets
         return [f"{self.path}/state/version={manifest.held[b]}/bucket={b}" for b in wanted if manifest.held[b] != NONE]
@@ -179,7 +184,8 @@ class VersionedTable:
         """Apply ``batch`` and return the version that holds it.
 
         ``step`` gets the previous rows of the touched buckets and the batch and returns their next rows, one per key.
-        Touched are the buckets of the batch, or those given, which must hold the batch. ``marks`` are numbers of further
+        Touched are the buckets of the batch, or those given, which must hold the batch. A batch without given buckets is
+        kept while it is applied; with them it is computed as often as the step uses it. ``marks`` are numbers of further
         sources to remember with the version.
         A ``source`` numbers its batches: one that is not newer than the last one committed changes nothing, so a batch
         may be repeated after a failure.
@@ -187,7 +193,7 @@ class VersionedTable:
         last = self.manifest() or Manifest(NONE, "", [NONE] * self.buckets, StructType().json())
         if source is not None and number is not None and last.sources.get(source, -1) >= number:
             return last.version
-        placed = batch.withColumn(BUCKET, self.bucket(batch)).persist()
+        placed = batch.withColumn(BUCKET, self.bucket(batch)).persist() if touched is None else batch
         try:
             # At most ``buckets`` rows.
             if touched is None:
@@ -202,7 +208,8 @@ class VersionedTable:
             kept = after.withColumn("bucket", self.bucket(after)).hint("rebalance", F.col("bucket"))
             kept.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(folder)
         finally:
-            placed.unpersist()
+            if placed is not batch:
+                placed.unpersist()
         full = {int(n.removeprefix("bucket=")) for n in store.names(self.spark, folder) if n.startswith("bucket=")}
         if strays := full - set(touched):
             raise ValueError(f"the step returned rows of buckets {sorted(strays)}, which the batch does not touch")
@@ -269,11 +276,15 @@ def mirror(source: VersionedTable, target: VersionedTable, columns: Sequence[str
     latest, start = source.versions()[-1:], target.mark("mirrored") + 1
     if not latest or latest[0] < start:
         return target.mark("mirrored")
-    net = cdc.net_changes(source.changes(start, latest[0]), source.keys)
+    feed = source.changes(start, latest[0])
+    # One version has one change of a key at most, so it is its own net change.
+    net = cdc.net_changes(feed, source.keys) if start < latest[0] else feed.drop(VERSION, TIME)
     gone = ~F.col(CHANGE).isin("insert", "update_postimage")
     # Where both images have one key of the target, the image after the change stays.
     moved = net.select(*columns, gone.alias("_gone")).dropna(subset=target.keys)
-    return target.commit(moved, replaced(target.keys, "_gone"), at, "mirrored", latest[0])
+    # The log can be read again, so the batch is not kept.
+    touched = target.touched(moved) if start == latest[0] else None
+    return target.commit(moved, replaced(target.keys, "_gone"), at, "mirrored", latest[0], touched=touched)
 
 
 # --- steps ------------------------------------------------------------------------------------

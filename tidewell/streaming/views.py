@@ -56,6 +56,19 @@ def as_inserts(rows: DataFrame) -> DataFrame:
     return rows.withColumn(CHANGE, F.lit("insert"))
 
 
+def signed_rows(feed: DataFrame, view: View, partial: Partial) -> DataFrame:
+    """The rows of a feed as partial sums of their own, not yet summed: :func:`added` sums them with those that are there."""
+    sign = F.when(F.col(CHANGE).isin("insert", "update_postimage"), F.lit(1)).otherwise(F.lit(-1)).cast("long")
+    kinds = {f.name: f.dataType for f in feed.schema.fields}
+    values = [sign.alias(ROWS)]
+    for c in partial.sums:
+        wide = f"decimal(28,{kinds[c].scale})" if isinstance(kinds[c], DecimalType) else "long"
+        value = F.coalesce(F.col(c).cast(wide), F.lit(0).cast(wide))
+        values.append(F.when(sign == 1, value).otherwise(-value).cast(wide).alias(c))
+        values.append(F.when(F.col(c).isNotNull(), sign).otherwise(F.lit(0).cast("long")).alias(known(c)))
+    return feed.where(view.where).select(*view.group, *partial.detail, *values)
+
+
 def partial_sums(feed: DataFrame, view: View, partial: Partial) -> DataFrame:
     """Signed sums of a feed: images before a change are taken away, images after it are added."""
     sign = F.when(F.col(CHANGE).isin("insert", "update_postimage"), F.lit(1)).otherwise(F.lit(-1))
@@ -95,20 +108,27 @@ def refresh(
     number: int | None = None,
     buckets: int = 64,
     keep: int = 2,
+    again: bool = False,
 ) -> None:
-    """Bring a view up to date with a feed. Feeds of a ``source`` are numbered; one applied before changes nothing."""
+    """Bring a view up to date with a feed. Feeds of a ``source`` are numbered; one applied before changes nothing.
+
+    A feed that lies in files may be read ``again``; of any other one the rows are kept while they are summed."""
     spark = feed.sparkSession
     tables, figures = _tables(spark, root, view, buckets)
     touched: set[int] = set()
     for name, partial in view.partials.items():
         table = tables[name]
-        delta = partial_sums(feed, view, partial).persist()
+        delta = signed_rows(feed, view, partial)
+        if not again:
+            delta.persist()
         try:
-            # At most ``buckets`` rows.
-            touched |= {r[0] for r in delta.select(table.bucket(delta)).distinct().collect()}
-            table.commit(delta, lambda before, more, p=partial: added(before, more, view, p), at, source, number)
+            own = table.touched(delta)
+            touched |= set(own)
+            # The feed is summed once, together with the sums that are there.
+            table.commit(delta, lambda before, more, p=partial: added(before, more, view, p), at, source, number, touched=own)
         finally:
-            delta.unpersist()
+            if not again:
+                delta.unpersist()
     if touched:
         places = sorted(touched)
         made = view.figures({name: table.state(buckets=places) for name, table in tables.items()})
