@@ -243,3 +243,16 @@ def test_training_table_is_made_once_per_query(spark, monkeypatch, name):
     churn.ml.stratified_split.return_value = (MagicMock(), MagicMock())
     getattr(churn, name)(spark, "")
     assert churn._training.call_count == 1
+
+
+def test_a_forest_keeps_the_nodes_its_rows_have_reached(spark):
+    """Rows are not sent through all trees again at every level, and the trees are those that this would give."""
+    made = spark.range(3_000, numPartitions=3).select(
+        *[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1_000)) / 1_000).alias(f"x{i}") for i in range(6)], "id"
+    ).withColumn("y", (F.col("x0") + F.col("x1") * F.col("x2") + F.pmod(F.xxhash64("id", F.lit(9)), F.lit(3)) * 0.2 > 1).cast("int")).cache()
+    inputs = [f"x{i}" for i in range(6)]
+    forest = ml.random_forest(inputs, "y", numTrees=12, maxDepth=12)
+    assert forest.getStages()[-1].getCacheNodeIds()
+    plain = ml.random_forest(inputs, "y", numTrees=12, maxDepth=12, cacheNodeIds=False)
+    trees = [pipeline.fit(made).stages[-1].toDebugString.split("\n", 1)[1] for pipeline in (forest, plain)]
+    assert trees[0] == trees[1] and trees[0].count("If") > 200

@@ -80,7 +80,9 @@ def logistic_regression(features: Sequence[str], label: str, penalty: float = 1e
 
 
 def random_forest(features: Sequence[str], label: str, **options) -> Pipeline:
-    settings = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "seed": SEED} | options
+    """The node that a row has reached in each tree is kept from level to level; otherwise every level sends every row through every
+    tree from its root. The forest is the same. A level follows from the one before, so none has to be written."""
+    settings = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 2, "seed": SEED, "cacheNodeIds": True, "checkpointInterval": -1} | options
     return _assembled(RandomForestClassifier(featuresCol=VECTOR, labelCol=label, **settings), features)
 
 
